@@ -29,32 +29,38 @@ def login_failure_spike(
     threshold: int = 10,
     range_minutes: int = 10,
     hold_minutes: int = 5,
+    tick_minutes: int = 1,
     event_type: str = "Login",
     source: str = "eventlogfile",
 ) -> DataFrame:
     rows = _of_type(entries, event_type, source)
-    ticks = trailing_counts(rows.filter(login_failed(rows)), range_minutes)
-    return pending_alerts(ticks, F.col("n") > threshold, hold_minutes)
+    ticks = trailing_counts(rows.filter(login_failed(rows)), range_minutes, tick_minutes)
+    return pending_alerts(ticks, F.col("n") > threshold, hold_minutes, tick_minutes)
 
 
 def callout_error_rate(
     entries: DataFrame,
     range_minutes: int = 10,
+    tick_minutes: int = 1,
     event_type: str = "ApexCallout",
     source: str = "eventlogfile",
 ) -> DataFrame:
     """Percent of failed callouts at every evaluation."""
     rows = _of_type(entries, event_type, source)
     measures = {"errors": F.when(callout_failed(rows), 1).otherwise(0), "calls": F.lit(1)}
-    ticks = trailing_counts(rows, range_minutes, measures=measures)
+    ticks = trailing_counts(rows, range_minutes, tick_minutes, measures=measures)
     return ticks.withColumn("percent", F.col("errors") / F.col("calls") * 100)
 
 
 def callout_error_alerts(
-    entries: DataFrame, threshold: float = 10.0, hold_minutes: int = 5, **kwargs: object
+    entries: DataFrame,
+    threshold: float = 10.0,
+    range_minutes: int = 10,
+    hold_minutes: int = 5,
+    tick_minutes: int = 1,
 ) -> DataFrame:
-    ticks = callout_error_rate(entries, **kwargs)
-    return pending_alerts(ticks, F.col("percent") > threshold, hold_minutes)
+    ticks = callout_error_rate(entries, range_minutes, tick_minutes)
+    return pending_alerts(ticks, F.col("percent") > threshold, hold_minutes, tick_minutes)
 
 
 def headroom(limits: DataFrame, on: list[str]) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tidelog.registry.base import QUERIES, SQL
 
 _MODULES = (
-    "scalars", "rules",
+    "scalars", "rules", "shape", "catalogue", "progress", "joins",
+    "aggregates", "windows",
 )
 
 for _name in _MODULES:

@@ -133,10 +133,10 @@ _FILE_COLUMNS = {
 _CREATED = "o_orderdate + INTERVAL '1' MINUTE * (o_orderkey % 1440)"
 _FILES_DUCK = ", ".join(f'{sql} AS "{name}"' for name, sql in _FILE_COLUMNS.items())
 FILES_SQL = (
-    f"versions AS (SELECT *, {_CREATED} AS at, 0 AS version FROM orders UNION ALL "
-    f"SELECT *, {_CREATED} + INTERVAL '1' DAY AS at, 1 AS version FROM orders "
+    f"versions AS (SELECT *, {_CREATED} AS made, 0 AS version FROM orders UNION ALL "
+    f"SELECT *, {_CREATED} + INTERVAL '1' DAY AS made, 1 AS version FROM orders "
     "WHERE o_orderkey % 10 = 0), "
-    f"files AS (SELECT {_FILES_DUCK}, at AS created, version, o_custkey, o_orderstatus FROM versions)"
+    f"files AS (SELECT {_FILES_DUCK}, made AS created, version, o_custkey, o_orderstatus FROM versions)"
 )
 
 

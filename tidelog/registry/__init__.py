@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tidelog.registry.base import QUERIES, SQL
 
 _MODULES = (
-    "scalars", "rules", "shape", "catalogue", "progress", "joins",
-    "aggregates", "windows",
+    "scalars", "rules", "shape", "catalogue", "progress", "joins", "aggregates", "windows",
+    "dashboard", "alerts", "quality", "streams",
 )
 
 for _name in _MODULES:

@@ -212,7 +212,7 @@ def topk_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     "topk_users_per_day",
     """SELECT time_bucket(INTERVAL 1 DAY, ts) AS step_start, user_id, count(*) AS n,
       CAST(row_number() OVER (PARTITION BY time_bucket(INTERVAL 1 DAY, ts) ORDER BY count(*) DESC, user_id) AS INT) AS rank
-      FROM events GROUP BY ALL QUALIFY rank <= 10""",
+      FROM events GROUP BY 1, 2 QUALIFY rank <= 10""",
 )
 def topk_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = series.count_over_time(raw_events(spark, sf_dir), ["user_id"], "1 day")

@@ -255,8 +255,8 @@ def set_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "removed_topics",
     """SELECT DISTINCT user_id FROM events WHERE event_type = 'view'
-      EXCEPT SELECT user_id FROM events WHERE event_type = 'purchase' AND value > 60
-      EXCEPT SELECT user_id FROM events WHERE event_type = 'click' AND value > 70""",
+      EXCEPT SELECT user_id FROM events WHERE event_type = 'purchase' AND value > 200
+      EXCEPT SELECT user_id FROM events WHERE event_type = 'click' AND value > 150""",
 )
 def removed_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subscribed minus explicit minus discovered."""
@@ -267,8 +267,8 @@ def removed_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return difference(
         users("event_type = 'view'"),
-        users("event_type = 'purchase' AND value > 60"),
-        users("event_type = 'click' AND value > 70"),
+        users("event_type = 'purchase' AND value > 200"),
+        users("event_type = 'click' AND value > 150"),
     )
 
 

@@ -36,14 +36,13 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared checkpoint folder and return the written rows.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder all executors share.
 
-    Used where two branches of a plan must see the same range partitioning. The folder comes from
-    `spark.checkpoint.dir`; only a local-mode session without one gets a temporary folder, because
-    a machine-local folder would be lost with its executor on a cluster.
+    It comes from `spark.checkpoint.dir`; only a local-mode session without one gets a temporary
+    folder, because a machine-local folder would be lost with its executor on a cluster.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = sc.getConf().get("spark.checkpoint.dir")
         if folder is None:
@@ -51,4 +50,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="tidelog-checkpoint-")
         sc.setCheckpointDir(folder)
+    return str(sc.getCheckpointDir())
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write `df` to the shared checkpoint folder and return the written rows.
+
+    Used where two branches of a plan must see the same range partitioning, and to keep the plans of
+    later steps short.
+    """
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -47,9 +47,8 @@ def _with_edit(ledger: DataFrame, keys: Mapping[str, str | None]) -> DataFrame:
     )
     top = ledger.agg((F.coalesce(F.max("seq"), F.lit(0)) + 1).alias("seq"))
     one = top.withColumn("_all", F.lit(1))
-    return ledger.unionByName(
-        edits.withColumn("_all", F.lit(1)).join(one, "_all").drop("_all").select(*ledger.columns)
-    )
+    edits = edits.withColumn("_all", F.lit(1)).join(one, "_all").drop("_all")
+    return ledger.unionByName(edits, allowMissingColumns=True)
 
 
 def set_progress(ledger: DataFrame, key: str, value: str) -> DataFrame:

@@ -18,13 +18,15 @@ def text_map(values: Mapping[str, Column | str | None]) -> Column:
     for key, value in values.items():
         value = value if isinstance(value, Column) else F.lit(value)
         pairs += [F.lit(key), value.cast("string")]
-    return F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull())
+    built = F.create_map(*pairs)
+    if all(isinstance(value, str) for value in values.values()):
+        return built
+    return F.map_filter(built, lambda _, v: v.isNotNull())
 
 
 def merge_maps(low: Column, high: Column) -> Column:
     """Union of two maps in which `high` wins, whatever the session does with repeated keys."""
-    kept = F.map_filter(low, lambda k, _: ~F.array_contains(F.map_keys(high), k))
-    return F.map_concat(kept, high)
+    return F.map_zip_with(low, high, lambda _, a, b: F.coalesce(b, a))
 
 
 def sorted_map(col: Column) -> Column:

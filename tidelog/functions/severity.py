@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,26 +21,31 @@ _BLANKS = (
 )
 
 
+def _says(col: Column, words: Sequence[str] | str) -> Column:
+    """Whether the trimmed text is one of the words in any case; one regex beats trim and lower."""
+    body = words if isinstance(words, str) else "|".join(words)
+    return col.rlike(rf"(?i)\A[{_BLANKS}]*(?:{body})[{_BLANKS}]*\z")
+
+
+def _absent(col: Column) -> Column:
+    return _says(col, ABSENT_WORDS)
+
+
 def present(col: Column) -> Column:
     """Trimmed text, or null where the value only says that there is none."""
-    text = F.btrim(col, F.lit(_BLANKS))
-    return F.when(~F.lower(text).isin(*ABSENT_WORDS), text)
+    return F.when(~_absent(col), F.btrim(col, F.lit(_BLANKS)))
 
 
-def _success_or_warn(text: Column) -> Column:
-    return F.when(F.lower(text).isin(*SUCCESS_WORDS), F.lit("info")).when(
-        text.isNotNull(), F.lit("warn")
-    )
+def _success_or_warn(col: Column) -> Column:
+    return F.when(_says(col, SUCCESS_WORDS), F.lit("info")).when(~_absent(col), F.lit("warn"))
 
 
-def _http_level(text: Column) -> Column:
-    code = F.when(text.rlike(r"\A[0-9]+\z"), text.try_cast("decimal(38,0)"))
-    # A digit string too long for the cast is still a number above 500.
-    too_long = text.rlike(r"\A[0-9]+\z") & code.isNull()
+def _http_level(col: Column) -> Column:
+    """By pattern: whole numbers of any length, without a cast that could overflow."""
     return (
-        F.when((code >= 500) | too_long, F.lit("error"))
-        .when(code >= 400, F.lit("warn"))
-        .when(code >= 100, F.lit("info"))
+        F.when(_says(col, "0*(?:[5-9][0-9]{2}|[1-9][0-9]{3,})"), F.lit("error"))
+        .when(_says(col, "0*4[0-9]{2}"), F.lit("warn"))
+        .when(_says(col, "0*[1-3][0-9]{2}"), F.lit("info"))
     )
 
 
@@ -47,15 +53,18 @@ def derive_level(field: Callable[[str], Column]) -> Column:
     """`error`, `warn` or `info`; `field(name)` reads one payload field as text.
 
     Signals are tried from the most to the least specific: an explicit error field, the HTTP status,
-    the request status, the login outcome, then the generic outcome fields.
+    the request status, the login outcome, then the generic outcome fields. Every test names its
+    field once or twice, so that the expression stays small.
     """
-    login = present(field("LOGIN_STATUS"))
-    failed = F.coalesce(*[present(field(name)) for name in ERROR_FIELDS])
+    failed = reduce(
+        lambda a, b: a | b, (~_absent(F.coalesce(field(f), F.lit(""))) for f in ERROR_FIELDS)
+    )
+    login = field("LOGIN_STATUS")
     return F.coalesce(
-        F.when(failed.isNotNull(), F.lit("error")),
-        _http_level(present(field("STATUS_CODE"))),
-        _success_or_warn(present(field("REQUEST_STATUS"))),
-        F.when(F.upper(login) == LOGIN_OK, F.lit("info")).when(login.isNotNull(), F.lit("warn")),
-        *[_success_or_warn(present(field(name))) for name in OUTCOME_FIELDS],
+        F.when(failed, F.lit("error")),
+        _http_level(field("STATUS_CODE")),
+        _success_or_warn(field("REQUEST_STATUS")),
+        F.when(_says(login, LOGIN_OK), F.lit("info")).when(~_absent(login), F.lit("warn")),
+        *[_success_or_warn(field(name)) for name in OUTCOME_FIELDS],
         F.lit("info"),
     )

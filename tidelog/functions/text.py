@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +13,15 @@ MARKER_TAIL = " bytes]"
 ENTRY_OVERHEAD = 64
 
 
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with `value` computed a single time, however often the body names it.
+
+    The optimizer copies an expensive expression to every place a pushed-down filter names it; a
+    lambda variable is not copied.
+    """
+    return F.transform(F.array(value), body).getItem(0)
+
+
 def line_bytes(line: Column) -> Column:
     """UTF-8 length."""
     return F.octet_length(line).cast("bigint")
@@ -36,13 +47,17 @@ def cap_line(line: Column, max_bytes: int) -> Column:
     """
     if max_bytes <= 0:
         return line
-    size = F.octet_length(line)
-    marker = F.concat(F.lit(MARKER_HEAD), size.cast("string"), F.lit(MARKER_TAIL))
-    room = F.lit(max_bytes) - F.octet_length(marker)
-    cut = F.when(room > 0, F.concat(utf8_head(line, room), marker)).otherwise(
-        utf8_head(line, F.lit(max_bytes))
-    )
-    return F.when(size > max_bytes, cut).otherwise(line)
+
+    def capped(text: Column) -> Column:
+        size = F.octet_length(text)
+        marker = F.concat(F.lit(MARKER_HEAD), size.cast("string"), F.lit(MARKER_TAIL))
+        room = F.lit(max_bytes) - F.octet_length(marker)
+        cut = F.when(room > 0, F.concat(utf8_head(text, room), marker)).otherwise(
+            utf8_head(text, F.lit(max_bytes))
+        )
+        return F.when(size > max_bytes, cut).otherwise(text)
+
+    return once(line, capped)
 
 
 def map_text_size(col: Column) -> Column:

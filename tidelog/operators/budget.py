@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidelog.operators.running import running, slice_ordered
+from tidelog.session import cut_lineage
 
 DAY = "_day"
 
@@ -88,7 +89,10 @@ def hold_over_budget(
     days by the cut positions inside its own arrival day.
     """
     ts = order[0]
-    totals = _with_day(df.select(ts, size), ts).groupBy(DAY).agg(F.sum(size).alias("_arrived"))
+    # One row per day, read again and again below.
+    totals = cut_lineage(
+        _with_day(df.select(ts, size), ts).groupBy(DAY).agg(F.sum(size).alias("_arrived"))
+    )
     span = totals.agg(
         F.min(DAY).alias("a"), F.max(DAY).alias("b"), F.sum("_arrived").alias("t")
     )
@@ -116,7 +120,7 @@ def hold_over_budget(
         W.unboundedPreceding, 0
     )
     started = F.when(F.col("_kind") == 1, F.struct("_at", "_on"))
-    ends = (
+    ends = cut_lineage(
         points.withColumn("_in_day", F.max(started).over(line))
         .filter("_kind = 0")
         .select(

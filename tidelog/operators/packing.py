@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.operators.running import numbered, running, slice_ordered
+from tidelog.session import cut_lineage
 
 # Blocks chained by one task before its answer is chained with the others.
 _CHAIN = 1000
@@ -70,9 +71,9 @@ def assign_batches(
     if width < max_entries:
         raise ValueError("a block must hold at least max_entries rows")
     sliced = slice_ordered(narrow, by, order)
-    rows = running(sliced, by, order, {"_n": ("sum", F.lit(1).cast("bigint"))}).select(
-        *by, *order, "_size", (F.col("_n") - 1).alias("_pos")
-    )
+    counted = running(sliced, by, order, {"_n": ("sum", F.lit(1).cast("bigint"))})
+    # Read three times below, by steps that each shuffle it anew.
+    rows = cut_lineage(counted.select(*by, *order, "_size", (F.col("_n") - 1).alias("_pos")))
     # The first rows of a block also go to the block before it, where batches may reach into them.
     block = F.floor(F.col("_pos") / width).cast("bigint")
     offset = F.col("_pos") % width
@@ -112,7 +113,7 @@ def assign_batches(
             }
         )
 
-    answers = placed.groupBy(*by, "_block").applyInPandas(answer_block, answer)
+    answers = cut_lineage(placed.groupBy(*by, "_block").applyInPandas(answer_block, answer))
 
     def chain(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
         """Answers of consecutive blocks as the answer of the whole run."""
@@ -171,8 +172,13 @@ def assign_batches(
     )
 
     numbered_rows = T.StructType(
-        [*group_fields, T.StructField("_pos", T.LongType()), T.StructField("batch_no", T.LongType())]
+        [
+            *group_fields,
+            *[T.StructField(c, types[c]) for c in order],
+            T.StructField("batch_no", T.LongType()),
+        ]
     )
+    order = list(order)
 
     def number_block(own_rows: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
         own_rows = own_rows.sort_values("_pos")
@@ -182,14 +188,13 @@ def assign_batches(
         while entry != _END and entry < len(own_rows):
             begins[entry] = 1
             entry = int(after[entry])
-        out = own_rows[[*by, "_pos"]].copy()
+        out = own_rows[[*by, *order]].copy()
         out["batch_no"] = base - 1 + np.cumsum(begins)
         return out
 
-    numbers = (
-        rows.select(*by, "_pos", "_size", block.alias("_block"))
+    return (
+        rows.withColumn("_block", block)
         .groupBy(*by, "_block")
         .cogroup(block_entries.groupBy(*by, "_block"))
         .applyInPandas(number_block, numbered_rows)
     )
-    return rows.join(numbers, [*by, "_pos"]).select(*by, *order, "batch_no")

@@ -26,8 +26,8 @@ def entry_labels(
     promoted: Column, source: Column, event_type: Column, static: Mapping[str, str]
 ) -> Column:
     """Promoted fields give way to source and event type, and those to the static labels."""
-    own = text_map({"source": source, "event_type": event_type})
-    return merge_maps(merge_maps(promoted, own), text_map(static))
+    own = {"source": source, "event_type": event_type}
+    return merge_maps(promoted, text_map({**own, **static}))
 
 
 def with_type_fields(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.payload import field_reader
 from tidelog.functions.times import instant
+from tidelog.operators.columns import with_once
 from tidelog.operators.series import count_over_time, group_count, rate, topk, topk_per_step
 
 
@@ -18,7 +19,9 @@ def in_range(entries: DataFrame, start: object, end: object) -> DataFrame:
 def with_field(entries: DataFrame, field: str, name: str) -> DataFrame:
     """Rows whose extracted field is neither missing nor empty, with the field as a column."""
     value = field_reader(entries)(field)
-    return entries.withColumn(name, value).filter(F.col(name) != "")
+    if "payload" in entries.columns:
+        return entries.withColumn(name, value).filter(F.col(name) != "")
+    return with_once(entries, name, value).filter(F.col(name) != "")
 
 
 def events_ingested(entries: DataFrame) -> DataFrame:

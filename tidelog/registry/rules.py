@@ -38,7 +38,7 @@ def _mask(col: str) -> str:
 )
 def hash_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     field = map_field()
-    return entries(spark, sf_dir).select(
+    return entries(spark, sf_dir, over_cores=True).select(
         "event_id",
         hash_value(field("USER_ID"), SALT).alias("user_id"),
         hash_value(field("REQUEST_ID"), SALT).alias("request_id"),
@@ -51,7 +51,7 @@ def hash_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
       {_mask('f_API_FAMILY')} AS api_family FROM e""",
 )
 def mask_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = apply_rules(entries(spark, sf_dir), [Rule("mask", ["EMAIL", "CLIENT_IP", "API_FAMILY"])])
+    rows = apply_rules(entries(spark, sf_dir, over_cores=True), [Rule("mask", ["EMAIL", "CLIENT_IP", "API_FAMILY"])])
     field = map_field()
     return rows.select(
         "event_id",
@@ -102,7 +102,7 @@ def regex_replace_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         Rule("regex_replace", ["CLIENT_IP"], pattern=r"^(?P<a>\d+)\.(\d+)\..*$", replacement=r"\2-\g<a>-$"),
         Rule("regex_replace", ["EMAIL"], pattern="[aeiou]", replacement="_"),
     ]
-    rows = apply_rules(entries(spark, sf_dir), rules)
+    rows = apply_rules(entries(spark, sf_dir, over_cores=True), rules)
     field = map_field()
     return rows.select("event_id", field("CLIENT_IP").alias("client_ip"), field("EMAIL").alias("email"))
 
@@ -118,7 +118,7 @@ def drop_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         Rule("drop_row", match={"LOGIN_STATUS": "LOGIN*", "COUNTRY": "[UD]?"}),
         Rule("drop_row", match={"STATUS_CODE": "400"}, name="bad_requests"),
     ]
-    rows = apply_rules(entries(spark, sf_dir), rules)
+    rows = apply_rules(entries(spark, sf_dir, over_cores=True), rules)
     return rows.filter(F.col("dropped_by").isNull()).select("event_id", "event_type")
 
 
@@ -143,7 +143,7 @@ RULES = [
 )
 def rules_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Later rules see earlier results; the cursor keeps the original time."""
-    rows = apply_rules(entries(spark, sf_dir), RULES, SALT)
+    rows = apply_rules(entries(spark, sf_dir, over_cores=True), RULES, SALT)
     field = map_field()
     return rows.select(
         "event_id",

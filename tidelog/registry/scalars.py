@@ -52,7 +52,7 @@ BUCKET_SQL = "CAST(CAST('0x' || substr(sha256({0}), 1, 16) AS UBIGINT) % 10000 A
 
 @query("derive_level", f"WITH {E_SQL} SELECT event_id, {LEVEL_SQL} AS level FROM e")
 def derive_level(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entries(spark, sf_dir).select(
+    return entries(spark, sf_dir, over_cores=True).select(
         "event_id", severity.derive_level(map_field()).alias("level")
     )
 

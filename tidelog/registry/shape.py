@@ -74,7 +74,7 @@ def canonical_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("promote_metadata", f"WITH {E_SQL} SELECT event_id, {_METADATA_SQL} AS metadata FROM e")
 def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entries(spark, sf_dir).select(
+    return entries(spark, sf_dir, over_cores=True).select(
         "event_id", stream_key(promote_metadata(F.col("payload"), METADATA)).alias("metadata")
     )
 
@@ -84,7 +84,7 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {E_SQL} SELECT event_id, {_json([('API_FAMILY', 'f_API_FAMILY'), ('COUNTRY', 'f_COUNTRY')])} AS labels FROM e",
 )
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entries(spark, sf_dir).select(
+    return entries(spark, sf_dir, over_cores=True).select(
         "event_id", stream_key(promote(F.col("payload"), ["COUNTRY", "API_FAMILY", "NONE"])).alias("labels")
     )
 
@@ -104,7 +104,7 @@ def type_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
         [("Login", [], ["COUNTRY"]), ("ApexCallout", ["TIME", "SUCCESS"], None), ("ApiEvent", None, [])],
         "event_type string, metadata_fields array<string>, label_fields array<string>",
     )
-    shaped = promote_by_type(with_type_fields(entries(spark, sf_dir), overrides, METADATA))
+    shaped = promote_by_type(with_type_fields(entries(spark, sf_dir, over_cores=True), overrides, METADATA))
     return shaped.select(
         "event_id", stream_key(F.col("metadata")).alias("metadata"), stream_key(F.col("promoted")).alias("labels")
     )
@@ -120,7 +120,7 @@ def label_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"COUNTRY": F.col("payload").getItem("COUNTRY"), "source": F.lit("forged"), "job": F.lit("forged")}
     )
     built = entry_labels(promoted, F.col("source"), F.col("event_type"), STATIC)
-    return entries(spark, sf_dir).select("event_id", stream_key(built).alias("labels"))
+    return entries(spark, sf_dir, over_cores=True).select("event_id", stream_key(built).alias("labels"))
 
 
 @query(
@@ -133,7 +133,7 @@ def label_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def static(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With several orgs, environment and org id are not static."""
-    groups = entries(spark, sf_dir).groupBy("source", "event_type", "org").agg(F.count("*").alias("n"))
+    groups = entries(spark, sf_dir, over_cores=True).groupBy("source", "event_type", "org").agg(F.count("*").alias("n"))
     none = text_map({})
     single = entry_labels(none, F.col("source"), F.col("event_type"), STATIC)
     multi = entry_labels(none, F.col("source"), F.col("event_type"), static_labels("audit"))
@@ -160,7 +160,7 @@ def rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
 def disallowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     promoted = promote(F.col("payload"), ["COUNTRY", "API_FAMILY"])
     built = entry_labels(promoted, F.col("source"), F.col("event_type"), STATIC)
-    return entries(spark, sf_dir).select(
+    return entries(spark, sf_dir, over_cores=True).select(
         "event_id", F.array_join(disallowed_labels(built), ",").alias("bad")
     )
 
@@ -250,4 +250,4 @@ def backfill_ingest_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def topic_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = F.concat(F.lit("/event/"), "event_type", F.when(F.col("k") % 2 == 0, "//").otherwise(""))
-    return entries(spark, sf_dir).select("event_id", topic_event_type(topic).alias("name"))
+    return entries(spark, sf_dir, over_cores=True).select("event_id", topic_event_type(topic).alias("name"))

@@ -92,16 +92,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_events(spark: SparkSession, sf_dir: str, over_cores: bool = False) -> DataFrame:
     """The event table with a zoned time and the number inside its JSON."""
-    return table(spark, sf_dir, "events").withColumns(
+    events = table(spark, sf_dir, "events")
+    return (spread(events) if over_cores else events).withColumns(
         {"ts": F.col("ts").cast("timestamp"), "k": F.expr(K["spark"])}
     )
 
 
-def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+def entries(spark: SparkSession, sf_dir: str, over_cores: bool = False) -> DataFrame:
     """Envelope and payload map. Fields of a literal map are pruned like columns."""
-    raw = raw_events(spark, sf_dir)
+    raw = raw_events(spark, sf_dir, over_cores)
     pairs = [c for n, sql in sorted(_fields("spark").items()) for c in (F.lit(n), F.expr(sql))]
     return raw.select(
         *[F.expr(sql).alias(name) for name, sql in ENVELOPE.items()],
@@ -109,9 +110,15 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table of fewer files than cores, over all cores; larger tables are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def filled_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As `entries`, without the fields an event type does not have."""
-    return entries(spark, sf_dir).withColumn(
+    return entries(spark, sf_dir, over_cores=True).withColumn(
         "payload", F.map_filter("payload", lambda _, v: v.isNotNull())
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tidelog.functions.labels import disallowed_labels
 from tidelog.functions.text import line_bytes
+from tidelog.operators.columns import with_once
 from tidelog.operators.progress import commit_progress
 
 
@@ -25,7 +26,7 @@ def reject_reason(max_line_bytes: int = 262_144) -> Column:
 
 def split_rejects(df: DataFrame, reason: Column) -> tuple[DataFrame, DataFrame]:
     """Deliverable rows, and rejected rows with their `reject_reason`."""
-    marked = df.withColumn("reject_reason", reason)
+    marked = with_once(df, "reject_reason", reason)
     good = marked.filter(F.col("reject_reason").isNull()).drop("reject_reason")
     return good, marked.filter(F.col("reject_reason").isNotNull())
 
@@ -43,9 +44,10 @@ def write_entries(df: DataFrame, path: str, batch_id: int) -> None:
     out = df.withColumn("date", F.to_date("ts"))
     if "event_type" not in df.columns:
         out = out.withColumn("event_type", F.col("labels").getItem("event_type"))
-    out.write.mode("overwrite").partitionBy("event_type", "date").parquet(
-        f"{path}/batch_id={batch_id}"
-    )
+    # Few files per folder: small folders share a task, and a hot one is split over several.
+    out.hint("rebalance", "event_type", "date").write.mode("overwrite").partitionBy(
+        "event_type", "date"
+    ).parquet(f"{path}/batch_id={batch_id}")
 
 
 def deliver_batch(
@@ -57,9 +59,12 @@ def deliver_batch(
     tokens: DataFrame | None = None,
 ) -> None:
     """Write entries, then rejects, then progress: positions advance only over durable rows."""
-    good, bad = split_rejects(df, reject_reason() if reason is None else reason)
+    # Written in two parts, so the shaped batch is kept instead of computed twice.
+    kept = df.persist()
+    good, bad = split_rejects(kept, reject_reason() if reason is None else reason)
     write_entries(good, f"{path}/entries", batch_id)
     bad.write.mode("overwrite").parquet(f"{path}/rejects/batch_id={batch_id}")
+    kept.unpersist()
     if tokens is not None:
         commit_progress(tokens, f"{path}/progress", batch_id)
 

@@ -11,9 +11,10 @@ from tidelog.functions.labels import text_map
 from tidelog.operators import progress as prg
 from tidelog.operators.dedup import dedup_entries, first_by_id, latest_by_id
 from tidelog.operators.shape import cap_entries, shape_entries
+from tidelog.plans.dashboard import in_range, with_field
 from tidelog.plans.quality import backfill_warnings
 from tidelog.schema import PROGRESS_SCHEMA
-from tidelog.sinks.entries import deliver_batch, stream_entries
+from tidelog.sinks.entries import deliver_batch, read_entries, stream_entries, write_entries
 from tidelog.sources import catalogue as cat
 from tidelog.sources.csv_files import read_event_log_csv
 from tidelog.sources.debug_logs import body_files, read_debug_logs
@@ -295,3 +296,33 @@ def test_truncation_is_recorded(spark):
     df = spark.createDataFrame([("x" * 100,), ("short",)], "line string")
     got = rows(cap_entries(df, 50).select("truncated", "original_bytes", F.octet_length("line")))
     assert got == [(False, 5, 5), (True, 100, 50)]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_range_on_stored_entries_prunes_and_pushes(spark, tmp_path):
+    write_entries(entry_rows(spark, 96), str(tmp_path), 0)
+    stored = read_entries(spark, str(tmp_path))
+    found = in_range(stored, "2024-01-02 12:00:00", "2024-01-03").filter("event_type = 'A'").select("line")
+    assert found.count() == 6
+    plan = plan_of(found)
+    partition = plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
+    assert "date" in partition and "event_type" in partition
+    assert "GreaterThanOrEqual(ts,2024-01-02" in plan
+    assert "ReadSchema: struct<ts:timestamp,line:string>" in plan
+
+
+def test_cursor_reaches_the_scan(spark, tmp_path):
+    entry_rows(spark, 50).write.parquet(f"{tmp_path}/t")
+    rows_ = spark.read.parquet(f"{tmp_path}/t")
+    plan = plan_of(read_since(rows_, "ts", "id", "2024-01-01 10:00:00", 10).select("id"))
+    assert "GreaterThanOrEqual(ts," in plan and "Exchange" not in plan
+
+
+def test_costly_column_is_not_copied_into_filters(spark, tmp_path):
+    entry_rows(spark, 50).withColumn("line", F.lit('{"CLIENT_IP":"1.1.1.1"}')).write.parquet(f"{tmp_path}/t")
+    found = with_field(spark.read.parquet(f"{tmp_path}/t"), "CLIENT_IP", "ip").select("ip")
+    assert plan_of(found).count("get_json_object") == 1
+    assert found.count() == 50

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Spark's own cast also takes bare times, years and padded text, so the shape is checked first.
@@ -30,6 +30,11 @@ def instant(value: Column | datetime | str) -> Column:
     return F.lit(value)
 
 
+def instant_for(df: DataFrame, ts: str, value: Column | datetime | str) -> Column:
+    """A time in the type of the column it is compared with, so that the filter reaches the scan."""
+    return instant(value).cast(df.schema[ts].dataType)
+
+
 def parse_event_time(text: Column) -> Column:
     """ISO-8601, `yyyyMMdd` or compact `yyyyMMddHHmmss.f` text as a UTC timestamp, else null."""
     whole = F.try_to_timestamp(F.substring(text, 1, 14), F.lit("yyyyMMddHHmmss"))

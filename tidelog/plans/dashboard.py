@@ -6,14 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.payload import field_reader
-from tidelog.functions.times import instant
+from tidelog.functions.times import instant_for
 from tidelog.operators.columns import with_once
 from tidelog.operators.series import count_over_time, group_count, rate, topk, topk_per_step
 
 
 def in_range(entries: DataFrame, start: object, end: object) -> DataFrame:
-    """Rows of `[start, end)`, a plain filter that reaches the scan."""
-    return entries.filter((F.col("ts") >= instant(start)) & (F.col("ts") < instant(end)))
+    """Rows of `[start, end)`, a plain filter that reaches the scan.
+
+    Stored entries are partitioned by date; the same bounds on it skip whole folders.
+    """
+    first, past = instant_for(entries, "ts", start), instant_for(entries, "ts", end)
+    found = entries.filter((F.col("ts") >= first) & (F.col("ts") < past))
+    if "date" in entries.columns:
+        found = found.filter((F.col("date") >= F.to_date(first)) & (F.col("date") <= F.to_date(past)))
+    return found
 
 
 def with_field(entries: DataFrame, field: str, name: str) -> DataFrame:

@@ -9,7 +9,7 @@ from tidelog.operators import progress as prg
 from tidelog.operators.rules import Rule, apply_rules
 from tidelog.plans import quality
 from tidelog.registry.base import query
-from tidelog.registry.tables import E_SQL, entries, raw_events
+from tidelog.registry.tables import E_SQL, entries, raw_events, table
 from tidelog.sources.tables import read_since, read_window_desc
 
 _MARK_SQL = "(SELECT ts FROM events WHERE event_id = 5000)"
@@ -25,7 +25,7 @@ def _mark(spark: SparkSession, sf_dir: str) -> Column:
     f"""SELECT event_id, ts FROM events WHERE ts > {_MARK_SQL} OR (ts = {_MARK_SQL} AND event_id > 4990)""",
 )
 def since(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = raw_events(spark, sf_dir).select("event_id", "ts")
+    rows = table(spark, sf_dir, "events").select("event_id", "ts")
     return read_since(rows, "ts", "event_id", _mark(spark, sf_dir), 4990)
 
 

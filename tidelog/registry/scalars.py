@@ -339,8 +339,7 @@ def sample_rate_by_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
       WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-12'""",
 )
 def time_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_events(spark, sf_dir).select("event_id", "ts")
-    return in_range(raw, "2024-01-05", "2024-01-12")
+    return in_range(table(spark, sf_dir, "events").select("event_id", "ts"), "2024-01-05", "2024-01-12")
 
 
 @query(

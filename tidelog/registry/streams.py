@@ -17,11 +17,12 @@ from tidelog.functions.payload import canonical_line
 from tidelog.operators.progress import show_progress
 from tidelog.operators.rules import Rule, apply_rules
 from tidelog.plans import recording
+from tidelog.plans.dashboard import in_range, with_field
 from tidelog.registry.base import query
 from tidelog.registry.tables import E_SQL, ENVELOPE, K, _fields, entries, filled_entries, table
 from tidelog.schema import PROGRESS_SCHEMA
 from tidelog.session import shared_folder
-from tidelog.sinks.entries import stream_entries, write_entries
+from tidelog.sinks.entries import read_entries, stream_entries, write_entries
 from tidelog.sources.csv_files import read_event_log_csv
 from tidelog.sources.streams import quarantine_poison, stream_events
 from tidelog.streaming.lanes import Lane, start_lanes
@@ -223,6 +224,25 @@ def _ingest(stream: DataFrame, folder: str) -> DataStreamWriter:
     return stream_entries(stream, folder, f"{folder}/checkpoint", shape=_shape, progress=_tokens)
 
 
+@query(
+    "stored_entries_in_range",
+    f"""WITH {E_SQL} SELECT source, f_CLIENT_IP AS client_ip, count(*) AS n FROM e
+      WHERE ts >= TIMESTAMP '2024-01-10 06:00:00' AND ts < TIMESTAMP '2024-01-12 18:00:00'
+      AND event_type = 'Login' AND f_CLIENT_IP <> '' GROUP BY 1, 2""",
+)
+def stored_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A panel over stored entries: type and dates prune folders, the times reach the scan."""
+    folder = scratch(spark, "stored")
+    rows = filled_entries(spark, sf_dir)
+    labels = text_map({"source": F.col("source"), "event_type": F.col("event_type"), "org": F.col("org")})
+    write_entries(
+        rows.select("ts", "event_type", labels.alias("labels"), canonical_line(F.col("payload")).alias("line")), folder, 0
+    )
+    stored = in_range(read_entries(spark, folder), "2024-01-10 06:00:00", "2024-01-12 18:00:00")
+    logins = with_field(stored.filter("event_type = 'Login'"), "CLIENT_IP", "client_ip")
+    return logins.groupBy("source", "client_ip").agg(F.count("*").alias("n"))
+
+
 @query(
     "stream_progress",
     f"""WITH {E_SQL} SELECT 'objects:' || event_type AS key, max(event_id) AS last_id FROM e GROUP BY 1""",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -50,6 +50,16 @@ def write_entries(df: DataFrame, path: str, batch_id: int) -> None:
     ).parquet(f"{path}/batch_id={batch_id}")
 
 
+def read_entries(spark: SparkSession, path: str) -> DataFrame:
+    """Stored entries of all batches, with `event_type` and `date` as partition columns.
+
+    `source` and `org` come back as columns from the labels, which is what the query pack groups by.
+    """
+    stored = spark.read.parquet(path)
+    own = {c: F.col("labels").getItem(c) for c in ("source", "org") if c not in stored.columns}
+    return stored.withColumns(own)
+
+
 def deliver_batch(
     df: DataFrame,
     batch_id: int,

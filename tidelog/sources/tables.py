@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidelog.functions.times import instant
+from tidelog.functions.times import instant, instant_for
 
 DEFAULT_SETTLE_SECONDS = 300
 
@@ -30,15 +30,14 @@ def read_since(
     still be filling. `carried` holds ids already taken at the watermark instant. Plain filters, so
     they reach the scan.
     """
-    mark = instant(watermark)
+    mark = instant_for(rows, ts, watermark)
     after = F.col(ts) > mark if last_id is not None else F.col(ts) >= mark
     if last_id is not None:
         after = after | ((F.col(ts) == mark) & (F.col(row_id) > F.lit(last_id)))
     found = rows.filter(F.col(ts) >= mark).filter(after)
     if now is not None:
-        found = found.filter(
-            F.col(ts) < instant(now) - F.expr(f"INTERVAL {settle_seconds} SECOND")
-        )
+        edge = instant(now) - F.expr(f"INTERVAL {settle_seconds} SECOND")
+        found = found.filter(F.col(ts) < instant_for(rows, ts, edge))
     if carried is not None:
         found = found.join(carried.select(row_id).distinct(), row_id, "left_anti")
     return found
@@ -52,22 +51,20 @@ def read_window_desc(
     A cap of 0 reads all. The cut is a time, so rows of one instant are never split; they are in
     ascending order when the result is ordered by `(ts, id)`.
     """
-    window = rows.filter(F.col(ts) >= instant(watermark))
+    window = rows.filter(F.col(ts) >= instant_for(rows, ts, watermark))
     if not cap:
         return window
-    # Minute totals find the minute of the cap; only that minute's distinct instants are ranked.
-    minute = F.date_trunc("minute", F.col(ts))
-    per_minute = window.groupBy(minute.alias("_minute")).agg(F.count(F.lit(1)).alias("_n"))
-    edge = _crossing(per_minute, "_minute", cap)
-    per_instant = (
-        window.withColumn("_minute", minute)
-        .join(edge, "_minute")
-        .groupBy(F.col(ts).alias("_ts"), "_before")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    last = _crossing(per_instant, "_ts", cap, F.col("_before")).select(F.col("_ts").alias("_last"))
-    bound = last.agg(F.max("_last").alias("_last")).withColumn("_all", F.lit(1))
-    # Fewer rows than the cap leave the bound null: then every row stays.
+    # Narrow the cap's place from minute to second to instant; only counts are ever put in order.
+    rest, before = window.select(F.col(ts).alias("_ts")), F.lit(0)
+    for unit in ("minute", "second", None):
+        step = F.date_trunc(unit, F.col("_ts")) if unit else F.col("_ts")
+        marked = rest.withColumn("_step", step).withColumn("_base", before)
+        counts = marked.groupBy("_step", "_base").agg(F.count(F.lit(1)).alias("_n"))
+        edge = _crossing(counts, cap)
+        rest = marked.select("_ts", "_step").join(edge, "_step").select("_ts", "_before")
+        before = F.col("_before")
+    bound = edge.agg(F.max("_step").alias("_last")).withColumn("_all", F.lit(1))
+    # One row, hence the broadcast. Fewer rows than the cap leave it null: then every row stays.
     return (
         window.withColumn("_all", F.lit(1))
         .join(F.broadcast(bound), "_all")
@@ -76,12 +73,11 @@ def read_window_desc(
     )
 
 
-def _crossing(counts: DataFrame, key: str, cap: int, base: Column | None = None) -> DataFrame:
-    """The key at which the running count reaches `cap`, with the count before it."""
-    upto = W.partitionBy(F.lit(0)).orderBy(key).rowsBetween(W.unboundedPreceding, 0)
-    total = F.sum("_n").over(upto) + (base if base is not None else F.lit(0))
-    ranked = counts.select(key, "_n", total.alias("_upto"))
+def _crossing(counts: DataFrame, cap: int) -> DataFrame:
+    """The step at which the running count reaches `cap`, with the count before it."""
+    upto = W.partitionBy(F.lit(0)).orderBy("_step").rowsBetween(W.unboundedPreceding, 0)
+    ranked = counts.select("_step", "_n", (F.sum("_n").over(upto) + F.col("_base")).alias("_upto"))
     first = ranked.filter(F.col("_upto") >= cap).agg(
-        F.min(F.struct(F.col(key), (F.col("_upto") - F.col("_n")).alias("_before"))).alias("_c")
+        F.min(F.struct("_step", (F.col("_upto") - F.col("_n")).alias("_before"))).alias("_c")
     )
     return first.filter(F.col("_c").isNotNull()).select("_c.*")

@@ -56,9 +56,8 @@ def derive_level(field: Callable[[str], Column]) -> Column:
     the request status, the login outcome, then the generic outcome fields. Every test names its
     field once or twice, so that the expression stays small.
     """
-    failed = reduce(
-        lambda a, b: a | b, (~_absent(F.coalesce(field(f), F.lit(""))) for f in ERROR_FIELDS)
-    )
+    # A missing field makes its test null, which neither helps nor hinders the others.
+    failed = reduce(lambda a, b: a | b, (~_absent(field(f)) for f in ERROR_FIELDS))
     login = field("LOGIN_STATUS")
     return F.coalesce(
         F.when(failed, F.lit("error")),

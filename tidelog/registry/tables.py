@@ -111,9 +111,9 @@ def entries(spark: SparkSession, sf_dir: str, over_cores: bool = False) -> DataF
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A table of fewer files than cores, over all cores; larger tables are left as they are."""
+    """A table of fewer splits than cores, over all cores; larger tables are left as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def filled_entries(spark: SparkSession, sf_dir: str) -> DataFrame:

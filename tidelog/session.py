@@ -11,6 +11,8 @@ SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Checkpointed rows are deleted once no frame refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

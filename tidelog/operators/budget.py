@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidelog.operators.running import running, slice_ordered
-from tidelog.session import cut_lineage
+from tidelog.session import broadcast_if_small, cut_lineage
 
 DAY = "_day"
 
@@ -45,7 +45,7 @@ def crossings(
         .agg(F.min(F.struct("_minute", (F.col("_upto") - F.col("_size")).alias("_before"))).alias("_m"))
         .select(DAY, "limit", "_m.*")
     )
-    candidates = narrow.join(crossing, [DAY, "_minute"])
+    candidates = narrow.join(broadcast_if_small(crossing), [DAY, "_minute"])
     sliced = slice_ordered(candidates, [DAY, "limit"], order)
     used = running(sliced, [DAY, "limit"], order, {"_used": ("sum", F.col("_size"))})
     position = F.struct(*[F.col(c) for c in order])
@@ -73,7 +73,7 @@ def apply_daily_budget(
     position = F.struct(*[F.col(c) for c in order])
     return (
         _with_day(df, order[0])
-        .join(cuts, DAY, "left")
+        .join(broadcast_if_small(cuts), DAY, "left")
         .withColumn("over_budget", F.coalesce(position >= F.col("cut"), F.lit(False)))
         .drop(DAY, "cut")
     )
@@ -147,7 +147,7 @@ def hold_over_budget(
     fits = F.filter("_ends", lambda e: e["cut"].isNull() | (position < e["cut"]))
     return (
         _with_day(df, ts)
-        .join(table, DAY, "left")
+        .join(broadcast_if_small(table), DAY, "left")
         .withColumn(
             "deliver_on",
             F.greatest(F.col(DAY), F.coalesce(F.try_element_at(fits, F.lit(1))["on"], F.col("_next"))),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidelog.functions.globs import matches_glob
 from tidelog.functions.times import instant, parse_event_time
 from tidelog.schema import PROGRESS_SCHEMA
+from tidelog.session import broadcast_if_small
 
 
 def commit_progress(tokens: DataFrame, path: str, batch_id: int) -> None:
@@ -45,10 +46,8 @@ def _with_edit(ledger: DataFrame, keys: Mapping[str, str | None]) -> DataFrame:
     edits = spark.createDataFrame(
         [(k, v, v is None) for k, v in keys.items()], "key string, value string, deleted boolean"
     )
-    top = ledger.agg((F.coalesce(F.max("seq"), F.lit(0)) + 1).alias("seq"))
-    one = top.withColumn("_all", F.lit(1))
-    edits = edits.withColumn("_all", F.lit(1)).join(one, "_all").drop("_all")
-    return ledger.unionByName(edits, allowMissingColumns=True)
+    following = ledger.agg((F.coalesce(F.max("seq"), F.lit(0)) + 1).alias("seq")).scalar()
+    return ledger.unionByName(edits.withColumn("seq", following), allowMissingColumns=True)
 
 
 def set_progress(ledger: DataFrame, key: str, value: str) -> DataFrame:
@@ -91,9 +90,8 @@ def next_cursor(rows: DataFrame, by: Sequence[str], ts: str, row_id: str) -> Dat
 
 def boundary_ids(rows: DataFrame, cursor: DataFrame, by: Sequence[str], ts: str, row_id: str) -> DataFrame:
     """All ids at the watermark instant, one row each, to be skipped by the next read."""
-    return rows.join(cursor, list(by)).filter(F.col(ts) == F.col("watermark")).select(
-        *by, row_id
-    )
+    marks = broadcast_if_small(cursor.select(*by, "watermark"))
+    return rows.join(marks, list(by)).filter(F.col(ts) == F.col("watermark")).select(*by, row_id)
 
 
 def org_prefix(name: str) -> str:

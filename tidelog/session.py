@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Session settings every job of this library expects.
 SESSION_CONF = {
@@ -63,3 +64,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """Hint a broadcast only after counting the rows; a larger table is joined by shuffle.
+
+    Meant for narrow tables of keys and cut positions that meet a whole table of rows on a skewed
+    key. The rows are written first, so that they are computed a single time.
+    """
+    kept = cut_lineage(df)
+    return F.broadcast(kept) if kept.limit(max_rows + 1).count() <= max_rows else kept

@@ -70,16 +70,15 @@ def resolve_types(
     explicit = configured.filter(F.col("name") != WILDCARD).select(
         "name", "sample", F.lit(True).alias("explicit")
     )
-    wildcard = configured.filter(F.col("name") == WILDCARD).select(
-        F.col("sample").alias("_rate"), F.lit("eventlogfile").alias("_kind")
-    )
+    wildcard = configured.filter(F.col("name") == WILDCARD).agg(F.max("sample").alias("_rate"))
     found = (
-        discovered.select(F.col("EventType").alias("name"), F.lit("eventlogfile").alias("_kind"))
+        discovered.select(F.col("EventType").alias("name"))
         .join(excluded.select("name"), "name", "left_anti")
         .join(explicit.select("name"), "name", "left_anti")
-        .withColumn("category", event_category(F.col("_kind"), F.col("name")))
+        .withColumn("category", event_category(F.lit("eventlogfile"), F.col("name")))
         .join(owned.select("category").distinct(), "category", "left_anti")
-        .join(wildcard, "_kind")
+        .withColumn("_rate", wildcard.scalar())
+        .filter(F.col("_rate").isNotNull())
     )
     return explicit.unionByName(
         found.select("name", F.col("_rate").alias("sample"), F.lit(False).alias("explicit"))

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelog.session import broadcast_if_small
+
 PRESETS = ("EARLIEST", "LATEST")
 
 
@@ -51,7 +53,7 @@ def quarantine_poison(
     An unknown schema id is not poison: skipping it would lose rows that become readable once the
     schema is there, so it fails the batch.
     """
-    known = known_schemas.select(F.col("schema_id").alias("_known")).distinct()
+    known = broadcast_if_small(known_schemas.select(F.col("schema_id").alias("_known")).distinct())
     checked = rows.join(known, F.col(schema_id) == F.col("_known"), "left")
     body = F.when(
         F.col("_known").isNull(),

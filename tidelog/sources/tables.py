@@ -63,14 +63,10 @@ def read_window_desc(
         edge = _crossing(counts, cap)
         rest = marked.select("_ts", "_step").join(edge, "_step").select("_ts", "_before")
         before = F.col("_before")
-    bound = edge.agg(F.max("_step").alias("_last")).withColumn("_all", F.lit(1))
-    # One row, hence the broadcast. Fewer rows than the cap leave it null: then every row stays.
-    return (
-        window.withColumn("_all", F.lit(1))
-        .join(F.broadcast(bound), "_all")
-        .filter(F.col("_last").isNull() | (F.col(ts) <= F.col("_last")))
-        .drop("_all", "_last")
-    )
+    # Fewer rows than the cap have no edge: then every row stays.
+    kind = rows.schema[ts].dataType
+    last = F.coalesce(F.max("_step").cast(kind), F.lit("9999-12-31").cast(kind))
+    return window.filter(F.col(ts) <= edge.agg(last.alias("_last")).scalar())
 
 
 def _crossing(counts: DataFrame, cap: int) -> DataFrame:

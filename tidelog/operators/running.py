@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidelog.session import cut_lineage, shuffle_width
+from tidelog.session import broadcast_if_small, cut_lineage, shuffle_width
 
 SLICE = "_slice"
 
@@ -100,6 +100,8 @@ def running(
             for n, (kind, _) in values.items()
         ],
     )
+    # One row per group and slice; joined by shuffle, a null-safe key would move the rows once more.
+    carried = broadcast_if_small(carried)
     same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys))
     return local.join(carried, same, "left").select(
         *sliced.columns,

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import minhash
+from tidelog.llm import bpe, decontaminate, minhash, tokencount
 from tidelog.llm.frames import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,7 +26,46 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def _shingle_sql(table: str, key: str) -> str:
+    """The distinct five-word shingles of a table's texts; shorter texts are one shingle."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+    SELECT DISTINCT {key}, unnest(CASE
+        WHEN len(w) >= 5 THEN [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle
+    FROM (SELECT {key}, regexp_extract_all(translate(text, '{upper}', '{lower}'), '[^\x20\x09-\x0D]+') AS w
+          FROM {table} WHERE text IS NOT NULL)"""
+
+
+@query(
+    "op1_benchmark_decontamination",
+    f"""
+    WITH d AS ({_shingle_sql("documents", "doc_id")}), b AS ({_shingle_sql("benchmark", "item_id")}),
+    sizes AS (SELECT item_id, count(*) AS n FROM b GROUP BY item_id),
+    hits AS (SELECT item_id, doc_id, count(*) AS shared FROM b JOIN d USING (shingle) GROUP BY item_id, doc_id)
+    SELECT item_id, doc_id, n AS n_item_shingles, shared AS n_shared, shared / n AS containment
+    FROM hits JOIN sizes USING (item_id) WHERE shared * 100 >= n * 75
+    """,
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a test item and a document that holds it."""
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op2_byte_bpe")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.token_digests(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 @query("op4_minhash_near_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document."""
     return minhash.near_duplicate_groups(read(spark, sf_dir, "documents"))
+
+
+@query("op10_token_counts")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_bytes, n_tokens, over_limit of every document."""
+    return tokencount.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))

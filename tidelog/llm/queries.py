@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, decontaminate, minhash, tokencount
+from tidelog.llm import (
+    bpe, cotrain, decontaminate, hilbert, licenses, minhash, preference, projection, tokencount, toxicity,
+)
 from tidelog.llm.frames import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,12 +62,99 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+@query("op3_hilbert_shards")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard and slot; the law is equal row counts."""
+    placed = hilbert.shards(read(spark, sf_dir, "documents"))
+    law = {"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")}
+    return placed.withColumns(law).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "cell")
+
+
 @query("op4_minhash_near_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document."""
     return minhash.near_duplicate_groups(read(spark, sf_dir, "documents"))
 
 
+@query("op5_quality_cotraining")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by each view and by both."""
+    return cotrain.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op6_embedding_near_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, n_links, component_id, kept of every vector."""
+    return projection.near_duplicate_vectors(read(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op7_preference_format",
+    """
+    WITH t AS (SELECT conv_id AS pair_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
+               FROM conversations WHERE conv_id IS NOT NULL),
+    ends AS (SELECT pair_id, max((turn, role, text)) AS last FROM t GROUP BY pair_id),
+    r AS (SELECT t.* FROM t JOIN ends USING (pair_id) WHERE t.turn < ends.last[1]
+          UNION ALL
+          SELECT e.pair_id, e.last[1], n.last[2], n.last[3] FROM ends e JOIN ends n ON n.pair_id = e.pair_id + 1),
+    sides AS (SELECT pair_id, turn, role, text, max(c) AS c, max(r) AS r FROM (
+                  SELECT *, 1 AS c, 0 AS r FROM t UNION ALL SELECT *, 0 AS c, 1 AS r FROM r)
+              GROUP BY pair_id, turn, role, text),
+    apart AS (SELECT pair_id, min(turn) AS apart FROM sides WHERE c <> r GROUP BY pair_id),
+    parts AS (SELECT pair_id, turn, role, text, unnest(CASE WHEN apart IS NULL OR turn < apart THEN ['prompt']
+                  WHEN c = 1 AND r = 1 THEN ['chosen', 'rejected'] WHEN c = 1 THEN ['chosen'] ELSE ['rejected'] END) AS part
+              FROM sides LEFT JOIN apart USING (pair_id))
+    SELECT pair_id, part, turn, role, '<|' || role || '|>' || chr(10) || text || chr(10) AS rendered,
+           CASE WHEN part <> 'prompt' AND role = 'assistant' THEN length(role) + 5 ELSE 0 END AS train_from,
+           CASE WHEN part <> 'prompt' AND role = 'assistant' THEN length(role) + 5 + length(text) ELSE 0 END AS train_to
+    FROM parts
+    """,
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation against itself with the ending of the next one."""
+    return preference.preference_rows(*preference.swapped_endings(read(spark, sf_dir, "conversations")))
+
+
+@query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted of every document."""
+    return toxicity.toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def _license_sql() -> str:
+    """The same lookup and the same rules, one after the other."""
+    known = ", ".join(f"('{sentence}', '{name}')" for sentence, name in licenses.lookup().items())
+    steps = "s0 AS (SELECT doc_id, ids, list_aggregate(list_transform(ids, lambda i: '<' || i || '>'), 'string_agg', '') AS rest, '' AS found FROM found)"
+    for n, (name, ids) in enumerate(licenses.RULES):
+        take = "".join(f"<{i}>" for i in ids)
+        steps += f""", s{n + 1} AS (SELECT doc_id, ids, replace(rest, '{take}', '|') AS rest,
+            CASE WHEN contains(rest, '{take}') THEN found || ',{name}' ELSE found END AS found FROM s{n})"""
+    # Sentences are numbered, not cut out: the first of equal licences in the order of the rules is kept.
+    return rf"""
+    WITH known(sentence, name) AS (VALUES {known}),
+    lines AS (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS n FROM (
+        SELECT doc_id, string_split_regex(regexp_replace(text, '([.!?;:])[ 	
+]+', '' || chr(10), 'g'), '[
+]+') AS l
+        FROM documents)),
+    hits AS (SELECT doc_id, n, name FROM lines JOIN known
+             ON trim(regexp_replace(lower(line), '[^a-z0-9]+', ' ', 'g')) = sentence),
+    found AS (SELECT doc_id, coalesce(list(name ORDER BY n) FILTER (name IS NOT NULL), []) AS ids
+              FROM (SELECT doc_id FROM documents) LEFT JOIN hits USING (doc_id) GROUP BY doc_id),
+    {steps}
+    SELECT doc_id, len(ids) AS n_known, coalesce(array_to_string(ids, ','), '') AS identifiers,
+        array_to_string(list_filter(string_split(coalesce(found, ''), ','), lambda x, i: x <> ''
+            AND list_position(string_split(coalesce(found, ''), ','), x) = i), ',') AS licences,
+        array_to_string(list_filter(string_split_regex(coalesce(rest, ''), '[<>|]+'), lambda x: x <> ''), ',') AS unmatched
+    FROM s{len(licenses.RULES)}"""
+
+
+@query("op9_license_scan", _license_sql())
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licence sentences, licences and what no rule takes, of every document."""
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 @query("op10_token_counts")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every document."""

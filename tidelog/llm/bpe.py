@@ -225,12 +225,17 @@ def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str) -> DataF
     return encoded.select("doc_id", "ids").mapInArrow(decode, "doc_id long, ids binary, decoded binary")
 
 
-def token_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row."""
-    both = decode_documents(encode_documents(docs, ranks_path, pattern), ranks_path, pattern)
-    return both.select(
+def digests(decoded: DataFrame, *more: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of rows of (doc_id, ids, decoded)."""
+    return decoded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *more,
     )
+
+
+def token_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """The digests of every row of `docs` (doc_id, text), encoded and decoded again."""
+    return digests(decode_documents(encode_documents(docs, ranks_path, pattern), ranks_path, pattern))

@@ -60,26 +60,33 @@ def is_space(data: np.ndarray) -> np.ndarray:
     return (data == 32) | ((data >= 9) & (data <= 13))
 
 
-def word_bounds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and last-plus-one byte of every word; no word runs over a place in `bounds`."""
-    inside = ~is_space(data)
-    if not len(data):
+_IN_WORD = ~is_space(np.arange(256))
+
+
+def run_bounds(inside: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last-plus-one place of every run of set flags; no run goes over a place in `bounds`."""
+    if not len(inside):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     before = np.concatenate(([False], inside[:-1]))
-    before[bounds[:-1][bounds[:-1] < len(data)]] = False
+    before[bounds[:-1][bounds[:-1] < len(inside)]] = False
     after = np.concatenate((inside[1:], [False]))
     after[bounds[1:][bounds[1:] > 0] - 1] = False
     return np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
 
 
-def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray = _BYTES) -> np.ndarray:
-    """64-bit hash of the bytes of every span."""
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(table[data] * _powers_of(_BASE, len(data))[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * _powers_of(_INVERSE, len(data) + 1)[starts] + (ends - starts).astype(np.uint64))
+class Spans:
+    """Gives the 64-bit hash of the bytes of any span of `data`."""
+
+    def __init__(self, data: np.ndarray):
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_BYTES[data] * _powers_of(_BASE, len(data))[: len(data)], out=self.sums[1:])
+        self.inverse = _powers_of(_INVERSE, len(data) + 1)
+
+    def hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix((self.sums[ends] - self.sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
 
 
-def _blocks(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int]]:
+def blocks(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int]]:
     """Byte ranges of about a block each, cut between texts or at white space."""
     start, total = 0, len(data)
     while start < total:
@@ -98,19 +105,49 @@ def _blocks(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int]]:
         start = end
 
 
-def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of all texts, and the place of every text's first word (one more at the end)."""
+def runs(column: pa.Array, member: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """All runs of member bytes (a table of 256 flags without white space), a block of bytes at a time: the
+    block's place, its bytes, the runs' starts and ends in it."""
     data, bounds = text_bytes(column)
-    hashes, places = [], []
-    for start, end in _blocks(data, bounds):
+    for start, end in blocks(data, bounds):
         inner = bounds[(bounds > start) & (bounds < end)] - start
         part = data[start:end]
-        s, e = word_bounds(part, np.concatenate(([0], inner, [end - start])))
-        hashes.append(hash_spans(part, s, e))
+        yield start, part, *run_bounds(member[part], np.concatenate(([0], inner, [end - start])))
+
+
+def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of all texts, and the place of every text's first word (one more at the end)."""
+    hashes, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for start, part, s, e in runs(column, _IN_WORD):
+        hashes.append(Spans(part).hash(s, e))
         places.append(s + start)
-    if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
-    return np.concatenate(hashes), np.searchsorted(np.concatenate(places), bounds)
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(places), text_bytes(column)[1])
+
+
+def hash_words(words: list[str]) -> np.ndarray:
+    """The hashes of these words, sorted."""
+    data = "".join(words).encode()
+    sizes = np.array([len(w.encode()) for w in words])
+    ends = np.cumsum(sizes)
+    return np.unique(Spans(np.frombuffer(data, np.uint8)).hash(ends - sizes, ends))
+
+
+def counts_by_code(data: np.ndarray, bounds: np.ndarray, codes: np.ndarray, n: int) -> np.ndarray:
+    """(texts, n) numbers of bytes by the code of each byte; `codes` is as long as `data`."""
+    out = np.zeros((len(bounds) - 1) * n, np.int64)
+    for start in range(0, len(data), BLOCK_BYTES):
+        end = min(start + BLOCK_BYTES, len(data))
+        low, high = np.searchsorted(bounds, start, "right") - 1, np.searchsorted(bounds, end, "left")
+        cuts = np.clip(bounds[low : high + 1], start, end)
+        owner = np.repeat(np.arange(high - low) * n, np.diff(cuts))
+        out[low * n : high * n] += np.bincount(owner + codes[start:end], minlength=(high - low) * n)
+    return out.reshape(-1, n)
+
+
+def between(flags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """How many flags are set from each start up to its end."""
+    sums = np.concatenate(([0], np.cumsum(flags)))
+    return sums[ends] - sums[starts]
 
 
 def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -52,20 +52,21 @@ def assign_batches(
     max_bytes: int = 4_000_000,
     size: str = "line_bytes",
     block_rows: int | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """`by`, `order` and `batch_no` (from 0 in each group) for every row.
+    """`by`, `keep` (the order, unless given) and `batch_no` (from 0 in each group) for every row.
 
     `order` must be unique inside a group. Only these columns and the size are moved; join the
-    result back on `by` and `order` when the lines are needed. `max_bytes <= 0` leaves the entry
-    limit alone.
+    result back on `keep` when the lines are needed. `max_bytes <= 0` leaves the entry limit alone.
     """
+    keep = list(keep or order)
     if max_entries < 1:
         raise ValueError("max_entries must be at least 1")
-    narrow = df.select(*by, *order, F.col(size).cast("bigint").alias("_size"))
+    narrow = df.select(*dict.fromkeys([*by, *order, *keep]), F.col(size).cast("bigint").alias("_size"))
     if max_bytes <= 0:
         counted = numbered(narrow, by, order, "_pos")
         batch = F.floor(F.col("_pos") / max_entries).cast("bigint")
-        return counted.select(*by, *order, batch.alias("batch_no"))
+        return counted.select(*by, *keep, batch.alias("batch_no"))
 
     width = block_rows or max(65_536, 16 * max_entries)
     if width < max_entries:
@@ -73,7 +74,7 @@ def assign_batches(
     sliced = slice_ordered(narrow, by, order)
     counted = running(sliced, by, order, {"_n": ("sum", F.lit(1).cast("bigint"))})
     # Read three times below, by steps that each shuffle it anew.
-    rows = cut_lineage(counted.select(*by, *order, "_size", (F.col("_n") - 1).alias("_pos")))
+    rows = cut_lineage(counted.select(*by, *keep, "_size", (F.col("_n") - 1).alias("_pos")))
     # The first rows of a block also go to the block before it, where batches may reach into them.
     block = F.floor(F.col("_pos") / width).cast("bigint")
     offset = F.col("_pos") % width
@@ -174,12 +175,10 @@ def assign_batches(
     numbered_rows = T.StructType(
         [
             *group_fields,
-            *[T.StructField(c, types[c]) for c in order],
+            *[T.StructField(c, types[c]) for c in keep],
             T.StructField("batch_no", T.LongType()),
         ]
     )
-    order = list(order)
-
     def number_block(own_rows: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
         own_rows = own_rows.sort_values("_pos")
         entry, base = int(start["entry"].iloc[0]), int(start["base"].iloc[0])
@@ -188,7 +187,7 @@ def assign_batches(
         while entry != _END and entry < len(own_rows):
             begins[entry] = 1
             entry = int(after[entry])
-        out = own_rows[[*by, *order]].copy()
+        out = own_rows[[*by, *keep]].copy()
         out["batch_no"] = base - 1 + np.cumsum(begins)
         return out
 

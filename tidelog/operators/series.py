@@ -66,8 +66,11 @@ def trailing_counts(
     """Sums over the range before every evaluation tick: rows with `tick - range <= ts < tick`.
 
     Rows are first summed per tick; only those sums, not the rows, are copied to the ticks that
-    see them. Ticks whose range is empty are absent. The range must be a multiple of the tick.
+    see them. Ticks whose range is empty are absent. A range that is no multiple of the tick would
+    cut a tick's sum in two and is refused.
     """
+    if tick_minutes < 1 or range_minutes < tick_minutes or range_minutes % tick_minutes:
+        raise ValueError(f"a range of {range_minutes} min is no multiple of a tick of {tick_minutes} min")
     measures = measures or {"n": F.lit(1)}
     tick = f"{tick_minutes} minutes"
     per_tick = df.groupBy(step_of(F.col(ts), tick).alias("_at"), *by).agg(

@@ -35,9 +35,12 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event table as a stream with a zoned event time."""
-    schema = table(spark, sf_dir, "events").schema
-    stream = stream_events(spark, sf_dir, schema, glob="events.parquet")
+    """The event table, one file or a folder of files, as a stream with a zoned event time.
+
+    One file a micro-batch, so that a table of several files is delivered in several batches.
+    """
+    # A pattern, because a stream's plain path has to be a folder.
+    stream = stream_events(spark, f"{sf_dir}/events.parque[t]", table(spark, sf_dir, "events").schema, max_files=1)
     return stream.withColumns({"ts": F.col("ts").cast("timestamp"), "k": F.expr(K["spark"])})
 
 
@@ -162,8 +165,9 @@ def failure_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").cast("string").alias("topic"), (F.col("value") > 1).alias("failed")
     )
     _finish(stream_failure_streaks(stream, folder, f"{folder}/checkpoint", threshold=1))
-    state = spark.read.parquet(f"{folder}/state/batch_id=0")
-    return state.select(F.col("topic").cast("bigint").alias("topic"), "streak")
+    state = spark.read.parquet(f"{folder}/state")
+    newest = state.agg(F.max("batch_id").alias("batch_id"))
+    return state.join(newest, "batch_id").select(F.col("topic").cast("bigint").alias("topic"), "streak")
 
 
 @query(

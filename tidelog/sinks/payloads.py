@@ -11,33 +11,50 @@ from tidelog.functions.labels import sorted_map, stream_key
 from tidelog.functions.text import line_bytes
 from tidelog.functions.times import epoch_nanos
 from tidelog.operators.packing import assign_batches
+from tidelog.session import cut_lineage
+
+ROW = "_row"
 
 
 def batched(
     df: DataFrame, order: Sequence[str], max_entries: int = 1000, max_bytes: int = 4_000_000
 ) -> DataFrame:
-    """Entries with their `stream_key` and the number of the batch they go into."""
-    keyed = df.withColumns(
-        {"stream_key": stream_key(F.col("labels")), "line_bytes": line_bytes(F.col("line"))}
+    """Entries with their `stream_key` and the number of the batch they go into.
+
+    Every row gets a number of its own first, so copies stay apart and rows without a time are kept
+    (they come first). The numbered rows are written, because both sides of the join read them.
+    """
+    keyed = cut_lineage(
+        df.withColumns(
+            {
+                "stream_key": stream_key(F.col("labels")),
+                "line_bytes": F.coalesce(line_bytes(F.col("line")), F.lit(0)),
+                ROW: F.monotonically_increasing_id(),
+            }
+        )
+    )
+    numbers = assign_batches(
+        keyed, ["stream_key"], [*order, ROW], max_entries, max_bytes, keep=[ROW]
     )
-    numbers = assign_batches(keyed, ["stream_key"], order, max_entries, max_bytes)
-    return keyed.join(numbers, ["stream_key", *order])
+    return keyed.join(numbers.select(ROW, "batch_no"), ROW)
 
 
 def push_payloads(batches: DataFrame, order: Sequence[str]) -> DataFrame:
     """One document `{"stream": {labels}, "values": [["<ns>", line, {metadata}], ...]}` per batch.
 
-    A document gathers the rows of one batch, which `batched` limits in entries and bytes.
+    A document gathers the rows of one batch, which `batched` limits in entries and bytes. An entry
+    without a time has an empty one; `split_rejects` sets such entries aside before.
     """
     value = F.struct(
         *[F.col(c) for c in order],
+        F.col(ROW),
         F.concat(
             F.lit('["'),
-            epoch_nanos(F.col("ts")),
+            F.coalesce(epoch_nanos(F.col("ts")).cast("string"), F.lit("")),
             F.lit('",'),
-            F.to_json(F.col("line").cast("variant")),
+            F.coalesce(F.to_json(F.col("line").cast("variant")), F.lit('""')),
             F.lit(","),
-            F.to_json(sorted_map(F.col("metadata"))),
+            F.coalesce(F.to_json(sorted_map(F.col("metadata"))), F.lit("{}")),
             F.lit("]"),
         ).alias("_value"),
     )

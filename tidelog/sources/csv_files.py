@@ -14,6 +14,8 @@ OVERFLOW = "_extra"
 _RAW = "_raw"
 # Stands for "no such cell": empty cells must stay empty text.
 _NO_CELL = "absent"
+# Cells the parser takes in a row; its own default would fail a file over one wide row.
+MAX_CELLS = 1_000_000
 # One cell of a raw record: the quoted form with doubled quotes, or anything without a comma.
 _CELL = r'(?s)(?:\A|,)("[^"]*+(?:""[^"]*+)*+"[^,]*|[^,]*)'
 
@@ -54,6 +56,7 @@ def _read_group(spark: SparkSession, paths: Sequence[str], header: Sequence[str]
         nullValue=_NO_CELL,
         emptyValue="",
         mode="PERMISSIVE",
+        maxColumns=MAX_CELLS,
         columnNameOfCorruptRecord=_RAW,
     )
     # The last of several columns with one name wins.
@@ -62,7 +65,8 @@ def _read_group(spark: SparkSession, paths: Sequence[str], header: Sequence[str]
     for name, i in place.items():
         pairs += [F.lit(name), F.coalesce(F.col(f"c{i}"), F.lit(""))]
     payload = F.create_map(*pairs)
-    spill = F.slice(_cells(F.col(_RAW)), len(header) + 1, 1_000_000)
+    cells = _cells(F.col(_RAW))
+    spill = F.slice(cells, len(header) + 1, F.greatest(F.size(cells), F.lit(1)))
     # The raw text is kept for rows that are too short as well; those have nothing to spill.
     extra = F.when(F.col(_RAW).isNotNull() & (F.size(spill) > 0), F.array_join(spill, ","))
     return rows.select(

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidelog.operators.running import running, slice_ordered
+from tidelog.operators.running import SLICE, running, slice_ordered
 from tidelog.session import broadcast_if_small, cut_lineage
 
 DAY = "_day"
@@ -18,14 +19,11 @@ def _with_day(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumn(DAY, F.to_date(F.col(ts)))
 
 
-def crossings(
-    df: DataFrame, limits: DataFrame, order: Sequence[str], size: str, inclusive: bool = False
-) -> DataFrame:
-    """Per day and limit, the first row whose running size exceeds the limit.
+def crossings(df: DataFrame, limits: Sequence[float], order: Sequence[str], size: str) -> DataFrame:
+    """Per day and limit, `cut`: the first row whose running size reaches the limit.
 
-    `limits(_day, limit)` may hold several limits per day. `order` starts with the time. With
-    `inclusive`, reaching the limit is enough. Minute totals find the minute of the crossing, so
-    only the rows of those minutes are put in order, not the whole table.
+    `order` starts with the time. Minute totals find the minute of the crossing, so only the rows of
+    those minutes are put in order, not the whole table.
     """
     ts = order[0]
     narrow = _with_day(df.select(*order, F.col(size).cast("bigint").alias("_size")), ts).withColumn(
@@ -34,13 +32,10 @@ def crossings(
     minutes = narrow.groupBy(DAY, "_minute").agg(F.sum("_size").alias("_size"))
     upto = W.partitionBy(DAY).orderBy("_minute").rowsBetween(W.unboundedPreceding, 0)
     minutes = minutes.withColumn("_upto", F.sum("_size").over(upto))
-
-    def over(used: Column) -> Column:
-        return used >= F.col("limit") if inclusive else used > F.col("limit")
-
+    marks = F.explode(F.array(*(F.lit(float(x)) for x in limits)))
     crossing = (
-        minutes.join(limits, DAY)
-        .filter(over(F.col("_upto")))
+        minutes.withColumn("limit", marks)
+        .filter(F.col("_upto") >= F.col("limit"))
         .groupBy(DAY, "limit")
         .agg(F.min(F.struct("_minute", (F.col("_upto") - F.col("_size")).alias("_before"))).alias("_m"))
         .select(DAY, "limit", "_m.*")
@@ -48,17 +43,24 @@ def crossings(
     candidates = narrow.join(broadcast_if_small(crossing), [DAY, "_minute"])
     sliced = slice_ordered(candidates, [DAY, "limit"], order)
     used = running(sliced, [DAY, "limit"], order, {"_used": ("sum", F.col("_size"))})
+    reached = used.filter(F.col("_before") + F.col("_used") >= F.col("limit"))
     position = F.struct(*[F.col(c) for c in order])
-    return (
-        used.filter(over(F.col("_before") + F.col("_used")))
-        .groupBy(DAY, "limit")
-        .agg(F.min(position).alias("cut"))
-    )
+    return reached.groupBy(DAY, "limit").agg(F.min(position).alias("cut"))
 
 
-def _per_day(df: DataFrame, ts: str, limit: float) -> DataFrame:
-    days = _with_day(df.select(ts), ts).select(DAY).distinct()
-    return days.withColumn("limit", F.lit(limit))
+def _beyond(budget: float) -> float:
+    """The least whole number of bytes that no longer fits."""
+    return float(math.floor(budget) + 1)
+
+
+def _marked(df: DataFrame, cuts: DataFrame, order: Sequence[str]) -> DataFrame:
+    position = F.struct(*[F.col(c) for c in order])
+    return (
+        _with_day(df, order[0])
+        .join(broadcast_if_small(cuts), DAY, "left")
+        .withColumn("over_budget", F.coalesce(position >= F.col("cut"), F.lit(False)))
+        .drop("cut")
+    )
 
 
 def apply_daily_budget(
@@ -69,14 +71,8 @@ def apply_daily_budget(
     Rows are kept while the day's running size stays within the budget. The rows themselves are not
     shuffled; they only meet the table of one cut position per day.
     """
-    cuts = crossings(df, _per_day(df, order[0], budget), order, size).select(DAY, "cut")
-    position = F.struct(*[F.col(c) for c in order])
-    return (
-        _with_day(df, order[0])
-        .join(broadcast_if_small(cuts), DAY, "left")
-        .withColumn("over_budget", F.coalesce(position >= F.col("cut"), F.lit(False)))
-        .drop(DAY, "cut")
-    )
+    cuts = crossings(df, [_beyond(budget)], order, size).select(DAY, "cut")
+    return _marked(df, cuts, order).drop(DAY)
 
 
 def hold_over_budget(
@@ -84,75 +80,31 @@ def hold_over_budget(
 ) -> DataFrame:
     """Add `deliver_on`: the UTC day a row is delivered when over-budget rows wait in line.
 
-    First in, first out: every day delivers `budget` bytes of backlog and new rows together. The
-    backlog after a day follows from running sums of the day totals; a row is located among the
-    days by the cut positions inside its own arrival day.
+    First in, first out: every day delivers `budget` bytes of backlog and new rows together. What
+    waits when a day begins follows from the totals of the days with arrivals: with A bytes before
+    day number n, the line gains A - budget * n, and its length is that gain above its lowest value so
+    far. A row that ends x bytes into the line leaves on day n + ceil(x / budget) - 1, so days without
+    arrivals and the drain after the last one need no rows.
     """
     ts = order[0]
-    # One row per day, read again and again below.
-    totals = cut_lineage(
-        _with_day(df.select(ts, size), ts).groupBy(DAY).agg(F.sum(size).alias("_arrived"))
-    )
-    span = totals.agg(
-        F.min(DAY).alias("a"), F.max(DAY).alias("b"), F.sum("_arrived").alias("t")
-    )
-    # Days without arrivals still deliver, and the line is empty at the latest this many days on.
-    drained = (F.ceil(F.col("t") / F.lit(budget)) + 1).cast("int")
-    days = span.select(F.explode(F.sequence("a", F.date_add("b", drained))).alias(DAY))
-    upto = W.partitionBy(F.lit(0)).orderBy(DAY).rowsBetween(W.unboundedPreceding, 0)
-    days = (
-        days.join(totals, DAY, "left")
-        .withColumn("_in", F.sum(F.coalesce("_arrived", F.lit(0))).over(upto))
-        .withColumn("_free", F.col("_in") - F.lit(budget) * F.row_number().over(upto))
-        .withColumn("_backlog", F.col("_free") - F.least(F.lit(0), F.min("_free").over(upto)))
-        .withColumn("_out", F.col("_in") - F.col("_backlog"))
-    )
-    # A delivery day's last byte lies inside some arrival day, at `limit` bytes into it.
-    arrivals = totals.join(days.select(DAY, "_in"), DAY).select(
-        F.col(DAY).alias("_arrival"), (F.col("_in") - F.col("_arrived")).alias("_from")
-    )
-    outs = days.select(F.col(DAY).alias("_deliver"), "_out")
-    points = arrivals.select(
-        F.col("_arrival").alias("_on"), F.col("_from").alias("_at"), F.lit(1).alias("_kind")
-    ).union(outs.select("_deliver", "_out", F.lit(0)))
-    # Sorting both kinds of points together finds the arrival day of every delivery end.
-    line = W.partitionBy(F.lit(0)).orderBy("_at", "_kind", "_on").rowsBetween(
-        W.unboundedPreceding, 0
-    )
-    started = F.when(F.col("_kind") == 1, F.struct("_at", "_on"))
-    ends = cut_lineage(
-        points.withColumn("_in_day", F.max(started).over(line))
-        .filter("_kind = 0")
-        .select(
-            F.col("_on").alias("_deliver"),
-            F.col("_in_day._on").alias(DAY),
-            (F.col("_at") - F.col("_in_day._at")).cast("bigint").alias("limit"),
-        )
-        .filter(F.col(DAY).isNotNull())
-    )
-    cuts = crossings(df, ends.select(DAY, "limit").distinct(), order, size)
-    # Ends without a crossing lie exactly on the end of their arrival day.
-    marked = ends.join(cuts, [DAY, "limit"], "left")
-    per_day = marked.groupBy(DAY).agg(
-        F.sort_array(F.collect_list(F.struct(F.col("_deliver").alias("on"), "cut"))).alias("_ends")
-    )
-    # Without an end of its own, a day's rows all leave on the first end of a later arrival day.
-    later = W.partitionBy(F.lit(0)).orderBy(F.col(DAY).desc()).rowsBetween(W.unboundedPreceding, -1)
-    table = (
-        totals.select(DAY)
-        .join(per_day, DAY, "left")
-        .withColumn("_next", F.min(F.col("_ends").getItem(0).getField("on")).over(later))
-    )
-    position = F.struct(*[F.col(c) for c in order])
-    fits = F.filter("_ends", lambda e: e["cut"].isNull() | (position < e["cut"]))
+    dated = _with_day(df, ts)
+    totals = dated.groupBy(DAY).agg(F.sum(size).alias("_arrived"))
+    # One row per day with arrivals.
+    line = W.orderBy(DAY)
+    earlier = line.rowsBetween(W.unboundedPreceding, -1)
+    upto = line.rowsBetween(W.unboundedPreceding, 0)
+    number = F.datediff(DAY, F.min(DAY).over(W.partitionBy()))
+    gain = F.coalesce(F.sum("_arrived").over(earlier), F.lit(0)) - F.lit(budget) * number
+    waiting = totals.withColumn("_gain", gain).select(
+        F.col(DAY).alias("_on"), (F.col("_gain") - F.least(F.lit(0), F.min("_gain").over(upto))).alias("_waiting")
+    )
+    sliced = slice_ordered(dated, [DAY], order)
+    rows = running(sliced, [DAY], order, {"_today": ("sum", F.col(size))})
+    days = F.ceil((F.col("_waiting") + F.coalesce("_today", F.lit(0))) / F.lit(budget)) - 1
     return (
-        _with_day(df, ts)
-        .join(broadcast_if_small(table), DAY, "left")
-        .withColumn(
-            "deliver_on",
-            F.greatest(F.col(DAY), F.coalesce(F.try_element_at(fits, F.lit(1))["on"], F.col("_next"))),
-        )
-        .drop(DAY, "_ends", "_next")
+        rows.join(broadcast_if_small(waiting), F.col(DAY) == F.col("_on"), "left")
+        .withColumn("deliver_on", F.date_add(DAY, F.greatest(days, F.lit(0)).cast("int")))
+        .drop(DAY, "_on", "_waiting", "_today", SLICE)
     )
 
 
@@ -161,21 +113,21 @@ def budget_report(
 ) -> DataFrame:
     """Per UTC day: bytes kept and dropped, and when the use reached the warning share."""
     ts = order[0]
-    marked = _with_day(apply_daily_budget(df, budget, order, size), ts)
-    totals = marked.groupBy(DAY).agg(
+    share = float(warn_at * budget)
+    over = _beyond(budget)
+    # One row per day and limit, read for the cut and for the warning.
+    found = cut_lineage(crossings(df, sorted({over, share}), order, size))
+    cuts = found.filter(F.col("limit") == over).select(DAY, "cut")
+    totals = _marked(df, cuts, order).groupBy(DAY).agg(
         F.sum(F.when(~F.col("over_budget"), F.col(size)).otherwise(0)).alias("used_bytes"),
         F.sum(F.when(F.col("over_budget"), F.col(size)).otherwise(0)).alias("dropped_bytes"),
         F.count_if("over_budget").alias("dropped_rows"),
     )
-    warned = crossings(
-        df, _per_day(df, ts, warn_at * budget), order, size, inclusive=True
-    ).select(DAY, F.col(f"cut.{ts}").alias("reached_at"))
+    warned = found.filter(F.col("limit") == share).select(DAY, F.col(f"cut.{ts}").alias("reached_at"))
     # A row that no longer fits is not charged, so the warning needs the kept bytes to get there.
     return (
         totals.join(warned, DAY, "left")
-        .withColumn(
-            "warned_at", F.when(F.col("used_bytes") >= warn_at * budget, F.col("reached_at"))
-        )
+        .withColumn("warned_at", F.when(F.col("used_bytes") >= share, F.col("reached_at")))
         .withColumnRenamed(DAY, "day")
         .drop("reached_at")
     )

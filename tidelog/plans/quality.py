@@ -20,19 +20,37 @@ LABEL_MODE_DAYS = 7
 LOW_HEADROOM = 0.2
 
 
-def outcome(dropped_by: Column, sampled_out: Column, truncated: Column, used_fallback: Column) -> Column:
-    """What became of a row, from the most to the least decisive."""
-    return (
-        F.when(dropped_by.isNotNull(), F.concat(F.lit("filtered:"), dropped_by))
-        .when(sampled_out, F.lit("sampled_out"))
-        .when(truncated, F.lit("truncated"))
-        .when(used_fallback, F.lit("time_fallback"))
-        .otherwise(F.lit("clean"))
-    )
-
-
-def outcome_counts(rows: DataFrame, result: Column) -> DataFrame:
-    return rows.groupBy(result.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+def outcome_flags(
+    dropped_by: Column,
+    sampled_out: Column,
+    truncated: Column,
+    used_fallback: Column,
+    rules: Sequence[str] = (),
+) -> dict[str, Column]:
+    """What may have become of a row; `rules` names the rules that are counted apart. A filtered row is not sampled, and a row that is gone is neither
+    cut nor timed; beyond that each counter stands for itself, so a kept row may raise two."""
+    kept = dropped_by.isNull()
+    delivered = kept & ~sampled_out
+    return {
+        **{f"filtered:{name}": dropped_by == name for name in rules},
+        "filtered": ~kept,
+        "sampled_out": kept & sampled_out,
+        "truncated": delivered & truncated,
+        "time_fallback": delivered & used_fallback,
+        "delivered": delivered,
+    }
+
+
+def counters(flags: dict[str, Column]) -> list[Column]:
+    """One aggregate per flag, for `agg` or `observe`."""
+    return [F.count_if(flag).alias(name) for name, flag in flags.items()]
+
+
+def outcome_counts(rows: DataFrame, flags: dict[str, Column], by: Sequence[str] = ()) -> DataFrame:
+    """`by`, `outcome`, `n` for every flag, in one pass over the rows."""
+    counted = rows.groupBy(*by).agg(*counters(flags))
+    cells = [F.struct(F.lit(name).alias("outcome"), F.col(name).alias("n")) for name in flags]
+    return counted.select(*by, F.inline(F.array(*cells)))
 
 
 def run_summary(rows: DataFrame, file_id: str, rejected: Column, started: Column, ended: Column) -> DataFrame:
@@ -80,19 +98,21 @@ def double_count_audit(entries: DataFrame) -> DataFrame:
     )
 
 
+def label_sets(entries: DataFrame) -> DataFrame:
+    """Rows per exact label set; a few dozen sets stand for any number of rows."""
+    return entries.groupBy(stream_key(F.col("labels")).alias("_stream")).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def _labels_of(sets: DataFrame) -> DataFrame:
+    return sets.withColumn("labels", F.from_json("_stream", "map<string,string>"))
+
+
 def label_audit(entries: DataFrame) -> DataFrame:
     """Keys outside the allowed set, with the rows and streams that carry them."""
-    bad = entries.select(
-        F.explode(disallowed_labels(F.col("labels"))).alias("label"),
-        stream_key(F.col("labels")).alias("_stream"),
-    )
-    return bad.groupBy("label").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct("_stream").alias("streams")
+    bad = _labels_of(label_sets(entries)).select(
+        F.explode(disallowed_labels(F.col("labels"))).alias("label"), "_rows"
     )
-
-
-def reserved_labels(static: Sequence[str]) -> list[str]:
-    return sorted(set(static) & set(RESERVED_LABELS))
+    return bad.groupBy("label").agg(F.sum("_rows").alias("rows"), F.count(F.lit(1)).alias("streams"))
 
 
 def stream_sizes(entries: DataFrame) -> DataFrame:
@@ -104,11 +124,12 @@ def stream_sizes(entries: DataFrame) -> DataFrame:
 
 def cardinality_report(entries: DataFrame, approximate: bool = False) -> DataFrame:
     """Distinct values per label, and of whole label sets under the name `(stream)`."""
+    sets = _labels_of(label_sets(entries))
     own = F.transform(
         F.map_entries("labels"), lambda e: F.struct(e["key"].alias("label"), e["value"].alias("value"))
     )
-    whole = F.struct(F.lit("(stream)").alias("label"), stream_key(F.col("labels")).alias("value"))
-    cells = entries.select(F.explode(F.concat(own, F.array(whole))).alias("_c")).select("_c.*")
+    whole = F.struct(F.lit("(stream)").alias("label"), F.col("_stream").alias("value"))
+    cells = sets.select(F.explode(F.concat(own, F.array(whole))).alias("_c")).select("_c.*")
     count = F.approx_count_distinct("value") if approximate else F.count_distinct("value")
     return cells.groupBy("label").agg(count.alias("distinct_values"))
 

@@ -152,14 +152,16 @@ def stream_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "outcome_counts",
-    f"""WITH {E_SQL} SELECT CASE WHEN f_COUNTRY = 'IN' THEN 'filtered:india'
-        WHEN f_STATUS_CODE = '200' THEN 'filtered:drop_row-1'
-        WHEN {BUCKET_SQL.format("coalesce(nullif(f_REQUEST_ID, ''), line)")} >= 9000 THEN 'sampled_out'
-        WHEN octet_length(encode(line)) > 290 THEN 'truncated'
-        WHEN {PARSED_SQL} IS NULL THEN 'time_fallback' ELSE 'clean' END AS outcome, count(*) AS n FROM e GROUP BY 1""",
+    f"""WITH {E_SQL}, o AS (SELECT source, coalesce(f_COUNTRY = 'IN', false) AS india, coalesce(f_STATUS_CODE = '200', false) AS ok,
+        {BUCKET_SQL.format("coalesce(nullif(f_REQUEST_ID, ''), line)")} >= 9000 AS sampled,
+        octet_length(encode(line)) > 290 AS cut, {PARSED_SQL} IS NULL AS untimed FROM e),
+      d AS (SELECT *, NOT india AND NOT ok AS kept, NOT india AND NOT ok AND NOT sampled AS delivered FROM o),
+      c AS (SELECT source, unnest(['filtered:india', 'filtered:drop_row-1', 'filtered', 'sampled_out', 'truncated', 'time_fallback', 'delivered']) AS outcome,
+        unnest([india, ok AND NOT india, NOT kept, kept AND sampled, delivered AND cut, delivered AND untimed, delivered]) AS hit FROM d)
+      SELECT source, outcome, count(*) FILTER (hit) AS n FROM c GROUP BY 1, 2""",
 )
 def outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What became of every row, in one pass."""
+    """Every counter of a run by source, in one pass; rows may raise several."""
     rules = [
         Rule("drop_row", match={"COUNTRY": "IN"}, name="india"),
         Rule("drop_row", match={"STATUS_CODE": "200"}),
@@ -167,10 +169,11 @@ def outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = apply_rules(shaped(spark, sf_dir, max_line_bytes=290), rules)
     request = F.col("payload").getItem("REQUEST_ID")
     key = F.coalesce(F.when(request != "", request), canonical_line(F.col("payload")))
-    result = quality.outcome(
-        F.col("dropped_by"), ~keep_sampled(key, 0.9), F.col("truncated"), F.col("used_fallback")
+    flags = quality.outcome_flags(
+        F.col("dropped_by"), ~keep_sampled(key, 0.9), F.col("truncated"), F.col("used_fallback"),
+        rules=("india", "drop_row-1"),
     )
-    return quality.outcome_counts(rows, result)
+    return quality.outcome_counts(rows, flags, ["source"])
 
 
 @query(

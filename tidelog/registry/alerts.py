@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.functions.labels import text_map
 from tidelog.operators.series import trailing_counts
 from tidelog.plans import alerting
 from tidelog.registry.base import query
@@ -84,10 +87,7 @@ def callout_error_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {LIMITS_SQL} SELECT min(remaining / max) * 100 AS min_percent, min(remaining / max) * 100 < 10 AS firing FROM limits",
 )
 def api_headroom_low(spark: SparkSession, sf_dir: str) -> DataFrame:
-    limits = load_limits(limit_snapshots(spark, sf_dir))
-    on = ["user_id", "name"]
-    remaining = limits.select(*on, F.col("remaining").alias("value"))
-    return alerting.api_headroom_low(remaining, limits.select(*on, F.col("max").alias("value")), on)
+    return alerting.api_headroom_low(load_limits(limit_snapshots(spark, sf_dir)))
 
 
 @query(
@@ -140,3 +140,112 @@ def writer_count(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("ts"), F.when(F.col("o_orderstatus") == "P", 1).otherwise(0).alias("value")
     )
     return alerting.writer_count_anomaly(gauge, ["ts"])
+
+
+# --- the rules over metric frames, with their holds ---------------------------------------------
+
+
+def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event table as metrics: gauges per user and type, pushes by outcome, a lag histogram."""
+    raw = raw_events(spark, sf_dir)
+
+    def rows(name: str, attrs: dict[str, Column], value: Column, df: DataFrame = raw, le: Column | None = None) -> DataFrame:
+        return df.select(
+            "ts", F.lit(name).alias("name"), text_map(attrs).alias("attrs"), value.cast("double").alias("value"),
+            (F.lit(None) if le is None else le).cast("double").alias("le"),
+        )
+
+    user = {"job": F.lit("audit"), "user": F.col("user_id").cast("string")}
+    outcome = F.when(F.col("event_type") == "error", "failed").otherwise("success")
+    bound = F.explode(F.array(*(F.lit(float(b)) for b in (*LAG_BOUNDS, float("inf")))))
+    lags = raw.withColumn("bound", bound).filter(F.col("value") * 20 <= F.col("bound"))
+    parts = [
+        rows("remaining", user, F.col("k")),
+        rows("max", user, F.lit(100)),
+        rows("pushes", {"job": F.lit("audit"), "outcome": outcome}, F.lit(1)),
+        rows("lag", {"job": F.lit("audit"), "source": F.col("event_type")}, F.lit(1), lags, F.col("bound")),
+        rows("active", {"job": F.lit("audit"), "writer": F.col("event_type")}, (F.col("k") % 2)),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _gauge_sql(value: str, series: str, tick: int, stale: int) -> str:
+    """The newest value of every series at every tick, straight from the definition."""
+    return f"""SELECT tick, series, arg_max(value, ts) AS value FROM (SELECT ts, {series} AS series, {value} AS value FROM events) r,
+      (SELECT unnest(generate_series(TIMESTAMP '2023-12-31', TIMESTAMP '2024-02-05', to_minutes({tick}))) AS tick) t
+      WHERE ts < tick AND time_bucket(to_minutes({tick}), ts) >= tick - to_minutes({stale}) GROUP BY 1, 2"""
+
+
+_K = "CAST(json_extract_string(props, '$.k') AS INT)"
+
+
+@query(
+    "api_headroom_alerts",
+    f"WITH g AS ({_gauge_sql(_K, 'user_id', 60, 720)}), "
+    + _pending_sql("SELECT tick, min(value / 100) * 100 AS percent FROM g GROUP BY 1", "percent < 1.5", 300, 60),
+)
+def api_headroom_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alerting.api_headroom_alerts(
+        _metrics(spark, sf_dir), "remaining", "max", percent=1.5, hold_minutes=300, tick_minutes=60, stale_minutes=720, job="audit"
+    )
+
+
+@query(
+    "ingest_lag_alerts",
+    f"""WITH hist AS (SELECT tick, le, count(*) FILTER (value * 20 <= le) AS n FROM events,
+        (SELECT unnest([{', '.join(f'{b}::DOUBLE' for b in LAG_BOUNDS)}, 'infinity'::DOUBLE]) AS le) b,
+        (SELECT unnest(generate_series(TIMESTAMP '2023-12-31', TIMESTAMP '2024-02-02', to_minutes(60))) AS tick) t
+        WHERE ts < tick AND ts >= tick - to_minutes(360) AND value * 20 <= le GROUP BY ALL),
+      ordered AS (SELECT *, max(n) OVER (PARTITION BY tick) AS total,
+        coalesce(lag(le) OVER w, 0) AS low, coalesce(lag(n) OVER w, 0) AS before
+        FROM hist WINDOW w AS (PARTITION BY tick ORDER BY le)),
+      first AS (SELECT * FROM ordered WHERE n >= 0.95::DOUBLE * total
+        QUALIFY row_number() OVER (PARTITION BY tick ORDER BY le) = 1),
+      q AS (SELECT tick, CASE WHEN isinf(le) THEN low ELSE
+        low + (le - low) * ((0.95::DOUBLE * total - before) / (n - before)) END AS quantile FROM first), """
+    + _pending_sql("SELECT * FROM q", "quantile > 900", 120, 60),
+)
+def ingest_lag_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alerting.ingest_lag_alerts(
+        _metrics(spark, sf_dir), "lag", range_minutes=360, hold_minutes=120, tick_minutes=60, job="audit"
+    )
+
+
+@query(
+    "delivery_failing_alerts",
+    "WITH "
+    + _pending_sql(
+        _ticks_sql("SELECT ts, event_type FROM events", "count(*) FILTER (event_type = 'error') / greatest(count(*), 0.0001::DOUBLE) * 100 AS percent", 120, 30),
+        "percent > 20", 90, 30,
+    ),
+)
+def delivery_failing_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alerting.delivery_failing_alerts(
+        _metrics(spark, sf_dir), "pushes", percent=20.0, range_minutes=120, hold_minutes=90, tick_minutes=30, job="audit"
+    )
+
+
+@query(
+    "no_recent_delivery_alerts",
+    "WITH "
+    + _pending_sql(
+        """SELECT tick, epoch(tick) - max(epoch(ts)) AS age FROM (SELECT ts FROM events WHERE event_type = 'click'),
+        (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', to_minutes(10))) AS tick) t
+        WHERE ts < tick GROUP BY 1""",
+        "age > 3600", 60, 10,
+    ),
+)
+def no_recent_delivery_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clicks = raw_events(spark, sf_dir).filter("event_type = 'click'")
+    return alerting.no_recent_delivery_alerts(clicks, "2024-01-31", 3600.0, hold_minutes=60, tick_minutes=10)
+
+
+@query(
+    "writer_count_alerts",
+    f"WITH g AS ({_gauge_sql(_K + ' % 2', 'event_type', 30, 120)}), "
+    + _pending_sql("SELECT tick, sum(value) AS writers FROM g GROUP BY 1", "abs(writers - 1) > 0", 90, 30),
+)
+def writer_count_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alerting.writer_count_alerts(
+        _metrics(spark, sf_dir), "active", hold_minutes=90, tick_minutes=30, stale_minutes=120, job="audit"
+    )

@@ -21,7 +21,7 @@ from tidelog.plans.quality import categorised
 from tidelog.registry.base import query
 from tidelog.registry.shape import shaped
 from tidelog.registry.tables import E_SQL, FILES_SQL, entries, files, raw_events, table
-from tidelog.sources.debug_logs import logs_of_users, read_debug_logs
+from tidelog.sources.debug_logs import logs_of_users, logs_with_bodies, read_debug_logs
 from tidelog.sources.orgs import Org, load_limits, union_orgs
 
 NOW = "2024-02-01 00:00:00"
@@ -154,13 +154,14 @@ def debug_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "debug_log_bodies",
-    f"""WITH {_META_SQL} SELECT "Id", "LogLength", CASE WHEN NOT lost THEN length(text) END AS chars FROM meta""",
+    f"""WITH {_META_SQL} SELECT "Id", "LogLength", CASE WHEN NOT lost AND "LogLength" <= 400 THEN length(text) END AS chars,
+      CASE WHEN "LogLength" > 400 THEN 'size' WHEN lost THEN 'download_error' END AS skip_reason FROM meta""",
 )
 def debug_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every log with its body where there is one."""
+    """Every log with its body where there is one of an allowed size."""
     meta, bodies = _debug_logs(spark, sf_dir)
-    return meta.join(bodies, "Id", "left").select(
-        "Id", "LogLength", F.length("body").cast("bigint").alias("chars")
+    return logs_with_bodies(meta, bodies, 400).select(
+        "Id", "LogLength", F.length("body").cast("bigint").alias("chars"), "skip_reason"
     )
 
 

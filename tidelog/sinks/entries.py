@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -67,11 +67,17 @@ def deliver_batch(
     *,
     reason: Column | None = None,
     tokens: DataFrame | None = None,
+    counted: tuple[Observation, Sequence[Column]] | None = None,
 ) -> None:
-    """Write entries, then rejects, then progress: positions advance only over durable rows."""
+    """Write entries, then rejects, then progress: positions advance only over durable rows.
+
+    `counted` is an observation and the aggregates it takes of the rows on their way to the sink.
+    """
     # Written in two parts, so the shaped batch is kept instead of computed twice.
     kept = df.persist()
     good, bad = split_rejects(kept, reject_reason() if reason is None else reason)
+    if counted:
+        good = good.observe(counted[0], *counted[1])
     write_entries(good, f"{path}/entries", batch_id)
     bad.write.mode("overwrite").parquet(f"{path}/rejects/batch_id={batch_id}")
     kept.unpersist()

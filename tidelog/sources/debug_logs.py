@@ -25,12 +25,31 @@ def logs_of_users(meta: DataFrame, users: Sequence[str] = (), col: str = "Userna
     return meta.filter(F.col(col).isin(*users)) if users else meta
 
 
-def body_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """`(Id, body)` of whole text files named `<Id>.log`."""
+def body_files(spark: SparkSession, paths: Sequence[str], max_bytes: int | None = None) -> DataFrame:
+    """`(Id, body)` of whole text files named `<Id>.log`; with `max_bytes`, larger files are not read."""
     name = F.regexp_extract(F.col("_metadata.file_name"), r"\A(.*?)(?:[.][^.]*)?\z", 1)
-    return spark.read.text(list(paths), wholetext=True).select(
-        name.alias("Id"), F.col("value").alias("body")
+    files = spark.read.text(list(paths), wholetext=True)
+    if max_bytes is not None:
+        files = files.filter(F.col("_metadata.file_size") <= max_bytes)
+    return files.select(name.alias("Id"), F.col("value").alias("body"))
+
+
+def logs_with_bodies(meta: DataFrame, bodies: DataFrame, max_body_bytes: int) -> DataFrame:
+    """`meta` with `body` and `skip_reason`.
+
+    Only logs of an allowed length meet the bodies, and only bodies of an allowed size: the rest of
+    either side is not moved. A log longer than `max_body_bytes` or of unknown length is skipped for
+    its `size`, one without a body for its `download_error`.
+    """
+    small = F.coalesce(F.col("LogLength") <= max_body_bytes, F.lit(False))
+    near = bodies.filter(F.octet_length("body") <= max_body_bytes)
+    joined = meta.filter(small).join(near, "Id", "left").withColumn(
+        "skip_reason", F.when(F.col("body").isNull(), F.lit("download_error"))
+    )
+    large = meta.filter(~small).withColumns(
+        {"body": F.lit(None).cast("string"), "skip_reason": F.lit("size")}
     )
+    return joined.unionByName(large)
 
 
 def read_debug_logs(
@@ -44,15 +63,12 @@ def read_debug_logs(
 ) -> DataFrame:
     """Entries of debug logs.
 
-    A log longer than `max_body_bytes`, or without a body, ships its metadata as the line and says
-    why (`size` or `download_error`). The length filter runs before the join, so oversized bodies
-    are never moved.
+    A log without a usable body ships its metadata as the line and says why (`size` or
+    `download_error`).
     """
     fields = {f: F.col(f) for f in META_FIELDS if f in meta.columns}
-    small = F.col("LogLength") <= max_body_bytes
-    wanted = meta.withColumn("_body_id", F.when(small, F.col("Id")))
-    joined = wanted.join(bodies.withColumnRenamed("Id", "_body_id"), "_body_id", "left")
-    reason = F.when(~small, F.lit("size")).when(F.col("body").isNull(), F.lit("download_error"))
+    joined = logs_with_bodies(meta, bodies, max_body_bytes)
+    reason = F.col("skip_reason")
     payload = text_map(fields)
     skipped = text_map(
         {"body_skipped": F.when(reason.isNotNull(), F.lit("true")), "body_skip_reason": reason}

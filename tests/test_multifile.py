@@ -1,14 +1,17 @@
 """Tables that are folders of part files give what single files give."""
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidelog.operators.series import trailing_counts
+from tidelog.operators.shape import shape_topic_events
 from tidelog.registry import queries
 from tidelog.sinks.payloads import batched, push_payloads
 from tidelog.sources.csv_files import read_event_log_csv
+from tidelog.sources.streams import stream_events
 
 SF_DIR = os.environ.get("TIDELOG_SF_DIR", "/root/testdata/sf0.001")
 # Their state steps once a micro-batch, so it depends on how the table is cut.
@@ -68,3 +71,43 @@ def test_a_very_wide_row_does_not_fail_the_file(spark, tmp_path):
     rows = [r.payload for r in read_event_log_csv(spark, [str(tmp_path / "wide.csv")]).collect()]
     assert [r["A"] for r in rows] == ["1", "x", "3"]
     assert rows[1]["_extra"].count("x") == 29_998
+
+
+def test_latest_skips_what_is_there_and_survives_a_restart(spark, tmp_path):
+    source, position, out = (str(tmp_path / n) for n in ("in", "position", "out"))
+    schema = "id long"
+
+    def run():
+        rows = stream_events(spark, source, schema, start="LATEST", position=position)
+        writer = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "state"))
+        writer.trigger(availableNow=True).start().awaitTermination()
+        return sorted(r.id for r in spark.read.schema(schema).parquet(out).collect())
+
+    spark.range(3).coalesce(1).write.parquet(source)
+    assert run() == []
+    time.sleep(0.05)
+    spark.range(10, 12).coalesce(1).write.mode("append").parquet(source)
+    assert run() == [10, 11]
+    # Files that arrive while nothing runs are read by the next run.
+    spark.range(20, 21).coalesce(1).write.mode("append").parquet(source)
+    assert run() == [10, 11, 20]
+    with pytest.raises(ValueError, match="starting point"):
+        stream_events(spark, source, schema, start="LATEST")
+
+
+def test_topic_times_are_read_by_type(spark):
+    bodies = [
+        ('{"EventDate": 1700000000123, "A": 1}', "2023-11-14 22:13:20.123", False),
+        ('{"EventDate": "1700000000123"}', "2026-01-01 00:00:00", True),
+        ('{"CreatedDate": "2025-03-04T05:06:07Z"}', "2025-03-04 05:06:07", False),
+        ('{"ChangeEventHeader": {"commitTimestamp": 1700000000000}}', "2023-11-14 22:13:20", False),
+        ("{}", "2026-01-01 00:00:00", True),
+    ]
+    rows = spark.createDataFrame([(n, b) for n, (b, _, _) in enumerate(bodies)], "n long, text string").select(
+        "n", F.lit("/data/AccountChangeEvent").alias("topic"), F.try_parse_json("text").alias("body"),
+        F.lit(bytearray(b"\x00\x01")).alias("replay_id"),
+    )
+    got = shape_topic_events(rows, now="2026-01-01").orderBy("n").collect()
+    assert [(str(r.ts), r.used_fallback) for r in got] == [(t if "." not in t else t + "000", u) for _, t, u in bodies]
+    assert got[0].line == '{"A":1,"EventDate":1700000000123}'
+    assert (got[0].ckpt_key, got[0].ckpt_value) == ("pubsub:/data/AccountChangeEvent", "AAE=")

@@ -8,12 +8,13 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.functions.identity import topic_event_type
 from tidelog.functions.labels import merge_maps, promote, promote_listed, text_map
 from tidelog.functions.payload import canonical_line
 from tidelog.functions.severity import derive_level
 from tidelog.functions.text import cap_line, line_bytes
-from tidelog.functions.times import extract_event_time, iso_micros, parse_event_time
-from tidelog.schema import TIME_FIELDS
+from tidelog.functions.times import extract_event_time, iso_micros, parse_event_time, parse_variant_time
+from tidelog.schema import TIME_FIELDS, TOPIC_TIMES
 
 
 def promote_metadata(payload: Column, fields: Sequence[str]) -> Column:
@@ -105,6 +106,48 @@ def shape_entries(
     return cap_entries(shaped, max_line_bytes)
 
 
+def shape_topic_events(
+    df: DataFrame,
+    *,
+    now: Column | datetime | str,
+    metadata_fields: Sequence[str] = (),
+    label_fields: Sequence[str] = (),
+    static: Mapping[str, str] | None = None,
+    fallback: Column | None = None,
+    max_line_bytes: int = 262_144,
+) -> DataFrame:
+    """Entries from topic events with `topic`, a VARIANT `body` and a BINARY `replay_id`.
+
+    Times are read by type: numbers are milliseconds since the epoch, text is parsed. The first of
+    the event's own date, its creation date and the commit time of its change header counts; rows
+    with none take `fallback`, the topic's last good time. `ckpt_key` and `ckpt_value` are the topic
+    and the position a run would resume after. Rows whose body did not parse are left out; poison
+    rows are set aside before.
+    """
+    body = F.col("body")
+    times = [parse_variant_time(body, path) for path in TOPIC_TIMES]
+    ts, used_fallback = extract_event_time(times, fallback, now)
+
+    def text(names: Sequence[str]) -> Column:
+        return text_map({n: F.try_variant_get(body, f"$.{n}", "string") for n in names})
+
+    shaped = df.filter(body.isNotNull()).withColumns(
+        {
+            "ts": ts,
+            "used_fallback": used_fallback,
+            "event_type": topic_event_type(F.col("topic")),
+            "labels": entry_labels(
+                text(label_fields), F.lit("pubsub"), topic_event_type(F.col("topic")), static or {}
+            ),
+            "metadata": text(metadata_fields),
+            "line": F.to_json(body),
+            "ckpt_key": F.concat(F.lit("pubsub:"), F.col("topic")),
+            "ckpt_value": F.base64("replay_id"),
+        }
+    )
+    return cap_entries(shaped, max_line_bytes)
+
+
 def cap_entries(df: DataFrame, max_line_bytes: int) -> DataFrame:
     """Cap the line and record what was cut."""
     size = line_bytes(F.col("line"))

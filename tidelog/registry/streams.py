@@ -16,10 +16,14 @@ from tidelog.functions.labels import text_map
 from tidelog.functions.payload import canonical_line
 from tidelog.operators.progress import show_progress
 from tidelog.operators.rules import Rule, apply_rules
+from tidelog.operators.shape import shape_topic_events
+from tidelog.operators.streaks import fill_last_good
 from tidelog.plans import recording
 from tidelog.plans.dashboard import in_range, with_field
 from tidelog.registry.base import query
-from tidelog.registry.tables import E_SQL, ENVELOPE, K, _fields, entries, filled_entries, table
+from tidelog.registry.tables import (
+    E_SQL, ENVELOPE, K, _fields, entries, filled_entries, raw_events, table,
+)
 from tidelog.schema import PROGRESS_SCHEMA
 from tidelog.session import shared_folder
 from tidelog.sinks.entries import read_entries, stream_entries, write_entries
@@ -27,7 +31,7 @@ from tidelog.sources.csv_files import read_event_log_csv
 from tidelog.sources.streams import quarantine_poison, stream_events
 from tidelog.streaming.lanes import Lane, start_lanes
 from tidelog.streaming.state import stream_failure_streaks, stream_last_good
-from tidelog.streaming.windows import dedup_redelivered, mark_late, windowed_counts
+from tidelog.streaming.windows import dedup_redelivered, mark_late, stream_late_rows, windowed_counts
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -138,6 +142,69 @@ def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.groupBy("source", "late").agg(F.count("*").alias("n"), F.max("lag_seconds").alias("worst"))
 
 
+@query(
+    "stream_late_rows",
+    f"""WITH {E_SQL} SELECT source, k * 600 > 21600 AS late, count(*) AS n FROM e GROUP BY 1, 2""",
+)
+def late_side_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """On-time rows and the side table of late ones, as a stream wrote them."""
+    folder = scratch(spark, "late")
+    arrived = F.col("ts") + F.make_dt_interval(secs=F.col("k") * 600)
+    rows = entry_stream(spark, sf_dir).select("event_id", "ts", "source", "k")
+    _finish(stream_late_rows(rows, folder, f"{folder}/checkpoint", arrived, 6 * 3600))
+    sides = [
+        spark.read.parquet(f"{folder}/{side}").select("source", F.lit(side == "late").alias("late"))
+        for side in ("rows", "late")
+    ]
+    return sides[0].union(sides[1]).groupBy("source", "late").agg(F.count("*").alias("n"))
+
+
+_BODY_SQL = """b AS (SELECT event_id, event_type, ts, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events)"""
+
+
+@query(
+    "shape_topic_events",
+    f"""WITH {_BODY_SQL}, t AS (SELECT *, CASE k % 4 WHEN 0 THEN make_timestamp(epoch_us(ts) // 1000 * 1000)
+        WHEN 1 THEN date_trunc('second', ts) WHEN 2 THEN make_timestamp(epoch_us(ts) // 1000 * 1000) END AS own FROM b)
+      SELECT event_id, event_type, coalesce(own, last_value(own IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY event_id
+          ROWS UNBOUNDED PRECEDING), TIMESTAMP '2024-01-01') AS ts, own IS NULL AS used_fallback,
+        'pubsub:/event/' || event_type AS ckpt_key, CAST(event_id AS VARCHAR) AS position, 'u' || (k % 7) AS user_id,
+        CASE k % 4 WHEN 0 THEN '{{"EventDate":' || epoch_us(ts) // 1000 || ',"UserId":"u' || (k % 7) || '"}}'
+          WHEN 1 THEN '{{"CreatedDate":"' || strftime(ts, '%Y-%m-%dT%H:%M:%SZ') || '","UserId":"u' || (k % 7) || '"}}'
+          WHEN 2 THEN '{{"ChangeEventHeader":{{"commitTimestamp":' || epoch_us(ts) // 1000 || '}},"UserId":"u' || (k % 7) || '"}}'
+          ELSE '{{"UserId":"u' || (k % 7) || '"}}' END AS line FROM t""",
+)
+def topic_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads with each kind of time, or none, from JSON text to entries."""
+    user = F.concat(F.lit("u"), F.col("k") % 7)
+    millis = F.unix_millis("ts")
+    payload = (
+        F.when(F.col("k") % 4 == 0, F.to_json(F.struct(user.alias("UserId"), millis.alias("EventDate"))))
+        .when(F.col("k") % 4 == 1, F.to_json(F.struct(
+            user.alias("UserId"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("CreatedDate"))))
+        .when(F.col("k") % 4 == 2, F.to_json(F.struct(
+            user.alias("UserId"), F.struct(millis.alias("commitTimestamp")).alias("ChangeEventHeader"))))
+        .otherwise(F.to_json(F.struct(user.alias("UserId"))))
+    )
+    rows = raw_events(spark, sf_dir).select(
+        "event_id",
+        F.concat(F.lit("/event/"), "event_type").alias("topic"),
+        F.try_parse_json(payload).alias("body"),
+        F.col("event_id").cast("string").cast("binary").alias("replay_id"),
+    )
+    timed = shape_topic_events(rows, now=F.lit(None).cast("timestamp")).select("event_id", "topic", "ts")
+    good = fill_last_good(timed, ["topic"], ["event_id"], "ts").select("event_id", "filled_ts")
+    # All last good times are newer than this, so none is too old to be used.
+    shaped = shape_topic_events(
+        rows.join(good, "event_id"), now="2024-01-01", metadata_fields=["UserId"], fallback=F.col("filled_ts")
+    )
+    return shaped.select(
+        "event_id", "event_type", "ts", "used_fallback", "ckpt_key",
+        F.unbase64("ckpt_value").cast("string").alias("position"),
+        F.col("metadata").getItem("UserId").alias("user_id"), "line",
+    )
+
+
 @query(
     "stream_last_good",
     """WITH t AS (SELECT event_id, event_type, CASE WHEN value > 12 THEN NULL ELSE ts END AS seen FROM events)

@@ -47,6 +47,9 @@ TIME_FIELDS = {
     "apexlog": ("StartTime",),
 }
 
+# Where a topic event may carry its time, in the order they are tried.
+TOPIC_TIMES = ("$.EventDate", "$.CreatedDate", "$.ChangeEventHeader.commitTimestamp")
+
 # Upper bounds in seconds of the ingest-lag histogram.
 LAG_BOUNDS = (1, 5, 15, 60, 300, 900, 1800, 3600, 7200, 14400, 28800, 86400)
 

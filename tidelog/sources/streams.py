@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,9 +24,12 @@ def stream_events(
     max_bytes: str | None = None,
     file_format: str = "parquet",
     glob: str | None = None,
+    position: str | None = None,
 ) -> DataFrame:
     """Rows of a growing folder. A running query resumes from its checkpoint; `start` only decides
-    what a new one reads first: everything (`EARLIEST`) or newest files first (`LATEST`).
+    what a new one reads: everything (`EARLIEST`) or what arrives after the files that are there when
+    it first starts (`LATEST`). That point is kept in the folder `position`, next to the checkpoint,
+    so that a restart does not move it over files that arrived meanwhile.
 
     New `event_type=` folders under the path join a running query with its next micro-batch, and
     folders or files that vanish are ignored. `max_files` or `max_bytes` bound a micro-batch.
@@ -33,7 +39,6 @@ def stream_events(
     reader = (
         spark.readStream.format(file_format)
         .schema(schema)
-        .option("latestFirst", str(start == "LATEST").lower())
         .option("ignoreMissingFiles", "true")
     )
     if max_files:
@@ -42,7 +47,30 @@ def stream_events(
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path)
+    rows = reader.load(path)
+    if start == "EARLIEST":
+        return rows
+    if position is None:
+        raise ValueError("LATEST needs a folder that keeps the starting point")
+    began = start_time(spark, path, position, glob)
+    return rows if began is None else rows.filter(F.col("_metadata.file_modification_time") > F.lit(began))
+
+
+def start_time(spark: SparkSession, path: str, position: str, glob: str | None = None) -> datetime | None:
+    """The time of the newest file that was there at the first start, null if there was none."""
+    schema = "began timestamp"
+    try:
+        kept = spark.read.schema(schema).parquet(position).first()
+    except AnalysisException:
+        kept = None
+    if kept is None:
+        # Only the listing is read, not the files.
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        found = found.option("pathGlobFilter", glob) if glob else found
+        newest = found.load(path).agg(F.max("modificationTime").alias("began"))
+        newest.coalesce(1).write.mode("overwrite").parquet(position)
+        kept = spark.read.schema(schema).parquet(position).first()
+    return kept.began
 
 
 def quarantine_poison(

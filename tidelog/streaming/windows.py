@@ -11,6 +11,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from tidelog.functions.labels import stream_key
 from tidelog.functions.times import instant, seconds_between
@@ -63,6 +64,42 @@ def dedup_redelivered(
     )
 
 
+def split_late(
+    df: DataFrame, arrived: Column | datetime | str, bound_seconds: int, ts: str = "ts"
+) -> tuple[DataFrame, DataFrame]:
+    """Rows within the bound, and the late ones; a row without a time is late."""
+    marked = mark_late(df, arrived, bound_seconds, ts)
+    late = F.coalesce(F.col("late"), F.lit(True))
+    return marked.filter(~late).drop("late", "lag_seconds"), marked.filter(late)
+
+
+def stream_late_rows(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    arrived: Column | datetime | str,
+    bound_seconds: int,
+    *,
+    ts: str = "ts",
+    trigger: dict[str, object] | None = None,
+) -> DataStreamWriter:
+    """Write every micro-batch to `path/rows`, and its late rows to the side table `path/late`.
+
+    Windows downstream read the rows; what their watermark would drop without a trace is kept, with
+    its lag, in the side table. A replayed batch overwrites what it wrote.
+    """
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist()
+        good, late = split_late(kept, arrived, bound_seconds, ts)
+        good.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
+        late.write.mode("overwrite").parquet(f"{path}/late/batch_id={batch_id}")
+        kept.unpersist()
+
+    writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True}))
+
+
 def mark_late(
     df: DataFrame, arrived: Column | datetime | str, bound_seconds: int, ts: str = "ts"
 ) -> DataFrame:

@@ -8,17 +8,20 @@ instead of 1,536. A pair of similarity 0.75 meets in at least one table with pro
 
 Steps, each a Spark job over rows that are spread by hash:
 
-1. one pass over the texts: set size, set identity, half-keys, a byte of every minhash;
+1. one pass over the texts: set size, set identity, half-keys, parities;
 2. equal sets become one class, represented by its least doc_id;
 3. a half-key that only one class has cannot be part of a shared table key and is left out, then the
    remaining halves are combined;
 4. first round: every class is compared with the most central class of each of its tables, which joins the
    bulk of a large group through few pairs;
-5. second round: tables whose classes are not yet all in one component are compared in full across the
-   components, in bounded blocks, so no found candidate is lost; an upper bound on the common shingles
-   leaves out what cannot link;
-6. candidates whose minhash bytes agree on fewer than `SKETCH_LEAST` of 96 places are dropped (a pair at 0.75
-   falls below with probability under 1e-5), all others are decided on their full sets.
+5. second round: classes of tables that are not yet all in one component are compared in full across the
+   components, in blocks of at most `BLOCK` rows a side. They meet by their shared half-keys of the first
+   collection, a superset of the shared tables with far fewer rows, and a pair leaves a block only where it
+   meets first and if it may link, so no candidate is lost and none is written twice;
+6. a pair may link if its sizes allow it and if the parities of its shingles do: each set keeps, for `BITS`
+   buckets, whether it has an odd number of shingles there. Common shingles cancel, so the number of buckets
+   that differ is at most the number of shingles that only one side has, and no link is dropped;
+7. what remains is decided on the full sets.
 
 Defined results: null and wordless texts have an empty set and link with nothing; equal sets always link;
 rows that repeat a doc_id count as one document; rows without a doc_id keep their set size, have no
@@ -41,8 +44,8 @@ from tidelog.llm.frames import modest_batches, written
 COLLECTION = 16
 ROWS = 3
 HASHES = 2 * COLLECTION * ROWS
-SKETCH_LEAST = 54
-BLOCK = 256
+BITS = 2048
+BLOCK = 1024
 # Similarity that links, as a ratio of whole numbers.
 SHARED, WHOLE = 75, 100
 
@@ -74,6 +77,23 @@ def half_keys(minima: np.ndarray) -> np.ndarray:
     return keys
 
 
+def parities(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """(texts, BITS / 8) bytes: for every bucket of shingles, whether the set has an odd number in it."""
+    bucket = (values >> np.uint64(20) & np.uint64(BITS - 1)).astype(np.int64)
+    owner = np.repeat(np.arange(len(sizes)) * BITS, sizes)
+    odd = np.bincount(owner + bucket, minlength=len(sizes) * BITS) & 1
+    return np.packbits(odd.astype(bool).reshape(len(sizes), BITS), axis=1)
+
+
+def may_link(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray) -> np.ndarray:
+    """Which pairs of parities (as words of 64 bits) and set sizes allow a link; the arrays broadcast."""
+    apart = np.bitwise_count(left ^ right).sum(-1, dtype=np.int64)
+    both = n_left + n_right
+    # |A & B| / |A | B| >= s with |A| + |B| = t and d shingles on one side only: (t - d) / (t + d) >= s.
+    fits = (both - apart) * WHOLE >= (both + apart) * SHARED
+    return fits & (np.minimum(n_left, n_right) * WHOLE >= np.maximum(n_left, n_right) * SHARED)
+
+
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in texts.pieces(batch, "text"):
@@ -81,14 +101,14 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes = np.array([len(s) for s in sets])
             full = np.flatnonzero(sizes)
             keys = np.zeros((len(sets), 2 * COLLECTION), np.int64)
-            sketch = np.zeros((len(sets), HASHES), np.uint8)
+            parity = np.zeros((len(sets), BITS // 8), np.uint8)
             same = np.zeros((len(sets), 2), np.int64)
             if len(full):
                 values = np.concatenate([sets[i] for i in full])
                 first = np.concatenate(([0], np.cumsum(sizes[full])[:-1]))
                 minima = minhashes(values, first)
                 keys[full] = half_keys(minima).view(np.int64)
-                sketch[full] = (minima & np.uint32(255)).astype(np.uint8)
+                parity[full] = parities(values, sizes[full])
                 mixed = texts.mix(values ^ np.uint64(0x5851F42D4C957F2D))
                 same[full, 0] = np.add.reduceat(values, first).view(np.int64)
                 same[full, 1] = np.add.reduceat(mixed, first).view(np.int64)
@@ -101,9 +121,9 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.ListArray.from_arrays(
                         np.arange(0, keys.size + 1, 2 * COLLECTION, dtype=np.int32), pa.array(keys.ravel())
                     ),
-                    pa.array([row.tobytes() for row in sketch], pa.binary()),
+                    pa.array([row.tobytes() for row in parity], pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "halves", "sketch"],
+                names=["doc_id", "n_shingles", "set_a", "set_b", "halves", "parity"],
             )
 
 
@@ -111,7 +131,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     modest_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
         _signatures,
-        "doc_id long, n_shingles long, set_a long, set_b long, halves array<long>, sketch binary",
+        "doc_id long, n_shingles long, set_a long, set_b long, halves array<long>, parity binary",
     )
 
 
@@ -126,27 +146,22 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _similar_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bits(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), BITS // 64)
+
+
+def _fitting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        if not len(batch):
-            continue
-        left, right = (
-            np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, HASHES) for c in (2, 3)
-        )
-        close = (left == right).sum(1) >= SKETCH_LEAST
-        yield batch.filter(pa.array(close)).select([0, 1])
+        sizes = (batch.column(i).to_numpy() for i in (4, 5))
+        yield batch.filter(pa.array(may_link(_bits(batch.column(2)), _bits(batch.column(3)), *sizes))).select([0, 1])
 
 
 def _promising(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) whose sizes and minhash bytes allow a link."""
+    """Distinct pairs (a, b) whose sizes and parities allow a link."""
     pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    side = nodes.select("doc_id", "n_shingles", "sketch")
-    both = (
-        pairs.join(side.toDF("a", "n_a", "sketch_a"), "a")
-        .join(side.toDF("b", "n_b", "sketch_b"), "b")
-        .filter(F.least("n_a", "n_b") * WHOLE >= F.greatest("n_a", "n_b") * SHARED)
-    )
-    return both.select("a", "b", "sketch_a", "sketch_b").mapInArrow(_similar_sketches, "a long, b long")
+    side = nodes.select("doc_id", "n_shingles", "parity")
+    both = pairs.join(side.toDF("a", "n_a", "parity_a"), "a").join(side.toDF("b", "n_b", "parity_b"), "b")
+    return both.select("a", "b", "parity_a", "parity_b", "n_a", "n_b").mapInArrow(_fitting, "a long, b long")
 
 
 def shingle_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -209,7 +224,7 @@ def near_duplicate_groups(docs: DataFrame) -> DataFrame:
     same_id = members.filter("class_id IS NOT NULL").select(F.col("doc_id").alias("a"), F.col("class_id").alias("b"))
     heads = members.filter("class_id = doc_id").select("doc_id", "set_a", "set_b").distinct()
     nodes = written(
-        rows.join(heads, ["doc_id", "set_a", "set_b"], "left_semi").select("doc_id", "n_shingles", "halves", "sketch")
+        rows.join(heads, ["doc_id", "set_a", "set_b"], "left_semi").select("doc_id", "n_shingles", "halves", "parity")
     )
     tables = _tables(nodes)
     pivots = (
@@ -227,10 +242,10 @@ def near_duplicate_groups(docs: DataFrame) -> DataFrame:
     stars = written(_promising(stars, nodes))
     ends = stars.select(F.col("a").alias("doc_id")).union(stars.select(F.col("b").alias("doc_id"))).distinct()
     links = written(verified(stars, shingle_rows(docs, ends)))
-    slim = written(_with_components(nodes.select("doc_id", "n_shingles", "sketch"), links))
-    open_rows = _open_tables(tables, slim)
-    sets = shingle_rows(docs, open_rows.select("doc_id").distinct())
-    rest = verified(_promising(_across(open_rows, sets), slim), sets)
+    slim = written(_with_components(nodes, links))
+    rest = written(_across(slim, _open_classes(tables, slim)).distinct())
+    ends = rest.select(F.col("a").alias("doc_id")).union(rest.select(F.col("b").alias("doc_id"))).distinct()
+    rest = verified(rest, shingle_rows(docs, ends))
     found = components(links.union(rest).union(same_id.filter("a <> b")))
     out = members.join(found, members.doc_id == found.node, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "class_id", "doc_id"))
@@ -239,51 +254,77 @@ def near_duplicate_groups(docs: DataFrame) -> DataFrame:
     )
 
 
-def _open_tables(tables: DataFrame, slim: DataFrame) -> DataFrame:
-    """(key, doc_id, component_id, blocks) of the tables whose classes are in several components."""
+def _open_classes(tables: DataFrame, slim: DataFrame) -> DataFrame:
+    """(doc_id) of the classes in tables that hold classes of several components."""
     placed = written(tables.select("key", "doc_id").join(slim.select("doc_id", "component_id"), "doc_id"))
-    mixed = written(
-        placed.groupBy("key")
-        .agg(F.min("component_id").alias("low"), F.max("component_id").alias("high"), F.count("*").alias("rows"))
-        .filter("low < high")
-        .select("key", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
-    )
-    return written(placed.join(mixed, "key"))
-
+    mixed = placed.groupBy("key").agg(F.min("component_id").alias("low"), F.max("component_id").alias("high"))
+    return placed.join(written(mixed.filter("low < high").select("key")), "key", "left_semi").select("doc_id").distinct()
 
-def _across(open_rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of classes that share an open table but no component, in blocks of about BLOCK rows.
 
-    A shingle that no other open class has cannot be shared, so the number of the remaining ones bounds
-    what two classes have in common. In a large group of edited copies whose edits differ this leaves few
-    pairs beside the links.
-    """
-    alone = (
-        sets.select("doc_id", F.explode("shingles").alias("shingle"))
-        .groupBy("shingle")
-        .agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("other"))
-        .filter("doc_id = other")
-        .groupBy("doc_id")
-        .agg(F.count("*").alias("alone"))
+def _across(slim: DataFrame, open_classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of open classes that share a half-key of the first collection, are in different components
+    and may link."""
+    firsts = F.slice("halves", 1, COLLECTION).alias("firsts")
+    rows = written(
+        slim.join(written(open_classes), "doc_id", "left_semi").select("doc_id", "n_shingles", "component_id", "parity", firsts)
     )
-    size = sets.select("doc_id", F.size("shingles").alias("size"))
-    common = (
-        size.join(alone, "doc_id", "left")
-        .select("doc_id", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("common"))
-        .filter(F.col("common") * WHOLE >= F.col("size") * SHARED)
+    places = rows.select("doc_id", "component_id", F.posexplode("firsts").alias("slot", "half"))
+    shared = places.groupBy("half").agg(
+        F.min("component_id").alias("low"), F.max("component_id").alias("high"), F.count("*").alias("rows")
     )
-    own = open_rows.join(written(common), "doc_id")
-    own = own.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    spread = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns(
-        {"low": F.least("block", "other"), "high": F.greatest("block", "other")}
+    shared = written(shared.filter("low < high").select("half", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks")))
+    own = places.drop("component_id").join(shared, "half").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    spread = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "half", "slot", "doc_id", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        (F.col("block") > F.col("other")).alias("second"),
     )
-    left, right = (
-        spread.select("key", "low", "high", *(F.col(c).alias(f"{c}_{s}") for c in ("doc_id", "component_id", "block", "size", "common")))
-        for s in "ab"
-    )
-    most = F.least("common_a", "common_b")
-    pairs = left.join(right, ["key", "low", "high"]).filter(
-        F.expr("component_id_a <> component_id_b AND doc_id_a > doc_id_b AND (low = high OR block_a <> block_b)")
-        & (most * WHOLE >= (F.col("size_a") + F.col("size_b") - most) * SHARED)
+    return (
+        spread.join(rows, "doc_id")
+        .select("half", "low", "high", "slot", "doc_id", "second", "component_id", "n_shingles", "parity", "firsts")
+        .repartition("half", "low", "high")
+        .sortWithinPartitions("half", "low", "high")
+        .mapInArrow(_block_pairs, "a long, b long")
     )
-    return pairs.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))
+
+
+def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs within every run of equal (half, low, high); a run has at most two blocks of rows."""
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        keys = np.column_stack([batch.column(i).to_numpy() for i in range(3)])
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+        if waiting and (keys[0] != [waiting[-1].column(i)[-1].as_py() for i in range(3)]).any():
+            yield from _run_pairs(waiting)
+            waiting = []
+        for start, end in zip([0, *cuts], [*cuts, len(batch)], strict=True):
+            waiting.append(batch.slice(start, end - start))
+            if end < len(batch):
+                yield from _run_pairs(waiting)
+                waiting = []
+    if waiting:
+        yield from _run_pairs(waiting)
+
+
+def _run_pairs(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    run = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+    if len(run) < 2:
+        return
+    low, high, slot = (run.column(i)[0].as_py() for i in (1, 2, 3))
+    doc, component, size = (run.column(i).to_numpy() for i in (4, 6, 7))
+    second = run.column(5).to_numpy(zero_copy_only=False)
+    bits = _bits(run.column(8))
+    firsts = run.column(9).flatten().to_numpy().reshape(len(run), COLLECTION)
+    a, b = [], []
+    for i in range(len(run)):
+        # Of one block, every pair once; of two, those across.
+        others = np.arange(i + 1, len(run)) if low == high else np.flatnonzero(second) if not second[i] else []
+        if len(others):
+            others = others[component[others] != component[i]]
+            others = others[may_link(bits[i], bits[others], size[i], size[others])]
+            others = others[(firsts[others] == firsts[i]).argmax(1) == slot]
+            a.append(np.full(len(others), doc[i]))
+            b.append(doc[others])
+    if a and sum(map(len, a)):
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])

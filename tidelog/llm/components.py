@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.frames import written
+from tidelog.llm.frames import packed, written
 
 
-def _stars(edges: DataFrame, large: bool) -> DataFrame:
-    """Link each node's neighbours above it (large) or at most equal (small) to its least neighbour."""
+def _stars(edges: DataFrame, large: bool, rows: int) -> DataFrame:
+    """Of `rows` links, link each node's neighbours above it (large) or at most equal (small) to its least neighbour."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
     if large:
         both = both.union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    least = written(least)
+    least = written(packed(least, rows))
     linked = both.join(least, "u")
     if large:
         out = linked.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
@@ -22,7 +22,7 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
         out = linked.select(F.col("v").alias("a"), F.col("m").alias("b")).union(
             least.select(F.col("u").alias("a"), F.col("m").alias("b"))
         )
-    return out.filter("a <> b").distinct()
+    return packed(packed(out.filter("a <> b"), rows).distinct(), rows)
 
 
 def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
@@ -37,9 +37,11 @@ def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame
         F.greatest(F.col(left), F.col(right)).alias("a"), F.least(F.col(left), F.col(right)).alias("b")
     ).filter("a <> b").distinct()
     edges = written(edges)
+    rows = edges.count()
+    edges = packed(edges, rows)
     state = None
     while True:
-        edges = written(_stars(_stars(edges, large=True), large=False))
+        edges = written(_stars(_stars(edges, True, rows), False, rows))
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             break

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm import texts
 from tidelog.llm.components import components
-from tidelog.llm.frames import modest_batches, written
+from tidelog.llm.frames import modest_batches, only, packed, written
 
 COLLECTION = 16
 ROWS = 3
@@ -156,45 +156,47 @@ def _fitting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(may_link(_bits(batch.column(2)), _bits(batch.column(3)), *sizes))).select([0, 1])
 
 
-def _promising(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) whose sizes and parities allow a link."""
-    pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+def _promising(pairs: DataFrame, nodes: DataFrame, count: int) -> DataFrame:
+    """Of `count` classes, distinct pairs (a, b) whose sizes and parities allow a link."""
+    pairs = packed(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), count)
     side = nodes.select("doc_id", "n_shingles", "parity")
-    both = pairs.join(side.toDF("a", "n_a", "parity_a"), "a").join(side.toDF("b", "n_b", "parity_b"), "b")
+    both = packed(pairs.join(side.toDF("a", "n_a", "parity_a"), "a"), count)
+    both = packed(both.join(side.toDF("b", "n_b", "parity_b"), "b"), count)
     return both.select("a", "b", "parity_a", "parity_b", "n_a", "n_b").mapInArrow(_fitting, "a long, b long")
 
 
 def shingle_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """(doc_id, shingles) of the documents in `ids`; only their texts are moved."""
-    wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
-        ids, "doc_id", "left_semi"
-    )
-    return written(wanted.mapInArrow(_sets, "doc_id long, shingles array<long>"))
+    texts_of = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return written(only(texts_of, ids, "doc_id").mapInArrow(_sets, "doc_id long, shingles array<long>"))
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough."""
-    both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+def verified(pairs: DataFrame, docs: DataFrame, count: int) -> DataFrame:
+    """The pairs (a, b) of `count` classes whose full shingle sets are similar enough."""
+    pairs = written(packed(pairs, count))
+    sets = shingle_rows(docs, pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))))
+    both = packed(pairs.join(sets.toDF("a", "set_a"), "a"), count)
+    both = packed(both.join(sets.toDF("b", "set_b"), "b"), count)
     shared = F.size(F.array_intersect("set_a", "set_b"))
     sizes = F.size("set_a") + F.size("set_b")
-    return (
+    return written(
         both.select("a", "b", shared.alias("shared"), sizes.alias("sizes"))
         .filter(F.col("shared") * WHOLE >= (F.col("sizes") - F.col("shared")) * SHARED)
         .select("a", "b")
     )
 
 
-def _tables(nodes: DataFrame) -> DataFrame:
-    """(key, doc_id, weight) for every table key that at least two classes may share.
+def _tables(nodes: DataFrame, count: int) -> DataFrame:
+    """Of `count` classes, (key, doc_id, weight) for every table key that at least two classes may share.
 
     The weight says how many classes share the document's half-keys: in a group of edited copies it is
     largest for the text the others were made from.
     """
     halves = nodes.select("doc_id", F.posexplode("halves").alias("slot", "half"))
     shared = halves.groupBy("half").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n"))
-    kept = halves.join(written(shared.filter("low < high").select("half", "n")), "half")
+    kept = halves.join(written(packed(shared.filter("low < high").select("half", "n"), count)), "half")
     first = F.col("slot") < COLLECTION
-    by_doc = kept.groupBy("doc_id").agg(
+    by_doc = packed(kept, 4 * count).groupBy("doc_id").agg(
         F.collect_set(F.when(first, F.col("half"))).alias("firsts"),
         F.collect_set(F.when(~first, F.col("half"))).alias("seconds"),
         F.sum("n").alias("weight"),
@@ -215,18 +217,20 @@ def _with_components(nodes: DataFrame, links: DataFrame) -> DataFrame:
 def near_duplicate_groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of `docs` (doc_id, text)."""
     rows = written(signatures(docs))
-    classes = written(
+    count = rows.count()
+    classes = (
         rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("set_a", "set_b")
         .agg(F.min("doc_id").alias("class_id"))
     )
-    members = written(rows.select("doc_id", "n_shingles", "set_a", "set_b").join(classes, ["set_a", "set_b"], "left"))
+    classes = written(packed(classes, count))
+    members = rows.select("doc_id", "n_shingles", "set_a", "set_b").join(classes, ["set_a", "set_b"], "left")
+    members = written(packed(members, count))
     same_id = members.filter("class_id IS NOT NULL").select(F.col("doc_id").alias("a"), F.col("class_id").alias("b"))
     heads = members.filter("class_id = doc_id").select("doc_id", "set_a", "set_b").distinct()
-    nodes = written(
-        rows.join(heads, ["doc_id", "set_a", "set_b"], "left_semi").select("doc_id", "n_shingles", "halves", "parity")
-    )
-    tables = _tables(nodes)
+    nodes = rows.join(heads, ["doc_id", "set_a", "set_b"], "left_semi").select("doc_id", "n_shingles", "halves", "parity")
+    nodes = written(packed(nodes, count))
+    tables = packed(_tables(nodes, count), 4 * count)
     pivots = (
         tables.groupBy("key")
         .agg(
@@ -237,15 +241,11 @@ def near_duplicate_groups(docs: DataFrame) -> DataFrame:
         .filter("low < high")
         .select("key", (-F.col("top.col2")).alias("pivot"))
     )
-    tables = written(tables.drop("weight").join(written(pivots), "key"))
+    tables = written(packed(tables.drop("weight").join(written(packed(pivots, count)), "key"), 4 * count))
     stars = tables.filter("doc_id <> pivot").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b"))
-    stars = written(_promising(stars, nodes))
-    ends = stars.select(F.col("a").alias("doc_id")).union(stars.select(F.col("b").alias("doc_id"))).distinct()
-    links = written(verified(stars, shingle_rows(docs, ends)))
-    slim = written(_with_components(nodes, links))
-    rest = written(_across(slim, _open_classes(tables, slim)).distinct())
-    ends = rest.select(F.col("a").alias("doc_id")).union(rest.select(F.col("b").alias("doc_id"))).distinct()
-    rest = verified(rest, shingle_rows(docs, ends))
+    links = verified(_promising(stars, nodes, count), docs, count)
+    slim = written(packed(_with_components(nodes, links), count))
+    rest = verified(_across(slim, _open_classes(tables, slim, count), count).distinct(), docs, count)
     found = components(links.union(rest).union(same_id.filter("a <> b")))
     out = members.join(found, members.doc_id == found.node, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "class_id", "doc_id"))
@@ -254,25 +254,27 @@ def near_duplicate_groups(docs: DataFrame) -> DataFrame:
     )
 
 
-def _open_classes(tables: DataFrame, slim: DataFrame) -> DataFrame:
+def _open_classes(tables: DataFrame, slim: DataFrame, count: int) -> DataFrame:
     """(doc_id) of the classes in tables that hold classes of several components."""
-    placed = written(tables.select("key", "doc_id").join(slim.select("doc_id", "component_id"), "doc_id"))
+    placed = tables.select("key", "doc_id").join(slim.select("doc_id", "component_id"), "doc_id")
+    placed = written(packed(placed, 4 * count))
     mixed = placed.groupBy("key").agg(F.min("component_id").alias("low"), F.max("component_id").alias("high"))
-    return placed.join(written(mixed.filter("low < high").select("key")), "key", "left_semi").select("doc_id").distinct()
+    mixed = written(packed(mixed.filter("low < high").select("key"), count))
+    return packed(placed.join(mixed, "key", "left_semi"), 4 * count).select("doc_id")
 
 
-def _across(slim: DataFrame, open_classes: DataFrame) -> DataFrame:
+def _across(slim: DataFrame, open_classes: DataFrame, count: int) -> DataFrame:
     """Pairs (a, b) of open classes that share a half-key of the first collection, are in different components
     and may link."""
     firsts = F.slice("halves", 1, COLLECTION).alias("firsts")
-    rows = written(
-        slim.join(written(open_classes), "doc_id", "left_semi").select("doc_id", "n_shingles", "component_id", "parity", firsts)
-    )
+    rows = only(slim, open_classes, "doc_id").select("doc_id", "n_shingles", "component_id", "parity", firsts)
+    rows = written(packed(rows, count))
     places = rows.select("doc_id", "component_id", F.posexplode("firsts").alias("slot", "half"))
     shared = places.groupBy("half").agg(
         F.min("component_id").alias("low"), F.max("component_id").alias("high"), F.count("*").alias("rows")
     )
-    shared = written(shared.filter("low < high").select("half", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks")))
+    shared = shared.filter("low < high").select("half", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
+    shared = written(packed(shared, count))
     own = places.drop("component_id").join(shared, "half").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     spread = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "half", "slot", "doc_id", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),

@@ -8,7 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tidelog.operators import budget, packing, streaks
+from tidelog.operators import budget, packing, series, streaks
 from tidelog.operators.packing import assign_batches
 from tidelog.operators.running import numbered, running, slice_ordered
 from tidelog.operators.series import histogram, histogram_quantile, quantiles
@@ -210,3 +210,10 @@ def test_histogram_quantile(spark):
     assert [tuple(r) for r in hist.collect()] == [(1.0, 1), (5.0, 4), (15.0, 5), (60.0, 5), (float("inf"), 6)]
     assert histogram_quantile(hist, 0.5).first()[0] == pytest.approx(1 + 4 * (3 - 1) / 3)
     assert histogram_quantile(hist, 0.95).first()[0] == 60.0
+
+
+def test_an_estimated_number_of_groups_is_close(spark):
+    df = spark.range(20_000).select((F.col("id") % 5_000).alias("g"))
+    exact = series.group_count(df, "g").first()[0]
+    estimate = series.group_count(df, "g", relative_error=0.01).first()[0]
+    assert exact == 5_000 and abs(estimate - exact) < 0.04 * exact

@@ -37,9 +37,14 @@ def rate(
     return counted.withColumn("rate", F.col("n") / F.lit(float(range_seconds)))
 
 
-def group_count(df: DataFrame, col: str | Column, name: str = "n_groups") -> DataFrame:
-    """Number of non-empty groups."""
-    return df.agg(F.count_distinct(F.col(col) if isinstance(col, str) else col).alias(name))
+def group_count(
+    df: DataFrame, col: str | Column, name: str = "n_groups", relative_error: float | None = None
+) -> DataFrame:
+    """Number of non-empty groups; with `relative_error`, an estimate from a sketch of fixed size."""
+    key = F.col(col) if isinstance(col, str) else col
+    if relative_error is not None:
+        return df.agg(F.approx_count_distinct(key, relative_error).alias(name))
+    return df.agg(F.count_distinct(key).alias(name))
 
 
 def topk(counted: DataFrame, k: int, value: str, ties: Sequence[str]) -> DataFrame:

@@ -12,7 +12,7 @@ from tidelog.functions.identity import event_category
 from tidelog.functions.labels import disallowed_labels, stream_key
 from tidelog.functions.text import line_bytes
 from tidelog.functions.times import instant, seconds_between
-from tidelog.schema import RESERVED_LABELS
+from tidelog.schema import SOURCE_PRIORITY
 
 # The age of a backfill's start that draws a warning.
 RETENTION_DAYS = 30
@@ -81,6 +81,18 @@ def overlap_report(names: DataFrame) -> DataFrame:
     return members.join(shared, "category").select("category", "sources", "source", "name")
 
 
+def preferred_sources(names: DataFrame) -> DataFrame:
+    """`category`, `preferred`, and one row per source that should not feed it beside the preferred one.
+
+    Live events win over stored objects, and those over files.
+    """
+    members = categorised(names.select("source", "name").distinct()).select("category", "source").distinct()
+    rank = F.array_position(F.array(*(F.lit(x) for x in SOURCE_PRIORITY)), F.col("source"))
+    ranked = members.withColumn("rank", F.when(rank > 0, rank))
+    best = ranked.groupBy("category").agg(F.min_by("source", "rank").alias("preferred"))
+    return ranked.join(best, "category").filter("rank IS NOT NULL AND source <> preferred").select("category", "preferred", "source")
+
+
 def double_count_audit(entries: DataFrame) -> DataFrame:
     """Rows per source of every category that is present through two sources."""
     counts = categorised(

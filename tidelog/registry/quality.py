@@ -78,6 +78,19 @@ def overlap_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.overlap_report(own.unionByName(extra).unionByName(listed))
 
 
+@query(
+    "preferred_sources",
+    f"""WITH {E_SQL}, cats AS (SELECT DISTINCT source, CASE WHEN source = 'eventlogfile' THEN replace(lower(event_type), ' ', '')
+        ELSE lower(regexp_replace(event_type, '(.)(EventStream|EventStore|Event)$', '\\1')) END AS category,
+        CASE source WHEN 'pubsub' THEN 1 WHEN 'eventlog_objects' THEN 2 ELSE 3 END AS rank FROM e),
+      best AS (SELECT category, arg_min(source, rank) AS preferred FROM cats GROUP BY 1)
+      SELECT category, preferred, source FROM cats JOIN best USING (category) WHERE source <> preferred""",
+)
+def preferred_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = entries(spark, sf_dir).select("source", F.col("event_type").alias("name"))
+    return quality.preferred_sources(names)
+
+
 @query(
     "double_count_audit",
     f"""WITH {E_SQL} SELECT 'login' AS category, source, count(*) AS rows FROM e

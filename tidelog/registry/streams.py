@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -27,6 +27,7 @@ from tidelog.registry.tables import (
 from tidelog.schema import PROGRESS_SCHEMA
 from tidelog.session import shared_folder
 from tidelog.sinks.entries import read_entries, stream_entries, write_entries
+from tidelog.sources.backfill import backfill
 from tidelog.sources.csv_files import read_event_log_csv
 from tidelog.sources.streams import quarantine_poison, stream_events
 from tidelog.streaming.lanes import Lane, start_lanes
@@ -369,6 +370,59 @@ def partitioned_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _backfill_files(spark: SparkSession, sf_dir: str, folder: str) -> tuple[DataFrame, Column]:
+    """CSV files of one type and day each, with their catalogue, and how a path tells the file's id."""
+    rows = raw_events(spark, sf_dir).withColumn("Id", F.concat_ws("-", "event_type", F.to_date("ts")))
+    rows.select(
+        "Id", F.date_format("ts", "yyyyMMddHHmmss.SSS").alias("TIMESTAMP_DERIVED"), F.col("event_id").cast("string").alias("EVENT_ID")
+    ).repartition("Id").sortWithinPartitions("Id", F.col("EVENT_ID").cast("bigint")).write.partitionBy("Id").csv(folder, header=True)
+    listed = rows.groupBy("Id", F.col("event_type").alias("EventType")).agg(F.to_date(F.min("ts")).alias("day"))
+    catalogue = listed.select(
+        "Id", "EventType", F.lit("Daily").alias("Interval"), F.date_format("day", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("CreatedDate"),
+        F.lit("1").alias("LogFileLength"), F.lit("1").alias("Sequence"), F.concat(F.lit(f"{folder}/Id="), "Id").alias("Path"),
+    )
+    return catalogue, F.regexp_extract("path", "/Id=([^/]*)/", 1)
+
+
+@query(
+    "backfill_run",
+    """SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n, min(make_timestamp(epoch_us(ts) // 1000 * 1000)) AS first_ts,
+        'true' AS backfill FROM events
+      WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-20' AND event_type IN ('click', 'view') GROUP BY 1, 2""",
+)
+def backfill_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two types of a window, from the files to stored entries."""
+    folder = scratch(spark, "backfill")
+    files, id_of = _backfill_files(spark, sf_dir, f"{folder}/files")
+    backfill(
+        spark, files, f"{folder}/out", since="2024-01-05", until="2024-01-20", now="2024-02-01",
+        interval="Daily", types=["click", "view"], id_of=id_of,
+    )
+    stored = spark.read.parquet(f"{folder}/out/entries")
+    return stored.groupBy("event_type", F.to_date("ts").alias("day"), F.col("labels").getItem("backfill").alias("backfill")).agg(
+        F.count("*").alias("n"), F.min("ts").alias("first_ts")
+    )
+
+
+@query(
+    "backfill_resume",
+    """SELECT event_id, TIMESTAMP '2024-02-01' + to_microseconds(row_number() OVER (PARTITION BY event_type, ts < TIMESTAMP '2024-01-10'
+        ORDER BY CAST(ts AS DATE), event_id) - 1) AS ingest_ts FROM events WHERE ts < TIMESTAMP '2024-01-20'""",
+)
+def backfill_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second run over a longer window reads what the first left; ingest times count from each start."""
+    folder = scratch(spark, "resume")
+    files, id_of = _backfill_files(spark, sf_dir, f"{folder}/files")
+    for until in ("2024-01-10", "2024-01-20"):
+        backfill(
+            spark, files, f"{folder}/out", since="2024-01-01", until=until, now="2024-02-01",
+            interval="Daily", mode="ingest", id_of=id_of,
+        )
+    stored = spark.read.parquet(f"{folder}/out/entries")
+    event_id = F.get_json_object("line", "$.EVENT_ID").cast("bigint")
+    return stored.select(event_id.alias("event_id"), F.col("ts").alias("ingest_ts"))
+
+
 @query(
     "read_event_log_csv",
     "SELECT doc_id, lang, text AS query, CASE WHEN lang <> 'en' THEN CAST(n_chars AS VARCHAR) END AS n_chars FROM documents",

@@ -1,37 +1,8 @@
-"""The one row type every source produces, and the fixed names that go with it."""
+"""Fixed names: labels, time fields, bounds and the columns of the progress ledger."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-_TEXT_MAP = T.MapType(T.StringType(), T.StringType())
-
-# A shaped log entry. `payload` is the decoded event before it is written as a line.
-ENTRY_SCHEMA = T.StructType(
-    [
-        T.StructField("ts", T.TimestampType()),
-        T.StructField("labels", _TEXT_MAP),
-        T.StructField("line", T.StringType()),
-        T.StructField("metadata", _TEXT_MAP),
-        T.StructField("ckpt_key", T.StringType()),
-        T.StructField("ckpt_value", T.StringType()),
-    ]
-)
-
-FILE_SCHEMA = T.StructType(
-    [
-        T.StructField("Id", T.StringType()),
-        T.StructField("EventType", T.StringType()),
-        T.StructField("Interval", T.StringType()),
-        T.StructField("LogDate", T.StringType()),
-        T.StructField("CreatedDate", T.StringType()),
-        T.StructField("LogFileLength", T.StringType()),
-        T.StructField("Sequence", T.StringType()),
-    ]
-)
-
 PROGRESS_SCHEMA = "key string, value string, seq bigint, deleted boolean"
-METRICS_SCHEMA = "ts timestamp, name string, attrs map<string,string>, value double, le double"
 
 # The closed label set, and the two keys only a row itself may set.
 ALLOWED_LABELS = (

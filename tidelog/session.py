@@ -66,11 +66,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Hint a broadcast only after counting the rows; a larger table is joined by shuffle.
+def broadcast_if_small(df: DataFrame, max_bytes: int = 16 << 20) -> DataFrame:
+    """Hint a broadcast only after the bytes of all rows were summed; a larger table is joined by shuffle.
 
-    Meant for narrow tables of keys and cut positions that meet a whole table of rows on a skewed
-    key. The rows are written first, so that they are computed a single time.
+    Meant for tables of keys and cut positions that meet a whole table of rows on a skewed key. The
+    rows are written first, so that they are computed a single time.
     """
     kept = cut_lineage(df)
-    return F.broadcast(kept) if kept.limit(max_rows + 1).count() <= max_rows else kept
+    size = kept.agg(F.sum(F.octet_length(F.to_json(F.struct(*kept.columns))))).first()[0] or 0
+    return F.broadcast(kept) if size <= max_bytes else kept

@@ -110,8 +110,3 @@ def stream_entries(
 
     writer = stream.writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True}))
-
-
-def hot_columns(df: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Copy often-queried payload fields to columns, so that scans can prune and push down."""
-    return df.withColumns({f.lower(): F.col("payload").getItem(f) for f in fields})

@@ -71,6 +71,7 @@ def _read_group(spark: SparkSession, paths: Sequence[str], header: Sequence[str]
     extra = F.when(F.col(_RAW).isNotNull() & (F.size(spill) > 0), F.array_join(spill, ","))
     return rows.select(
         F.col("_metadata.file_path").alias("path"),
+        F.monotonically_increasing_id().alias("row"),
         F.when(extra.isNotNull(), F.map_concat(payload, F.create_map(F.lit(OVERFLOW), extra)))
         .otherwise(payload)
         .alias("payload"),
@@ -78,7 +79,7 @@ def _read_group(spark: SparkSession, paths: Sequence[str], header: Sequence[str]
 
 
 def read_event_log_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """`(path, payload)`: one row per record, all values text.
+    """`(path, row, payload)`: one row per record, all values text; `row` ascends within a file.
 
     Short rows are padded with empty text; cells beyond the header are joined under `_extra`;
     undecodable bytes become replacement characters. Files are grouped by header, so every group is
@@ -89,7 +90,7 @@ def read_event_log_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     for row in file_headers(spark, paths).toLocalIterator():
         groups[tuple(row["header"])].append(row["path"])
     if not groups:
-        return spark.createDataFrame([], "path string, payload map<string,string>")
+        return spark.createDataFrame([], "path string, row bigint, payload map<string,string>")
     return reduce(
         DataFrame.unionByName, (_read_group(spark, sorted(p), h) for h, p in sorted(groups.items()))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -70,6 +70,14 @@ def event_time(
     return extract_event_time([parse_event_time(payload.getItem(f)) for f in fields], fallback, now)
 
 
+def time_by_source(source: Column, read: Callable[[str], Column]) -> Column:
+    """The first time field of a row's source that holds a time; `read(name)` gives a field's time."""
+    found = F.lit(None).cast("timestamp")
+    for name, fields in TIME_FIELDS.items():
+        found = F.when(source == name, F.coalesce(*[read(f) for f in fields])).otherwise(found)
+    return found
+
+
 def shape_entries(
     df: DataFrame,
     *,

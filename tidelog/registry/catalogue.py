@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.operators.dedup import latest_by_id
-from tidelog.operators.running import numbered
 from tidelog.plans.quality import categorised
 from tidelog.registry.base import query
 from tidelog.registry.tables import E_SQL, FILES_SQL, entries, files, table
@@ -179,4 +178,4 @@ def composite_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = files(spark, sf_dir)
     broken = F.when(F.col("o_custkey") % 50 != 0, F.col("CreatedDate")).otherwise("unknown")
     dated = cat.with_created(listed.withColumn("CreatedDate", broken)).select("Id", "version", "created")
-    return numbered(dated, [], ["created", "Id", "version"], "place").select("Id", "version", "place")
+    return cat.reading_places(dated, ["version"]).select("Id", "version", "place")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -148,16 +150,16 @@ def rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "backfill_warnings",
-    """SELECT event_type, CAST(floor((epoch_us(TIMESTAMP '2024-02-05') - epoch_us(min(ts))) / 86400e6) AS BIGINT) AS age_days,
-      min(ts) < TIMESTAMP '2024-02-05' - INTERVAL 30 DAY AS beyond_retention FROM events GROUP BY 1""",
+    """WITH a AS (SELECT epoch_us(TIMESTAMP '2024-02-05') - epoch_us(min(ts)) AS age FROM events),
+      d AS (SELECT age, CAST(floor(age / 86400e6) AS BIGINT) AS days FROM a)
+      SELECT 'retention' AS finding, 'starts ' || days || ' days ago; files are kept 30 days' AS detail FROM d WHERE age > 30 * 86400e6
+      UNION ALL SELECT 'old_samples', 'starts ' || days || ' days ago; true times older than 7 days may be refused, use ingest times'
+      FROM d WHERE age > 7 * 86400e6""",
 )
 def backfill_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether a backfill from the first event of every type would reach beyond the retention."""
-    now = F.lit("2024-02-05").cast("timestamp")
-    first = raw_events(spark, sf_dir).groupBy("event_type").agg(F.min("ts").alias("since"))
-    age = F.floor((F.unix_micros(now) - F.unix_micros("since")) / F.lit(86_400e6)).cast("bigint")
-    limit = F.expr(f"INTERVAL {quality.RETENTION_DAYS} DAY")
-    return first.select("event_type", age.alias("age_days"), (F.col("since") < now - limit).alias("beyond_retention"))
+    """Findings on a backfill that starts with the first event."""
+    since = raw_events(spark, sf_dir).agg(F.min("ts").cast("timestamp_ntz")).first()[0]
+    return quality.backfill_warnings(spark, since, datetime(2024, 2, 5))
 
 
 @query(

@@ -15,7 +15,7 @@ from tidelog.operators.sampling import (
     sample_rows,
     topic_sample_key,
 )
-from tidelog.operators.shape import event_time
+from tidelog.operators.shape import event_time, time_by_source
 from tidelog.plans.dashboard import in_range
 from tidelog.registry.base import query
 from tidelog.registry.tables import E_SQL, entries, filled_entries, raw_events, table
@@ -134,16 +134,11 @@ def time_field_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("CreatedDate"), F.when(k == 1, F.date_format("ts", "yyyy-MM-dd")),
     )
     commit = F.when(k == 2, times.epoch_millis_time(F.unix_millis("ts")))
-    candidates = {
-        source: F.coalesce(
-            *[times.parse_event_time(own.getItem(f)) if f != "commitTimestamp" else commit for f in TIME_FIELDS[source]]
-        )
-        for source in ("eventlogfile", "eventlog_objects", "pubsub")
-    }
-    chain = F.when(F.lit(False), F.lit(None).cast("timestamp"))
-    for source, value in candidates.items():
-        chain = chain.when(F.col("source") == source, value)
-    return raw.select("event_id", chain.alias("event_time"))
+
+    def read(name: str) -> Column:
+        return commit if name == "commitTimestamp" else times.parse_event_time(own.getItem(name))
+
+    return raw.select("event_id", time_by_source(F.col("source"), read).alias("event_time"))
 
 
 @query(

@@ -13,6 +13,7 @@ from tidelog.functions.identity import event_category
 from tidelog.functions.text import safe_int
 from tidelog.functions.times import instant, parse_event_time
 from tidelog.operators.dedup import latest_by_id
+from tidelog.operators.running import numbered
 
 WILDCARD = "*"
 
@@ -48,6 +49,14 @@ def composite_order(files: DataFrame) -> DataFrame:
     return files.orderBy(F.col("created").asc_nulls_first(), "Id")
 
 
+def reading_places(files: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
+    """`place`, from 0, of every file in the order of `composite_order`; `ties` tell equal ids apart.
+
+    For catalogues too large to be sorted in one place: positions are counted over slices.
+    """
+    return numbered(files, [], ["created", "Id", *ties], "place")
+
+
 def discover_types(files: DataFrame, interval: str) -> DataFrame:
     """Types the catalogue holds for an interval, sorted."""
     return (

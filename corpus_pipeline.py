@@ -13,12 +13,15 @@ named by a decision that is joined back; they take part as rows of their own and
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import bpe, cotrain, decontaminate, minhash, toxicity
 from tidelog.llm.frames import read, written
+from tidelog.session import shared_folder
 
 # Classifiers are learned from examples: their scores have no SQL form.
 ORACLE_SQL = None
@@ -69,8 +72,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of `sf_dir`; each stage's rows are written before the next reads them."""
+    """All stages over the documents of `sf_dir`.
+
+    Each stage's rows are written as Parquet in the shared folder and read back by the next one.
+    """
     docs = read(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir))
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import corpus_pipeline
+from tidelog.llm import projection
 from tidelog.llm.queries import QUERIES, SQL
 
 SF_DIR = os.environ.get("TIDELOG_SF_DIR", "/root/testdata/sf0.001")
@@ -43,3 +44,21 @@ def test_the_pipeline_keeps_the_columns_and_clean_documents(spark):
     assert tokens.count() == left == corpus_pipeline.run(spark, SF_DIR).count()
     digests = docs.selectExpr("doc_id", "sha2(cast(text AS BINARY), 256) AS d").join(tokens, "doc_id")
     assert digests.filter("d <> decoded_sha256").count() == 0
+
+
+def test_stages_take_odd_and_empty_documents(spark, odd, empty):
+    for docs in (odd, empty):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            left = stage(spark, docs, SF_DIR)
+            assert left.columns == docs.columns
+            assert left.count() <= docs.count()
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).count() == docs.count()
+    kept = corpus_pipeline.near_duplicate_stage(spark, odd, SF_DIR).collect()
+    ids = [r.doc_id for r in kept if r.doc_id is not None]
+    assert len(ids) == len(set(ids)) and {1, 2, 3, 7} <= set(ids) and 8 not in ids
+    assert sum(r.doc_id is None for r in kept) == 2
+
+
+def test_passes_follow_the_number_of_vectors():
+    passes = [projection.passes_for(n) for n in (0, 1_000, 100_000, 10**9)]
+    assert passes == sorted(passes) and passes[0] >= 2 and passes[-1] < 100

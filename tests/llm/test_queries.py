@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables a
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "conversations"):
+    for table in ("documents", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     df = QUERIES[name](spark, SF_DIR)
     columns = sorted(df.columns)

@@ -70,7 +70,27 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumns(law).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "cell")
 
 
-@query("op4_minhash_near_dedup")
+def _component_sql(table: str, key: str) -> str:
+    """The least key reachable over the links (a, b), which hold both directions."""
+    return f"""
+    reach({key}, root) AS (SELECT {key}, {key} FROM {table} UNION SELECT links.b, reach.root FROM reach JOIN links ON links.a = reach.{key}),
+    roots AS (SELECT {key}, min(root) AS component_id FROM reach GROUP BY {key})"""
+
+
+@query(
+    "op4_minhash_near_dedup",
+    f"""
+    WITH RECURSIVE s AS ({_shingle_sql("documents", "doc_id")}),
+    sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM s x JOIN s y USING (shingle)
+              WHERE x.doc_id <> y.doc_id GROUP BY 1, 2),
+    links AS (SELECT a, b FROM pairs JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+              WHERE shared * 100 >= (p.n + q.n - shared) * 75),
+    {_component_sql("documents", "doc_id")}
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM documents JOIN roots USING (doc_id) LEFT JOIN sizes USING (doc_id)
+    """,
+)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document."""
     return minhash.near_duplicate_groups(read(spark, sf_dir, "documents"))
@@ -82,7 +102,20 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotrain.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-@query("op6_embedding_near_dedup")
+@query(
+    "op6_embedding_near_dedup",
+    f"""
+    WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id
+              WHERE len(x.e) = len(y.e) AND list_cosine_similarity(x.e, y.e) >= 0.93),
+    n AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a),
+    {_component_sql("embeddings", "vec_id")}
+    SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+    FROM embeddings JOIN roots USING (vec_id) LEFT JOIN n USING (vec_id)
+    """,
+)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """vec_id, n_links, component_id, kept of every vector."""
     return projection.near_duplicate_vectors(read(spark, sf_dir, "embeddings"))
@@ -133,8 +166,8 @@ def _license_sql() -> str:
     return rf"""
     WITH known(sentence, name) AS (VALUES {known}),
     lines AS (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS n FROM (
-        SELECT doc_id, string_split_regex(regexp_replace(text, '([.!?;:])[ 	
-]+', '' || chr(10), 'g'), '[
+        SELECT doc_id, string_split_regex(regexp_replace(text, '([.!?;:])[ 	
+]+', '' || chr(10), 'g'), '[
 ]+') AS l
         FROM documents)),
     hits AS (SELECT doc_id, n, name FROM lines JOIN known

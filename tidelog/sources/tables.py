@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -54,26 +54,34 @@ def read_window_desc(
     window = rows.filter(F.col(ts) >= instant_for(rows, ts, watermark))
     if not cap:
         return window
-    # Narrow the cap's place from minute to second to instant; only counts are ever put in order.
-    rest, before = window.select(F.col(ts).alias("_ts")), F.lit(0)
-    for unit in ("minute", "second", None):
-        step = F.date_trunc(unit, F.col("_ts")) if unit else F.col("_ts")
-        marked = rest.withColumn("_step", step).withColumn("_base", before)
-        counts = marked.groupBy("_step", "_base").agg(F.count(F.lit(1)).alias("_n"))
-        edge = _crossing(counts, cap)
-        rest = marked.select("_ts", "_step").join(edge, "_step").select("_ts", "_before")
-        before = F.col("_before")
-    # Fewer rows than the cap have no edge: then every row stays.
+    # Narrow the cap's place from minute to second to instant. The whole window is counted once, by
+    # minute; what follows reads one minute and one second of it, and the result's filter is a literal.
     kind = rows.schema[ts].dataType
-    last = F.coalesce(F.max("_step").cast(kind), F.lit("9999-12-31").cast(kind))
-    return window.filter(F.col(ts) <= edge.agg(last.alias("_last")).scalar())
+    at = lambda micros: F.timestamp_micros(F.lit(micros)).cast(kind)
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    part, left = window, cap
+    for span in (60_000_000, 1_000_000, 1):
+        step = F.floor(micros / span) * span
+        edge = _crossing(part.groupBy(step.alias("_step")).agg(F.count(F.lit(1)).alias("_n")), left)
+        if edge is None:
+            # Fewer rows than the cap: every row stays.
+            return window
+        left -= edge["_before"]
+        end = edge["_step"] + span
+        part = window.filter((F.col(ts) >= at(edge["_step"])) & (F.col(ts) < at(end)))
+    return window.filter(F.col(ts) < at(end))
 
 
-def _crossing(counts: DataFrame, cap: int) -> DataFrame:
-    """The step at which the running count reaches `cap`, with the count before it."""
+def _crossing(counts: DataFrame, cap: int) -> Row | None:
+    """The step at which the running count reaches `cap`, with the count before it.
+
+    One row per step meets in the window: minutes of the whole range, or the steps within one.
+    """
     upto = W.partitionBy(F.lit(0)).orderBy("_step").rowsBetween(W.unboundedPreceding, 0)
-    ranked = counts.select("_step", "_n", (F.sum("_n").over(upto) + F.col("_base")).alias("_upto"))
-    first = ranked.filter(F.col("_upto") >= cap).agg(
-        F.min(F.struct("_step", (F.col("_upto") - F.col("_n")).alias("_before"))).alias("_c")
+    ranked = counts.select("_step", "_n", F.sum("_n").over(upto).alias("_upto"))
+    return (
+        ranked.filter(F.col("_upto") >= cap)
+        .select("_step", (F.col("_upto") - F.col("_n")).alias("_before"))
+        .orderBy("_step")
+        .first()
     )
-    return first.filter(F.col("_c").isNotNull()).select("_c.*")

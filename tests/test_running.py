@@ -217,3 +217,11 @@ def test_an_estimated_number_of_groups_is_close(spark):
     exact = series.group_count(df, "g").first()[0]
     estimate = series.group_count(df, "g", relative_error=0.01).first()[0]
     assert exact == 5_000 and abs(estimate - exact) < 0.04 * exact
+
+
+def test_slices_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr("tidelog.operators.running.SLICE_ROWS", 50)
+    sliced = slice_ordered(spark.range(1000).withColumn("g", F.lit(1)), ["g"], ["id"])
+    assert sliced.select("_slice").distinct().count() > 12
+    counted = running(sliced, ["g"], ["id"], {"n": ("sum", F.lit(1).cast("bigint"))})
+    assert counted.filter("n <> id + 1").count() == 0

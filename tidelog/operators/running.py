@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from tidelog.session import broadcast_if_small, cut_lineage, shuffle_width
 
 SLICE = "_slice"
+# Rows a slice should have at most; a task sorts them.
+SLICE_ROWS = 2_000_000
 
 
 def slice_ordered(
@@ -24,10 +26,13 @@ def slice_ordered(
 ) -> DataFrame:
     """Tag each row with its range slice. `order` should be unique inside a group.
 
-    The result is written out: two readers must see the same slice bounds, which Spark samples anew
-    for every exchange.
+    The number of slices follows the rows, which are counted first by a pass over the narrow columns:
+    a slice is one task's work. The result is written out: two readers must see the same slice bounds,
+    which Spark samples anew for every exchange.
     """
-    width = slices or shuffle_width(df.sparkSession)
+    width = slices or max(
+        shuffle_width(df.sparkSession), -(-df.select(*by, *order).count() // SLICE_ROWS)
+    )
     ranged = df.repartitionByRange(width, *by, *order)
     return cut_lineage(ranged.withColumn(SLICE, F.spark_partition_id()))
 

@@ -91,11 +91,24 @@ def vectors():
     ]
 
 
-def test_vectors_against_brute_force(spark):
+def unit(vector):
+    if not vector or None in vector or not np.isfinite(vector).all() or not any(vector):
+        return None
+    scaled = np.array(vector) / np.abs(vector).max()
+    return scaled / np.linalg.norm(scaled)
+
+
+def test_places_are_joined_to_the_least():
+    got = projection.least_reachable(8, np.array([1, 2, 5, 7, 6]), np.array([0, 1, 4, 6, 2]))
+    assert got.tolist() == [0, 0, 0, 3, 4, 4, 0, 0]
+
+
+@pytest.mark.parametrize("block, window", [(1024, 128), (100, 40)])
+def test_vectors_against_brute_force(spark, block, window):
     rows = vectors()
     table = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, label int, component_id string")
-    got = projection.near_duplicate_vectors(table).collect()
-    units = [projection.unit_rows(__import__("pyarrow").array([r[1]]))[0] if r[0] is not None and r[2] is not None else None for r in rows]
+    got = projection.near_duplicate_vectors(table, 12, window, block).collect()
+    units = [unit(r[1]) if r[0] is not None and r[2] is not None else None for r in rows]
     links, parent = [0] * len(rows), {}
 
     def root(x):

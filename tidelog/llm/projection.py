@@ -27,8 +27,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog.llm.components import components
 from tidelog.llm.frames import written
@@ -47,34 +49,37 @@ def passes_for(rows: int) -> int:
     return max(2, math.ceil(math.log(MISSED) / math.log(1 - min(together, 0.9))))
 
 
-def unit_rows(column: pa.Array) -> list[np.ndarray | None]:
-    """Vectors of length 1 in double precision; None for those that link with nothing."""
-    out: list[np.ndarray | None] = []
-    for value in column.to_pylist():
-        vector = None
-        if value and None not in value:
-            vector = np.array(value, float)
-            # Scaled first, so that the squares of large or tiny components stay finite.
-            most = np.abs(vector).max()
-            vector = vector / most if np.isfinite(most) and most > 0 and np.isfinite(vector).all() else None
-            vector = None if vector is None else vector / np.sqrt(vector @ vector)
-        out.append(vector)
+def unit_matrix(values: np.ndarray) -> np.ndarray:
+    """Rows of length 1 in double precision; NaN for rows that are zero or hold a non-finite component."""
+    values = values.astype(float)
+    with np.errstate(all="ignore"):
+        # Scaled first, so that the squares of large or tiny components stay finite.
+        values = values / np.abs(values).max(1, initial=0, keepdims=True)
+        return values / np.sqrt((values * values).sum(1, keepdims=True))
+
+
+def _units(column: pa.Array, dims: np.ndarray) -> np.ndarray:
+    """Unit rows of vectors without nulls, with zeros behind the shorter ones."""
+    out = np.zeros((len(dims), dims.max(initial=0)))
+    for size in np.unique(dims):
+        rows = np.flatnonzero(dims == size)
+        out[rows, :size] = unit_matrix(column.take(pa.array(rows)).flatten().to_numpy().reshape(-1, size))
     return out
 
 
-def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _usable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of (row, label, vector) whose vectors can link, with the number of components."""
     for batch in batches:
-        units = unit_rows(batch.column(2))
-        good = [i for i, u in enumerate(units) if u is not None]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0).take(pa.array(good, pa.int64())),
-                batch.column(1).take(pa.array(good, pa.int64())),
-                pa.array([units[i] for i in good], pa.list_(pa.float64())),
-                pa.array([len(units[i]) for i in good], pa.int32()),
-            ],
-            names=["row", "label", "unit", "dims"],
-        )
+        column = batch.column(2)
+        dims = np.array(pc.fill_null(pc.list_value_length(column), 0))
+        # A place for every component, null or not.
+        whole = np.bincount(np.asarray(pc.list_parent_indices(column))[np.asarray(pc.is_null(column.flatten()))], minlength=len(batch)) == 0
+        good = np.flatnonzero((dims > 0) & whole)
+        kept = batch.take(pa.array(good))
+        if len(kept):
+            kept = kept.append_column("dims", pa.array(dims[good], pa.int32()))
+            finite = np.isfinite(_units(kept.column(2), dims[good])).all(1)
+            yield kept.take(pa.array(np.flatnonzero(finite)))
 
 
 def _keys(number: int):  # noqa: ANN202
@@ -87,7 +92,7 @@ def _keys(number: int):  # noqa: ANN202
                 if size not in planes:
                     planes[size] = np.random.Generator(np.random.PCG64([number, int(size)])).standard_normal((int(size), KEY_BITS))
                 rows = np.flatnonzero(dims == size)
-                units = batch.column(2).take(pa.array(rows)).flatten().to_numpy().reshape(-1, size)
+                units = _units(batch.column(2).take(pa.array(rows)), dims[rows])
                 signs = (units @ planes[size]) > 0
                 keys[rows] = signs @ (1 << np.arange(KEY_BITS - 1, -1, -1))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys)], names=[*batch.schema.names, "key"])
@@ -95,26 +100,37 @@ def _keys(number: int):  # noqa: ANN202
     return add
 
 
-def _window_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of a block of (block, place, label, dims, row, unit): each row with the WINDOW rows before it."""
-    batch = pa.Table.from_batches(list(batches)).sort_by("place").combine_chunks()
-    if not len(batch):
-        return
-    place, label, row = (batch[c].to_numpy() for c in ("place", "label", "row"))
-    block = batch["block"][0].as_py()
-    dims = batch["dims"].to_numpy()
-    units = np.zeros((len(row), dims.max()))
-    for size in np.unique(dims):
-        rows = np.flatnonzero(dims == size)
-        units[rows, :size] = batch["unit"].combine_chunks().take(pa.array(rows)).flatten().to_numpy().reshape(-1, size)
+def least_reachable(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """For each of n places the least one it is connected to by the links (left, right)."""
+    least = np.arange(n)
+    while True:
+        before = least.copy()
+        low = np.minimum(least[left], least[right])
+        np.minimum.at(least, left, low)
+        np.minimum.at(least, right, low)
+        least = np.minimum(least, least[least])
+        if (least == before).all():
+            return least
+
+
+def _window_table(table: pa.Table, window: int, size: int) -> pa.Table:
+    """Of a block of (block, place, label, dims, row, vector): who links with one of the `window` rows before,
+    as one link of every row to the first row it is connected with in the block of `size` rows."""
+    table = table.sort_by("place").combine_chunks()
+    place, label, row, dims = (table[c].to_numpy() for c in ("place", "label", "row", "dims"))
+    block = table["block"][0].as_py()
+    units = _units(table["vector"].combine_chunks(), dims)
     left, right = [], []
-    for gap in range(1, min(WINDOW, len(row) - 1) + 1):
-        near = (label[gap:] == label[:-gap]) & (dims[gap:] == dims[:-gap]) & (place[gap:] // BLOCK == block)
+    for gap in range(1, min(window, len(row) - 1) + 1):
+        near = (label[gap:] == label[:-gap]) & (dims[gap:] == dims[:-gap]) & (place[gap:] // size == block)
         near &= np.einsum("ij,ij->i", units[gap:], units[:-gap]) >= LEAST
-        left.append(row[gap:][near])
-        right.append(row[:-gap][near])
-    if left:
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["a", "b"])
+        at = np.flatnonzero(near)
+        left.append(at + gap)
+        right.append(at)
+    none = np.zeros(0, np.int64)
+    least = least_reachable(len(row), np.concatenate([none, *left]), np.concatenate([none, *right]))
+    linked = np.flatnonzero(least != np.arange(len(row)))
+    return pa.table({"a": pa.array(row[linked]), "b": pa.array(row[least[linked]])})
 
 
 def _ordered(keyed: DataFrame) -> DataFrame:
@@ -133,73 +149,69 @@ def _ordered(keyed: DataFrame) -> DataFrame:
     return parts.join(F.broadcast(written(counts)), "part").withColumn("place", F.col("at") + F.col("shift"))
 
 
-def _one_pass(vectors: DataFrame, number: int) -> DataFrame:
-    keyed = vectors.mapInArrow(_keys(number), "row long, label long, unit array<double>, dims int, key long")
-    placed = _ordered(keyed)
-    own = F.floor(F.col("place") / BLOCK)
-    blocks = F.when(F.col("place") % BLOCK >= BLOCK - WINDOW, F.array(own, own + 1)).otherwise(F.array(own))
-    spread = placed.select(F.explode(blocks).alias("block"), "place", "label", "dims", "row", "unit")
-    return spread.groupBy("block").applyInArrow(_window_table, "a long, b long")
-
-
-def _window_table(table: pa.Table) -> pa.Table:
-    found = list(_window_links(iter(table.to_batches())))
-    return pa.Table.from_batches(found) if found else pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+def _one_pass(vectors: DataFrame, number: int, window: int, size: int) -> DataFrame:
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vectors.schema)
+    placed = _ordered(vectors.mapInArrow(_keys(number), f"{fields}, key long"))
+    own = F.floor(F.col("place") / size)
+    blocks = F.when(F.col("place") % size >= size - window, F.array(own, own + 1)).otherwise(F.array(own))
+    spread = placed.select(F.explode(blocks).alias("block"), "place", "label", "dims", "row", "vector")
+    return spread.groupBy("block").applyInArrow(lambda table: _window_table(table, window, size), "a long, b long")
 
 
 def _block_counts(table: pa.Table) -> pa.Table:
     """(row, links) of the rows of side 0 with the rows of side 1 in a pair of blocks of a component."""
     side = table["side"].to_numpy()
     row, label, dims = (table[c].to_numpy() for c in ("row", "label", "dims"))
-    units = np.zeros((len(row), dims.max()))
-    column = table["unit"].combine_chunks()
-    for size in np.unique(dims):
-        rows = np.flatnonzero(dims == size)
-        units[rows, :size] = column.take(pa.array(rows)).flatten().to_numpy().reshape(-1, size)
+    units = _units(table["vector"].combine_chunks(), dims)
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     near = units[left] @ units[right].T >= LEAST
     near &= (label[left][:, None] == label[right]) & (dims[left][:, None] == dims[right]) & (row[left][:, None] != row[right])
     return pa.table({"row": pa.array(row[left]), "links": pa.array(near.sum(1).astype(np.int64))})
 
 
-def _exact_counts(members: DataFrame) -> DataFrame:
-    """(row, n_links) over all pairs within a component; `members` has component, row, label, dims, unit."""
-    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+def _exact_counts(members: DataFrame, size: int) -> DataFrame:
+    """(row, n_links) over all pairs within a component; `members` has component, row, label, dims, vector."""
+    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / size).cast("int").alias("blocks"))
     own = members.join(written(sizes), "component").withColumn("own", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    columns = ["component", "row", "label", "dims", "unit"]
+    columns = ["component", "row", "label", "dims", "vector"]
     left = own.withColumn("other", every).select(*columns, F.lit(0).alias("side"), F.col("own").alias("x"), F.col("other").alias("y"))
     right = own.withColumn("other", every).select(*columns, F.lit(1).alias("side"), F.col("other").alias("x"), F.col("own").alias("y"))
     counted = left.union(right).groupBy("component", "x", "y").applyInArrow(_block_counts, "row long, links long")
     return counted.groupBy("row").agg(F.sum("links").alias("n_links"))
 
 
-def near_duplicate_vectors(embeddings: DataFrame, passes: int | None = None) -> DataFrame:
+def near_duplicate_vectors(
+    embeddings: DataFrame, passes: int | None = None, window: int = WINDOW, block: int = BLOCK
+) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row of `embeddings` (vec_id, embedding, label)."""
+    # Components keep their type: double precision is for the products, not for what is moved.
+    single = embeddings.schema["embedding"].dataType == T.ArrayType(T.FloatType())
+    kind = "array<float>" if single else "array<double>"
     rows = written(
         embeddings.select(
             F.monotonically_increasing_id().alias("row"),
             F.col("vec_id").cast("long").alias("vec_id"),
             F.col("label").cast("long").alias("label"),
-            F.col("embedding").cast("array<double>").alias("embedding"),
+            F.col("embedding").cast(kind).alias("vector"),
         )
     )
     vectors = written(
-        rows.filter("vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL")
-        .select("row", "label", "embedding")
-        .mapInArrow(_units, "row long, label long, unit array<double>, dims int")
+        rows.filter("vec_id IS NOT NULL AND label IS NOT NULL AND vector IS NOT NULL")
+        .select("row", "label", "vector")
+        .mapInArrow(_usable, f"row long, label long, vector {kind}, dims int")
     )
     links = None
     for number in range(passes or passes_for(vectors.count())):
-        found = _one_pass(vectors, number)
+        found = _one_pass(vectors, number, window, block)
         links = found if links is None else links.union(found)
     ids = rows.select("row", "vec_id")
     pairs = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     by_row = components(pairs)
     members = vectors.join(by_row, vectors["row"] == by_row["node"]).select(
-        F.col("component_id").alias("component"), "row", "label", "dims", "unit"
+        F.col("component_id").alias("component"), "row", "label", "dims", "vector"
     )
-    counts = _exact_counts(written(members))
+    counts = _exact_counts(written(members), block)
     # Components of rows, named by their least vec_id; rows that repeat a vec_id join their components.
     grouped = written(ids.join(by_row, ids["row"] == by_row["node"], "left").select("row", "vec_id", F.coalesce("component_id", "row").alias("group")))
     named = grouped.groupBy("group").agg(F.min("vec_id").alias("least"))

@@ -23,9 +23,7 @@ HARD = ODD + [
 
 
 @pytest.mark.parametrize("chunk, overlap", [(1 << 16, 1 << 10), (1000, 20)])
-def test_ids_and_bytes_as_the_library(build, monkeypatch, chunk, overlap):
-    monkeypatch.setattr(bpe, "CHUNK", chunk)
-    monkeypatch.setattr(bpe, "OVERLAP", overlap)
+def test_ids_and_bytes_as_the_library(build, chunk, overlap):
     rows = HARD if chunk > 1000 else [(i, (t or "")[:9000]) for i, t in HARD]
     path = P.path("byte_bpe_50k.tiktoken")
     with open(path, "rb") as file:
@@ -35,7 +33,7 @@ def test_ids_and_bytes_as_the_library(build, monkeypatch, chunk, overlap):
     for i, text in rows:
         ids = np.array(library.encode_ordinary(text or ""), "<u4")
         want.append((i, len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()))
-    got = [tuple(r) for r in bpe.token_digests(build(rows), path, P.PATTERN).collect()]
+    got = [tuple(r) for r in bpe.token_digests(build(rows), path, P.PATTERN, chunk, overlap).collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 

@@ -1,6 +1,6 @@
 """Byte-level BPE by overlapping chunks.
 
-Texts of more than `CHUNK` characters are cut into chunks that overlap by `OVERLAP` characters and are dealt
+Texts of more than `chunk` characters are cut into chunks that overlap by `overlap` characters and are dealt
 out to tasks. Every chunk is pre-tokenised on its own. A pre-token is decided by what follows its start, so
 as soon as two neighbouring chunks have a boundary at the same place in their overlap they agree from there
 on: the text is stitched at the first such place and the pieces between the places are encoded. Chunks whose
@@ -17,6 +17,8 @@ from __future__ import annotations
 import base64
 import functools
 import heapq
+import itertools
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +33,10 @@ from tidelog.llm.frames import modest_batches
 CHUNK = 1 << 16
 OVERLAP = 1 << 10
 CACHE_TOKENS = 400_000
+# Bytes up to which looking through all neighbours beats a heap.
+SHORT = 64
+NO_RANK = 1 << 60
+ID_BITS = 24
 
 
 class Ranks(dict):
@@ -41,11 +47,20 @@ class Ranks(dict):
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, raw.splitlines()) if token}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern)
+        self.bytes = [self.ranks[bytes([b])] for b in range(256)]
+        # What two tokens give when they are put together, as far as that is a token.
+        self.pairs = {
+            a << ID_BITS | b: rank
+            for token, rank in self.ranks.items()
+            for k in range(1, len(token))
+            if (a := self.ranks.get(token[:k])) is not None and (b := self.ranks.get(token[k:])) is not None
+        }
 
     def __missing__(self, token: str) -> bytes:
         if len(self) >= CACHE_TOKENS:
             self.clear()
-        ids = np.array(self.merge(token.encode()), "<u4").tobytes()
+        found = self.merge(token.encode())
+        ids = struct.pack(f"<{len(found)}I", *found)
         if len(token) <= 64:
             self[token] = ids
         return ids
@@ -55,6 +70,26 @@ class Ranks(dict):
         ranks = self.ranks
         if piece in ranks:
             return [ranks[piece]]
+        return self._merge_short(piece) if len(piece) <= SHORT else self._merge_long(piece)
+
+    def _merge_short(self, piece: bytes) -> list[int]:
+        """Looks through the ranks of all neighbours for the least one each time; a rank is an id."""
+        rank_of = self.pairs.get
+        ids = [self.bytes[b] for b in piece]
+        waiting = [rank_of(a << ID_BITS | b, NO_RANK) for a, b in itertools.pairwise(ids)]
+        while waiting and (least := min(waiting)) != NO_RANK:
+            i = waiting.index(least)
+            ids[i : i + 2] = [least]
+            del waiting[i]
+            if i < len(waiting):
+                waiting[i] = rank_of(least << ID_BITS | ids[i + 1], NO_RANK)
+            if i:
+                waiting[i - 1] = rank_of(ids[i - 1] << ID_BITS | least, NO_RANK)
+        return ids
+
+    def _merge_long(self, piece: bytes) -> list[int]:
+        """Keeps the ranked neighbours in a heap; parts that were merged meanwhile are passed over."""
+        ranks = self.ranks
         parts: list[bytes | None] = [piece[i : i + 1] for i in range(len(piece))]
         after = list(range(1, len(parts) + 1))
         before = list(range(-1, len(parts) - 1))
@@ -101,26 +136,30 @@ def _whole(sent):  # noqa: ANN001, ANN202
     return encode
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of (row, doc_id, chunk, last, text)."""
-    for batch in batches:
-        for i in range(len(batch)):
-            text = batch.column(2)[i].as_py()
-            starts = range(0, len(text), CHUNK)
-            for k, start in enumerate(starts):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(i, 1),
-                        batch.column(1).slice(i, 1),
-                        pa.array([k], pa.int64()),
-                        pa.array([k == len(starts) - 1]),
-                        pa.array([text[start : start + CHUNK + OVERLAP]]),
-                    ],
-                    names=["row", "doc_id", "chunk", "last", "text"],
-                )
-
-
-def _boundaries(sent):  # noqa: ANN001, ANN202
+def _cut(chunk: int, overlap: int):  # noqa: ANN202
+    """Gives rows of (row, doc_id, chunk, last, text)."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                text = batch.column(2)[i].as_py()
+                starts = range(0, len(text), chunk)
+                for k, start in enumerate(starts):
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column(0).slice(i, 1),
+                            batch.column(1).slice(i, 1),
+                            pa.array([k], pa.int64()),
+                            pa.array([k == len(starts) - 1]),
+                            pa.array([text[start : start + chunk + overlap]]),
+                        ],
+                        names=["row", "doc_id", "chunk", "last", "text"],
+                    )
+
+    return cut
+
+
+def _boundaries(sent, chunk: int, overlap: int):  # noqa: ANN001, ANN202
     """Adds the boundaries in the overlap with the chunk before (head) and behind (tail), counted alike."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,9 +168,9 @@ def _boundaries(sent):  # noqa: ANN001, ANN202
             heads, tails = [], []
             for text, last in zip(batch.column(4).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 starts = [m.start() for m in pattern.finditer(text)]
-                heads.append([s for s in starts if s < OVERLAP - 1])
+                heads.append([s for s in starts if s < overlap - 1])
                 # What follows the chunk may still change a match that ends within its last two characters.
-                tails.append([] if last else [s - CHUNK for s in starts if CHUNK <= s <= len(text) - 2])
+                tails.append([] if last else [s - chunk for s in starts if chunk <= s <= len(text) - 2])
             places = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(heads, places), pa.array(tails, places)], names=[*batch.schema.names, "head", "tail"]
@@ -140,7 +179,7 @@ def _boundaries(sent):  # noqa: ANN001, ANN202
     return find
 
 
-def _pieces(sent):  # noqa: ANN001, ANN202
+def _pieces(sent, chunk: int):  # noqa: ANN001, ANN202
     """Encodes runs of (row, doc_id, run, begin, end, chunks): from `begin` in the first chunk to `end` in the
     last one's overlap."""
 
@@ -150,8 +189,8 @@ def _pieces(sent):  # noqa: ANN001, ANN202
             ids = []
             for begin, end, chunks in zip(*(batch.column(c).to_pylist() for c in (3, 4, 5)), strict=True):
                 parts = [c["text"] for c in chunks]
-                text = "".join([*(p[:CHUNK] for p in parts[:-1]), parts[-1]])
-                stop = len(text) if end is None else CHUNK * len(parts) + end
+                text = "".join([*(p[:chunk] for p in parts[:-1]), parts[-1]])
+                stop = len(text) if end is None else chunk * len(parts) + end
                 out = []
                 for match in ranks.pattern.finditer(text, begin):
                     if match.start() >= stop:
@@ -169,22 +208,24 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
 
-def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+def encode_documents(
+    docs: DataFrame, ranks_path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP
+) -> DataFrame:
     """doc_id and ids of every row of `docs` (doc_id, text)."""
     spark = docs.sparkSession
     modest_batches(spark)
     with open(ranks_path, "rb") as file:
         sent = spark.sparkContext.broadcast((file.read(), pattern))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    long_text = F.coalesce(F.length("text") > CHUNK, F.lit(False))
+    long_text = F.coalesce(F.length("text") > chunk, F.lit(False))
     short = rows.filter(~long_text).mapInArrow(_whole(sent), "doc_id long, ids binary")
     chunks = (
         rows.filter(long_text)
         .select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-        .mapInArrow(_cut, "row long, doc_id long, chunk long, last boolean, text string")
+        .mapInArrow(_cut(chunk, overlap), "row long, doc_id long, chunk long, last boolean, text string")
         .repartition("row", "chunk")
         .mapInArrow(
-            _boundaries(sent),
+            _boundaries(sent, chunk, overlap),
             "row long, doc_id long, chunk long, last boolean, text string, head array<long>, tail array<long>",
         )
     )
@@ -198,7 +239,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
     )
     ends = F.lead("begin").over(Window.partitionBy("row").orderBy("run"))
     encoded = runs.select("row", "doc_id", "run", "begin", ends.alias("end"), "chunks").mapInArrow(
-        _pieces(sent), "row long, doc_id long, run long, ids binary"
+        _pieces(sent, chunk), "row long, doc_id long, run long, ids binary"
     )
     stitched = (
         encoded.groupBy("row", "doc_id")
@@ -236,6 +277,9 @@ def digests(decoded: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def token_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+def token_digests(
+    docs: DataFrame, ranks_path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP
+) -> DataFrame:
     """The digests of every row of `docs` (doc_id, text), encoded and decoded again."""
-    return digests(decode_documents(encode_documents(docs, ranks_path, pattern), ranks_path, pattern))
+    encoded = encode_documents(docs, ranks_path, pattern, chunk, overlap)
+    return digests(decode_documents(encoded, ranks_path, pattern))

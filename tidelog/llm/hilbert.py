@@ -103,7 +103,8 @@ def shards(docs: DataFrame, count: int = SHARDS) -> DataFrame:
             total.alias("total"),
         )
     )
-    placed = rows.join(cells, "cell").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")))
+    # At most 2**(3 * BITS) rows of a few numbers.
+    placed = rows.join(F.broadcast(cells), "cell").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")))
     counts = placed.groupBy("cell", "part").agg(F.count("*").alias("rows"))
     before = Window.partitionBy("cell").orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counts = written(counts.select("cell", "part", (F.sum("rows").over(before) - F.col("rows")).alias("before_part")))

@@ -49,7 +49,7 @@ _DIGIT = (_BYTE >= 48) & (_BYTE <= 57)
 _SPACE = texts.is_space(_BYTE)
 _STOP = np.isin(_BYTE, [ord(c) for c in ".,;:?"])
 _QUOTE = np.isin(_BYTE, [ord(c) for c in "'\"()-!"])
-_CODE = np.select([_UPPER, _LOWER, _DIGIT, _SPACE, _STOP, _QUOTE], [0, 1, 2, 3, 4, 5], 6)
+_CODE = np.select([_UPPER, _LOWER, _DIGIT, _SPACE, _STOP, _QUOTE], [0, 1, 2, 3, 4, 5], 6).astype(np.uint8)
 
 
 def text_view(column: pa.Array) -> np.ndarray:

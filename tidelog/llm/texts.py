@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 WIDTH = 5
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _BYTES = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

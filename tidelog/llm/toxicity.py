@@ -58,7 +58,7 @@ _UPPER = (_BYTE >= 65) & (_BYTE <= 90)
 _LETTER = _UPPER | ((_BYTE >= 97) & (_BYTE <= 122)) | (_BYTE >= 128)
 _DIGIT = (_BYTE >= 48) & (_BYTE <= 57)
 _MARK = ~(_LETTER | _DIGIT | texts.is_space(_BYTE)) & (_BYTE > 32)
-_CODE = np.select([_UPPER, _LETTER, _DIGIT, _BYTE == 33, _MARK], [0, 1, 2, 3, 4], 5)
+_CODE = np.select([_UPPER, _LETTER, _DIGIT, _BYTE == 33, _MARK], [0, 1, 2, 3, 4], 5).astype(np.uint8)
 _CORE = _LETTER | _DIGIT | np.isin(_BYTE, [ord("@"), ord("$")])
 # Letters that stand behind digits and signs; other signs inside a word are skipped.
 _PLAIN = np.where(_LETTER, _BYTE, 0).astype(np.uint8)

@@ -128,6 +128,35 @@ def test_vectors_against_brute_force(spark, block, window):
     assert len(got) == len(rows) and all(r.kept == (r.vec_id is None or r.vec_id == r.component_id) for r in got)
 
 
+def near_pairs(pairs, background, seed=9):
+    """Unit vectors of one label: pairs of cosine 0.93 to 0.96, all others of about the cosine `background`."""
+    rng = np.random.default_rng(seed)
+    drawn = rng.standard_normal((pairs + 1, 64))
+    drawn /= np.linalg.norm(drawn, axis=1, keepdims=True)
+    first = background**0.5 * drawn[0] + (1 - background) ** 0.5 * drawn[1:]
+    first /= np.linalg.norm(first, axis=1, keepdims=True)
+    aside = rng.standard_normal((pairs, 64))
+    aside -= (aside * first).sum(1, keepdims=True) * first
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    cosine = rng.uniform(0.931, 0.96, (pairs, 1))
+    second = cosine * first + (1 - cosine**2) ** 0.5 * aside
+    return np.concatenate([first, second])
+
+
+@pytest.mark.parametrize("background, options, least", [(0.8, {}, 1.0), (0.5, {"overhead": 0}, 0.97)])
+def test_pairs_in_a_concentrated_label_are_found(spark, background, options, least):
+    units = near_pairs(2500, background)
+    rows = [(n, v.tolist(), 1) for n, v in enumerate(units)] + [(9000 + n, units[0].tolist(), 1) for n in range(300)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r for r in projection.near_duplicate_vectors(table, **options).collect()}
+    found = sum(got[n].component_id == got[n + 2500].component_id for n in range(2500))
+    assert found >= least * 2500
+    assert {got[9000 + n].component_id for n in range(300)} == {got[0].component_id} and {got[9000 + n].n_links for n in range(300)} == {got[0].n_links}
+    if least == 1:
+        every = np.concatenate([units, np.repeat(units[:1], 300, 0)])
+        assert [got[r[0]].n_links for r in rows] == ((every @ every.T >= projection.LEAST).sum(1) - 1).tolist()
+
+
 def test_no_vectors(spark):
     assert projection.near_duplicate_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 

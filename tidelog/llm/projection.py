@@ -1,19 +1,19 @@
-"""Near-duplicate embeddings by sorted projection passes.
+"""Near-duplicate embeddings by exact comparison of sign buckets.
 
-A vector's key in a pass is the concatenation of the signs of `KEY_BITS` random projections, most significant
-first. All vectors are ordered by label and key, and each is compared with the `WINDOW` vectors before it in
-that order. Every pass draws its own projections; verified pairs of all passes are united. Two vectors at
-angle a agree in a sign with probability 1 - a / pi. Of n vectors about WINDOW share the first
-log2(n / WINDOW) signs, so a pair that agrees on these is within a window. `passes_for` takes as many passes
-as let a pair at the threshold itself escape all of them with probability `MISSED`: 7 for 10,000 vectors, 10
-for 50,000, 71 for a billion. Nearer pairs, and those of larger groups, escape far more rarely.
+Equal vectors are collapsed first. A vector's key in a pass is the concatenation of the signs of `KEY_BITS`
+random projections, most significant first; every pass draws its own projections. The vectors of a label that
+share the first k signs of a key are a bucket, and a bucket is compared exactly, whatever its size: large ones
+in blocks of `BLOCK`, block against block, many small ones in one task. Two vectors at angle a agree in a sign
+with probability 1 - a / pi, so `passes_of(k)` passes let a pair at the threshold itself escape all of them
+with probability `MISSED` at most, however the vectors of a label lie. Nearer pairs, and those of larger
+groups, escape far more rarely. Without signs (k = 0) there is one bucket and one pass, and no pair escapes.
 
-A window is bounded, a group of copies is not. So after the passes the links of every component found are
-completed exactly: its vectors are compared in blocks of `BLOCK`, block against block, of which only the
-number of links of each vector and block leaves a task. No link within a component is missed by a window.
+The k of a label is the one of least cost by the measured sizes of its buckets: signs that do not spread a
+label's vectors make buckets hardly smaller but passes many, and then the label is compared as a whole. So are
+labels of up to `OVERHEAD` vectors, where a pass costs more than it saves.
 
-Ordering is exact and spread over tasks: rows are dealt by ranges of the order, written, numbered from the
-row counts of the parts, and cut in blocks that also hold the WINDOW rows before them.
+A comparison returns one link a row and block, not all pairs. The links of every component found are then
+counted exactly, block against block again. No link within a component is missed by a bucket.
 
 Defined results: vectors that are null, zero or of non-finite or null components, and rows without a label,
 link with nothing, as do vectors of different lengths. Rows that repeat a vec_id count as one vector for
@@ -28,27 +28,40 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.llm.components import components
 from tidelog.llm.frames import written
+from tidelog.session import broadcast_if_small
 
 LEAST = 0.93
 MISSED = 0.02
 KEY_BITS = 62
 WINDOW = 128
 BLOCK = 1024
+# Comparisons that cost as much as moving a vector in one more pass.
+OVERHEAD = 8192
+# Passes that bucket sizes are measured in.
+MEASURED = 3
 
 
 def passes_for(rows: int) -> int:
-    """Passes over `rows` vectors; see above."""
+    """The most passes over `rows` vectors: those of prefixes that WINDOW evenly spread vectors share."""
     signs = max(0.0, math.log2(max(rows, 1) / WINDOW))
     together = (1 - math.acos(LEAST) / math.pi) ** signs
     return max(2, math.ceil(math.log(MISSED) / math.log(1 - min(together, 0.9))))
 
 
+def passes_of(signs: int) -> int:
+    """Passes over buckets of vectors that share so many signs; see above."""
+    if not signs:
+        return 1
+    together = (1 - math.acos(LEAST) / math.pi) ** signs
+    return math.ceil(math.log(MISSED) / math.log1p(-together))
+
+
 def unit_matrix(values: np.ndarray) -> np.ndarray:
     """Rows of length 1 in double precision; NaN for rows that are zero or hold a non-finite component."""
     values = values.astype(float)
@@ -113,68 +126,96 @@ def least_reachable(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
             return least
 
 
-def _window_table(table: pa.Table, window: int, size: int) -> pa.Table:
-    """Of a block of (block, place, label, dims, row, vector): who links with one of the `window` rows before,
-    as one link of every row to the first row it is connected with in the block of `size` rows."""
-    table = table.sort_by("place").combine_chunks()
-    place, label, row, dims = (table[c].to_numpy() for c in ("place", "label", "row", "dims"))
-    block = table["block"][0].as_py()
+def _bucket_links(table: pa.Table) -> pa.Table:
+    """Of (label, dims, prefix, row, vector, own, low, high), rows of the blocks low and high of some buckets:
+    who links across the two blocks of its bucket, as one link of every row to the first row it is connected with."""
+    table = table.sort_by([(c, "ascending") for c in ("label", "dims", "prefix", "row")]).combine_chunks()
+    label, dims, prefix, row, own = (table[c].to_numpy() for c in ("label", "dims", "prefix", "row", "own"))
+    low, high = table["low"][0].as_py(), table["high"][0].as_py()
     units = _units(table["vector"].combine_chunks(), dims)
-    left, right = [], []
-    for gap in range(1, min(window, len(row) - 1) + 1):
-        near = (label[gap:] == label[:-gap]) & (dims[gap:] == dims[:-gap]) & (place[gap:] // size == block)
-        near &= np.einsum("ij,ij->i", units[gap:], units[:-gap]) >= LEAST
-        at = np.flatnonzero(near)
-        left.append(at + gap)
-        right.append(at)
-    none = np.zeros(0, np.int64)
-    least = least_reachable(len(row), np.concatenate([none, *left]), np.concatenate([none, *right]))
+    other = (label[1:] != label[:-1]) | (dims[1:] != dims[:-1]) | (prefix[1:] != prefix[:-1])
+    cuts = [0, *(np.flatnonzero(other) + 1).tolist(), len(row)]
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+        if end - start > 1:
+            x, y = (start + np.flatnonzero(own[start:end] == block) for block in (low, high))
+            i, j = np.nonzero(units[x] @ units[y].T >= LEAST)
+            left.append(x[i])
+            right.append(y[j])
+    left, right = np.concatenate(left), np.concatenate(right)
+    apart = left != right
+    least = least_reachable(len(row), left[apart], right[apart])
     linked = np.flatnonzero(least != np.arange(len(row)))
     return pa.table({"a": pa.array(row[linked]), "b": pa.array(row[least[linked]])})
 
 
-def _ordered(keyed: DataFrame) -> DataFrame:
-    """`keyed` with the exact place of every row in the order of label, key and row."""
-    order = ["label", "key", "row"]
-    width = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = written(
-        keyed.repartitionByRange(width, *order)
-        .sortWithinPartitions(*order)
-        .select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"))
-    )
-    # One row for every part of the order.
-    counts = parts.groupBy("part").agg(F.count("*").alias("rows"), F.min("at").alias("first"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counts = counts.select("part", (F.sum("rows").over(before) - F.col("rows") - F.col("first")).alias("shift"))
-    return parts.join(F.broadcast(written(counts)), "part").withColumn("place", F.col("at") + F.col("shift"))
-
-
-def _one_pass(vectors: DataFrame, number: int, window: int, size: int) -> DataFrame:
+def _keyed(vectors: DataFrame, number: int) -> DataFrame:
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vectors.schema)
-    placed = _ordered(vectors.mapInArrow(_keys(number), f"{fields}, key long"))
-    own = F.floor(F.col("place") / size)
-    blocks = F.when(F.col("place") % size >= size - window, F.array(own, own + 1)).otherwise(F.array(own))
-    spread = placed.select(F.explode(blocks).alias("block"), "place", "label", "dims", "row", "vector")
-    return spread.groupBy("block").applyInArrow(lambda table: _window_table(table, window, size), "a long, b long")
+    return vectors.mapInArrow(_keys(number), f"{fields}, key long")
+
+
+def _planned(vectors: DataFrame, most: int, window: int, overhead: int) -> DataFrame:
+    """`vectors` with the signs and passes of their label, `most` passes at most and no more signs than leave
+    `window` evenly spread vectors a bucket."""
+    groups = written(vectors.groupBy("label", "dims").agg(F.count("*").cast("double").alias("n")))
+    tried = [signs for signs in range(1, KEY_BITS + 1) if passes_of(signs) <= most]
+    # Any signs take two passes, which cost more than one over up to `overhead` vectors.
+    large = groups.filter((F.col("n") > overhead) & (F.col("n") >= 2 * window))
+    plan = groups.withColumns({"signs": F.lit(0), "passes": F.lit(1)})
+    if tried and not large.isEmpty():
+        large = broadcast_if_small(large)
+        deepest = F.least(F.lit(tried[-1]), F.floor(F.log2(F.col("n") / window)).cast("int"))
+        sizes = None
+        for number in range(MEASURED):
+            keys = _keyed(vectors.select("row", "label", "vector", "dims").join(large.select("label", "dims"), ["label", "dims"], "left_semi").select("row", "label", "vector", "dims"), number)
+            spread = keys.select("label", "dims", "key").join(large, ["label", "dims"]).withColumn("signs", F.explode(F.sequence(F.lit(1), deepest)))
+            found = spread.groupBy("label", "dims", "n", "signs", F.expr(f"shiftright(key, {KEY_BITS} - signs)").alias("prefix")).agg(F.count("*").alias("size"))
+            found = found.groupBy("label", "dims", "n", "signs").agg(F.sum(F.pow("size", F.lit(2))).alias("compared"))
+            sizes = found if sizes is None else sizes.union(found)
+        passes = F.element_at(F.array(*(F.lit(passes_of(signs)) for signs in tried)), F.col("signs"))
+        costs = sizes.groupBy("label", "dims", "n", "signs").agg((F.sum("compared") / MEASURED).alias("compared")).withColumn("passes", passes)
+        whole = large.select("label", "dims", "n", F.lit(0).alias("signs"), F.pow("n", F.lit(2)).alias("compared"), F.lit(1).alias("passes"))
+        costs = costs.union(whole).withColumn("cost", F.col("passes") * (F.col("compared") + overhead * F.col("n")))
+        best = costs.groupBy("label", "dims").agg(F.min(F.struct("cost", "signs", "passes")).alias("best"))
+        chosen = best.select("label", "dims", F.col("best.signs").alias("signs"), F.col("best.passes").alias("passes"))
+        plan = groups.join(chosen, ["label", "dims"], "left").fillna({"signs": 0, "passes": 1})
+    return vectors.join(broadcast_if_small(plan.select("label", "dims", "signs", "passes")), ["label", "dims"])
+
+
+def _one_pass(placed: DataFrame, size: int, packs: int) -> DataFrame:
+    """Links (a, b) within the buckets of `placed`, which has label, dims, prefix, row, vector."""
+    bucket = ["label", "dims", "prefix"]
+    large = placed.groupBy(*bucket).agg(F.count("*").alias("n")).filter(F.col("n") > size)
+    large = large.select(*bucket, F.ceil(F.col("n") / size).cast("int").alias("blocks"))
+    dealt = placed.join(broadcast_if_small(large), bucket, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    # Buckets of one block share the tasks of a pack.
+    name = F.xxhash64(*bucket)
+    unit = F.when(F.col("blocks") > 1, name).otherwise(F.pmod(name, F.lit(packs)))
+    spread = dealt.select(
+        unit.alias("unit"), F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), *bucket, "row", "vector", "own"
+    )
+    return spread.groupBy("unit", "low", "high").applyInArrow(_bucket_links, "a long, b long")
 
 
 def _block_counts(table: pa.Table) -> pa.Table:
-    """(row, links) of the rows of side 0 with the rows of side 1 in a pair of blocks of a component."""
+    """(row, links) of the rows of side 0 with the rows of side 1, and their copies, in a pair of blocks of a component."""
     side = table["side"].to_numpy()
-    row, label, dims = (table[c].to_numpy() for c in ("row", "label", "dims"))
+    row, label, dims, copies = (table[c].to_numpy() for c in ("row", "label", "dims", "copies"))
     units = _units(table["vector"].combine_chunks(), dims)
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     near = units[left] @ units[right].T >= LEAST
     near &= (label[left][:, None] == label[right]) & (dims[left][:, None] == dims[right]) & (row[left][:, None] != row[right])
-    return pa.table({"row": pa.array(row[left]), "links": pa.array(near.sum(1).astype(np.int64))})
+    return pa.table({"row": pa.array(row[left]), "links": pa.array(near @ copies[right].astype(np.int64))})
 
 
 def _exact_counts(members: DataFrame, size: int) -> DataFrame:
-    """(row, n_links) over all pairs within a component; `members` has component, row, label, dims, vector."""
+    """(row, n_links) over all pairs within a component; `members` has component, row, label, dims, vector, copies."""
     sizes = members.groupBy("component").agg(F.ceil(F.count("*") / size).cast("int").alias("blocks"))
     own = members.join(written(sizes), "component").withColumn("own", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    columns = ["component", "row", "label", "dims", "vector"]
+    columns = ["component", "row", "label", "dims", "vector", "copies"]
     left = own.withColumn("other", every).select(*columns, F.lit(0).alias("side"), F.col("own").alias("x"), F.col("other").alias("y"))
     right = own.withColumn("other", every).select(*columns, F.lit(1).alias("side"), F.col("other").alias("x"), F.col("own").alias("y"))
     counted = left.union(right).groupBy("component", "x", "y").applyInArrow(_block_counts, "row long, links long")
@@ -182,7 +223,7 @@ def _exact_counts(members: DataFrame, size: int) -> DataFrame:
 
 
 def near_duplicate_vectors(
-    embeddings: DataFrame, passes: int | None = None, window: int = WINDOW, block: int = BLOCK
+    embeddings: DataFrame, passes: int | None = None, window: int = WINDOW, block: int = BLOCK, overhead: int = OVERHEAD
 ) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row of `embeddings` (vec_id, embedding, label)."""
     # Components keep their type: double precision is for the products, not for what is moved.
@@ -201,23 +242,41 @@ def near_duplicate_vectors(
         .select("row", "label", "vector")
         .mapInArrow(_usable, f"row long, label long, vector {kind}, dims int")
     )
-    links = None
-    for number in range(passes or passes_for(vectors.count())):
-        found = _one_pass(vectors, number, window, block)
-        links = found if links is None else links.union(found)
+    # Equal vectors are compared as one, that of the first row.
+    alike = ["label", "dims", "vector"]
+    distinct = written(vectors.groupBy(*alike).agg(F.min("row").alias("row"), F.count("*").alias("copies")))
+    distinct = distinct.select("row", "label", "vector", "dims", "copies")
+    several = distinct.filter("copies > 1").select(*alike, F.col("row").alias("first"))
+    copies = written(vectors.join(broadcast_if_small(several), alike).filter("row <> first").select("row", "first"))
+    count = distinct.count()
+    planned = written(_planned(distinct, passes or passes_for(count), window, overhead))
+    whole = planned.filter("signs = 0").select(*alike, "row", F.lit(0).cast("long").alias("prefix"))
+    packs = max(1, -(-count // block))
+    links = _one_pass(whole, block, packs)
+    for number in range(planned.filter("signs > 0").agg(F.max("passes")).first()[0] or 0):
+        rest = planned.filter((F.col("signs") > 0) & (F.col("passes") > number)).select("row", "label", "vector", "dims", "signs")
+        prefix = F.expr(f"shiftright(key, {KEY_BITS} - signs)").alias("prefix")
+        links = links.union(_one_pass(written(_keyed(rest, number).select(*alike, "row", prefix)), block, packs))
     ids = rows.select("row", "vec_id")
     pairs = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     by_row = components(pairs)
-    members = vectors.join(by_row, vectors["row"] == by_row["node"]).select(
-        F.col("component_id").alias("component"), "row", "label", "dims", "vector"
+    members = distinct.join(by_row, distinct["row"] == by_row["node"]).select(
+        F.col("component_id").alias("component"), "row", "label", "dims", "vector", "copies"
     )
     counts = _exact_counts(written(members), block)
+    # What holds for a vector holds for its copies.
+    known = distinct.select("row", "copies").join(counts, "row", "left").join(by_row, F.col("row") == by_row["node"], "left")
+    known = written(known.select(
+        "row", "copies", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "row").alias("group")
+    ))
+    firsts = broadcast_if_small(known.filter("copies > 1").select(F.col("row").alias("first"), "n_links", "group"))
+    known = written(known.select("row", "n_links", "group").union(copies.join(firsts, "first").select("row", "n_links", "group")))
     # Components of rows, named by their least vec_id; rows that repeat a vec_id join their components.
-    grouped = written(ids.join(by_row, ids["row"] == by_row["node"], "left").select("row", "vec_id", F.coalesce("component_id", "row").alias("group")))
+    grouped = written(ids.join(known, "row", "left").select("row", "vec_id", F.coalesce("group", "row").alias("group")))
     named = grouped.groupBy("group").agg(F.min("vec_id").alias("least"))
     joined = written(grouped.filter("vec_id IS NOT NULL").join(written(named), "group").select("vec_id", "least"))
     final = components(joined, "vec_id", "least")
-    out = ids.join(counts, "row", "left").join(final, ids["vec_id"] == final["node"], "left")
+    out = ids.join(known.select("row", "n_links"), "row", "left").join(final, ids["vec_id"] == final["node"], "left")
     component = F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))

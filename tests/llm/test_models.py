@@ -1,6 +1,7 @@
 """Classifiers by held-out accuracy, vectors by brute force, chats and licences by small cases."""
 
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -199,6 +200,29 @@ def test_licences_by_rule(build, odd, empty):
         licenses.lookup({"x": ["Do as you please."]})
 
 
+@pytest.mark.parametrize("mark", ["", " * ", "# ", "// "])
+@pytest.mark.parametrize("ends", ["\n", "\r\n"])
+def test_wrapped_licence_texts_are_found(build, mark, ends):
+    said = {i: s[0] for i, s in licenses.SENTENCES.items()}
+    texts = {
+        "MIT": [said["mit_grant"], said["mit_condition"], said["as_is"] + " " + said["mit_liability"]],
+        "ISC": [said["isc_grant"], said["as_is"]],
+        "BSD-3-Clause": [said["bsd_grant"], "1. " + said["bsd_source"], "2. " + said["bsd_binary"], "3. " + said["bsd_names"]],
+        "Apache-2.0": [" ".join(said[i] for i in ("apache2_header", "apache2_use", "apache2_copy")), "http://www.apache.org/licenses/LICENSE-2.0", said["apache2_as_is"] + " " + said["apache2_language"]],
+        "GPL-3.0-or-later": [said["gpl_free"], " ".join(said[i] for i in ("gpl_hope", "gpl_fitness", "gpl_details"))],
+    }
+    rows = []
+    for parts in texts.values():
+        for width in (40, 70, 79):
+            lines = "\n\n".join(textwrap.fill(p, width, break_long_words=False) for p in parts).split("\n")
+            # A line without an end mark goes before, a notice in a line of its own behind.
+            whole = ["Copyright (c) 2020 Somebody", *lines, "", "Licensed under CC BY 4.0."]
+            rows.append((len(rows), ends.join((mark + line).rstrip() for line in whole)))
+    got = {r.doc_id: r for r in licenses.scan(build(rows)).collect()}
+    assert [got[n].licences for n in range(len(rows))] == [f"{name},CC-BY-4.0" for name in texts for _ in range(3)]
+    assert {r.unmatched for r in got.values()} == {""}
+
+
 def test_long_texts_are_not_cut_short(build):
     rows = [(1, sentence(0, 50_000) + "\nReleased under the MIT License.")]
     assert licenses.scan(build(rows)).first().licences == "MIT"

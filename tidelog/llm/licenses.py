@@ -6,6 +6,10 @@ are then matched against `RULES` from the first to the last: a rule that finds i
 adds its licence and takes the sequence out, so a complete licence text is not reported again as the notice
 that is a part of it. What no rule takes is reported as unmatched.
 
+The sentences of licence texts, which are those of rules of several, may go on over single line breaks, with or
+without comment marks before the lines, and begin and end at any line. Notices, which a rule takes alone, are
+known within a line.
+
 All of it happens within a row, without a shuffle. Texts without any of `CUES`, one of which is in every
 known sentence, are not cut up.
 
@@ -84,7 +88,7 @@ RULES = [
     ("proprietary", ["all_rights"]),
 ]
 
-# A sentence ends at a line break, or at one of these marks before white space.
+# A sentence ends at a blank line, or at one of these marks before white space; it may begin and end at any line.
 SENTENCE_END = r"([.!?;:])[ \t\r\n\f]+"
 NOT_KEPT = "[^a-z0-9]+"
 
@@ -107,11 +111,18 @@ def lookup(sentences: dict[str, list[str]] = SENTENCES) -> dict[str, str]:
     return found
 
 
-def _identifiers(text: Column, known: dict[str, str]) -> Column:
+def _identifiers(text: Column, known: dict[str, str], wrapped: set[str]) -> Column:
+    """Known sentences in the order of the text; those with an identifier in `wrapped` may go over line breaks."""
     table = F.create_map(*(F.lit(x) for pair in known.items() for x in pair))
-    lines = F.split(F.regexp_replace(text, SENTENCE_END, "$1\n"), "[\r\n]+")
-    plain = F.transform(lines, lambda s: F.trim(F.regexp_replace(F.lower(s), NOT_KEPT, " ")))
-    return F.array_compact(F.transform(plain, lambda s: F.try_element_at(table, s)))
+    # Capitals are free after lower(): E is a sentence's end, L a line break. Comment marks are blanks like all
+    # that is not kept, so that a line of them is a blank line.
+    marked = F.regexp_replace(F.regexp_replace(F.lower(text), SENTENCE_END, "E"), r"\r\n|\r|\n", "L")
+    plain = F.regexp_replace(F.regexp_replace(marked, "[^a-z0-9EL]+", " "), " ?([EL]) ?", "$1")
+    plain = F.concat(F.lit("E"), F.trim(F.regexp_replace(plain, "[EL]{2,}", "E")), F.lit("E"))
+    longest_first = sorted(known, key=lambda s: (-len(s), s))
+    any_of = "|".join(s.replace(" ", "[ L]") if known[s] in wrapped else s for s in longest_first)
+    found = F.regexp_extract_all(plain, F.lit(f"(?<=[EL])(?:{any_of})(?=[EL])"), F.lit(0))
+    return F.transform(found, lambda s: F.try_element_at(table, F.translate(s, "L", " ")))
 
 
 def scan(docs: DataFrame, sentences: dict[str, list[str]] = SENTENCES, rules: list[tuple[str, list[str]]] = RULES) -> DataFrame:
@@ -119,9 +130,10 @@ def scan(docs: DataFrame, sentences: dict[str, list[str]] = SENTENCES, rules: li
     are lists joined by commas, in the order of the text, of the rules, and of the text."""
     text = F.lower("text")
     cue = F.coalesce(F.greatest(*(F.contains(text, F.lit(c)) for c in CUES)), F.lit(False))
+    wrapped = {i for _, ids in rules if len(ids) > 1 for i in ids}
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.when(cue, _identifiers(F.col("text"), lookup(sentences))).otherwise(F.array().cast("array<string>")).alias("ids"),
+        F.when(cue, _identifiers(F.col("text"), lookup(sentences), wrapped)).otherwise(F.array().cast("array<string>")).alias("ids"),
     )
     steps = F.array(*(F.struct(F.lit(name).alias("name"), F.lit("".join(f"<{i}>" for i in ids)).alias("ids")) for name, ids in rules))
     start = F.struct(F.concat_ws("", F.transform("ids", lambda i: F.concat(F.lit("<"), i, F.lit(">")))).alias("rest"), F.lit("").alias("found"))

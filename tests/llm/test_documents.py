@@ -108,6 +108,17 @@ def test_items_in_several_blocks(spark, build, monkeypatch):
     assert got == {(n, n) for n in range(6)}
 
 
+def test_items_beyond_a_block_are_joined_and_never_sent(spark, build, monkeypatch):
+    table = spark.createDataFrame([(n % 25 or None, sentence(n * 7, 5 + n)) for n in range(30)] + [(90, "two words"), (91, None)], "item_id long, text string")
+    rows = [(n, sentence(n * 5, 60)) for n in range(40)] + [(3, sentence(70, 80)), (None, sentence(0, 90)), (50, "two words"), *ODD]
+    docs = build([*rows, rows[0]])
+    sent = sorted(map(str, decontaminate.contaminated(docs, table).collect()))
+    monkeypatch.setattr(decontaminate, "BLOCK_SHINGLES", 40)
+    monkeypatch.setattr(decontaminate, "_searcher", None)
+    joined = decontaminate.contaminated(docs, table)
+    assert sorted(map(str, joined.collect())) == sent and len(sent) > 40
+
+
 def test_nothing_to_search(spark, odd, empty):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contaminated(odd, none).count() == 0

@@ -12,8 +12,9 @@ a long document; containment is searched from the item's side instead:
   hash some such sketch may hold.
 * A document that has a sketch shingle is a candidate for that item and decided on both full shingle sets.
 
-Items are taken in blocks of at most `BLOCK_SHINGLES` shingles (16 MB): each block is sent to the tasks and
-the documents are passed once a block, without a shuffle. Only found pairs are shuffled.
+Items of at most `BLOCK_SHINGLES` shingles together (16 MB) are sent to the tasks and the documents are passed
+once, without a shuffle of them; only found pairs are shuffled. More items are never gathered: their sketch
+shingles meet those of the documents by shuffle, and candidates are decided by the same shuffle of full sets.
 
 Defined results: items without words are found nowhere; an item of one to four words is a single shingle,
 which only a document of exactly these words has. Null and empty documents hold nothing. Rows that repeat an
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm import texts
@@ -141,6 +142,46 @@ def _searcher(block, ids: list, id_type: pa.DataType):  # noqa: ANN001, ANN202
     return search
 
 
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(item, shingle) of the sketches of (item, shingles)."""
+    for batch in batches:
+        for item, shingles in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            own = shingles.values.to_numpy().view(np.uint64)
+            least = own[np.argsort(_order(own), kind="stable")[: len(own) - needed(len(own)) + 1]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(least), item)), pa.array(least.view(np.int64))], names=["item", "shingle"]
+            )
+
+
+def _doc_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, doc, shingle) of the distinct shingles of (doc_id, doc, text)."""
+    for batch in batches:
+        for part in texts.pieces(batch, "text"):
+            sets = texts.shingle_sets(part.column(2))
+            owner = pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
+            values = pa.array(np.concatenate(sets).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).take(owner), part.column(1).take(owner), values], names=["doc_id", "doc", "shingle"]
+            )
+
+
+def _joined(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The found pairs of `docs` (doc_id, text) and `sets` (item_id, n, shingles), by shuffle alone."""
+    sets = written(sets.withColumn("item", F.monotonically_increasing_id()))
+    wanted = sets.select("item", F.explode("shingles").alias("shingle"))
+    # Rows of equal id and text hold the same.
+    named = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("doc"), "text")
+    every = named.mapInArrow(_doc_shingles, "doc_id long, doc long, shingle long")
+    held = written(every.join(wanted.select("shingle").distinct(), "shingle", "left_semi").distinct())
+    sketches = sets.select("item", "shingles").mapInArrow(_sketches, "item long, shingle long")
+    pairs = written(held.join(sketches, "shingle").select("doc_id", "doc", "item").distinct())
+    shared = pairs.select("doc", "item").distinct().join(wanted, "item").join(held.select("doc", "shingle").distinct(), ["doc", "shingle"])
+    shared = shared.groupBy("doc", "item").agg(F.count("*").alias("n_shared"))
+    found = pairs.join(shared, ["doc", "item"]).join(sets.select("item", "item_id", "n"), "item")
+    found = found.filter(F.col("n_shared") * WHOLE >= F.col("n") * SHARE)
+    return found.select("item_id", "doc_id", F.col("n").alias("n_item_shingles"), "n_shared")
+
+
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """item_id, doc_id, n_item_shingles, n_shared, containment of every pair of `docs` (doc_id, text) and
     `items` (item_id, text) whose containment is at least 0.75."""
@@ -148,18 +189,19 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     modest_batches(spark)
     tests = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     sets = tests.mapInArrow(_item_sets, "item_id long, n long, shingles array<long>").filter("n > 0")
-    # The running size is taken over the items alone, which are few and do not grow with the corpus.
-    order = Window.orderBy("item_id", "n", F.xxhash64("shingles"))
-    place = F.floor((F.sum("n").over(order) - F.col("n")) / BLOCK_SHINGLES).cast("int")
-    sets = written(sets.withColumn("block", place))
+    sets = written(sets)
     texts_only = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "item_id long, doc_id long, n_item_shingles long, n_shared long"
-    found = spark.createDataFrame([], schema)
-    for block in sorted(r.block for r in sets.select("block").distinct().collect()):
-        rows = sets.filter(F.col("block") == block).collect()
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    if not total:
+        found = spark.createDataFrame([], schema)
+    elif total <= BLOCK_SHINGLES:
+        rows = sets.collect()
         values = np.concatenate([np.array(r.shingles, np.int64).view(np.uint64) for r in rows])
         sent = spark.sparkContext.broadcast((values.tobytes(), tuple(r.n for r in rows)))
-        found = found.union(texts_only.mapInArrow(_searcher(sent, [r.item_id for r in rows], pa.int64()), schema))
+        found = texts_only.mapInArrow(_searcher(sent, [r.item_id for r in rows], pa.int64()), schema)
+    else:
+        found = _joined(texts_only, sets)
     best = found.groupBy("item_id", "doc_id").agg(F.max(F.struct(
         (F.col("n_shared") / F.col("n_item_shingles")).alias("containment"), "n_item_shingles", "n_shared"
     )).alias("best"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import (
-    bpe, cotrain, decontaminate, hilbert, licenses, minhash, preference, projection, tokencount, toxicity,
+    bpe, cotrain, decontaminate, filteraudit, hilbert, licenses, minhash, pii, preference, projection, tokencount, toxicity,
 )
 from tidelog.llm.frames import read
 
@@ -192,3 +192,89 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every document."""
     return tokencount.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def _spans_sql(kind: str, pattern: str, check: str = "true", own: str = "m") -> str:
+    """doc_id, kind, start, stop of the matches of a pattern that pass a check; a span is the end of its match, `own` of it."""
+    return rf"""
+    SELECT doc_id, '{kind}' AS kind, stop - length({own}) AS start, stop
+    FROM (SELECT doc_id, m, list_sum(list_transform(p[:i] || found[:i], lambda x: length(x))) AS stop
+          FROM (SELECT doc_id, p, found, i, found[i] AS m
+                FROM (SELECT doc_id, string_split_regex(t, '{pattern}') AS p, regexp_extract_all(t, '{pattern}') AS found FROM d),
+                     unnest(range(1, len(found) + 1)) AS r(i)))
+    WHERE {check}"""
+
+
+def _digits_sql(text: str = "m") -> str:
+    return rf"regexp_replace({text}, '[^0-9]', '', 'g')"
+
+
+_LUHN_SQL = f"""length({_digits_sql()}) BETWEEN 16 AND 19 AND list_sum(list_transform(string_split(reverse({_digits_sql()}), ''),
+    lambda x, i: CASE WHEN i % 2 = 1 THEN x::INT ELSE (2 * x::INT) // 10 + (2 * x::INT) % 10 END)) % 10 = 0"""
+_ACCOUNT_SQL = r"regexp_extract(m, '([0-9]([ -]?[0-9])+|[A-Z][A-Z][0-9][0-9]( ?[A-Z0-9])+)$')"
+_IBAN_SQL = f"""list_reduce(list_transform(string_split(replace({_ACCOUNT_SQL}, ' ', '')[5:] || replace({_ACCOUNT_SQL}, ' ', '')[:4], ''),
+    lambda c: CASE WHEN c >= 'A' THEN ascii(c) - 55 ELSE c::INT END), lambda a, v: CASE WHEN v > 9 THEN a * 100 + v ELSE a * 10 + v END % 97, 0) = 1
+    AND length(replace({_ACCOUNT_SQL}, ' ', '')) BETWEEN 15 AND 34"""
+_CUES_SQL = "|".join(spelt for cue in pii.CUES for spelt in (cue, cue.capitalize(), cue.upper()))
+
+
+@query(
+    "op12_personal_data",
+    rf"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    s AS ({_spans_sql("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")}
+    UNION ALL {_spans_sql("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "len(list_filter(string_split(m, '.'), lambda x: length(ltrim(x, '0')) > 3 OR try_cast(x AS DOUBLE) > 255)) = 0")}
+    UNION ALL {_spans_sql("card", r"[0-9]([ -]?[0-9])+", _LUHN_SQL)}
+    UNION ALL {_spans_sql("phone", r"\+[0-9][ ().0-9-]+[0-9]", f"length({_digits_sql()}) BETWEEN 8 AND 15")}
+    UNION ALL {_spans_sql("address", r'(https?://|ftp://|ssh://)[A-Za-z0-9._%+-]+(:[^\x00-\x20@/"<>]*)?@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*|mailto:[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+')}
+    UNION ALL {_spans_sql("account", rf"({_CUES_SQL})( no| number| nr)?[ .:#=]{{1,4}}([0-9]([ -]?[0-9])+|[A-Z][A-Z][0-9][0-9]( ?[A-Z0-9])+)",
+                          f"CASE WHEN {_ACCOUNT_SQL} < 'A' THEN length({_digits_sql(_ACCOUNT_SQL)}) BETWEEN 6 AND 18 ELSE {_IBAN_SQL} END", _ACCOUNT_SQL)}),
+    k AS (SELECT *, list_position(['email', 'ip', 'card', 'phone', 'address', 'account'], kind) AS place,
+                 kind || ':' || start || ':' || stop AS span FROM s),
+    l AS (SELECT doc_id, count(*) FILTER (place = 1) AS n_email, count(*) FILTER (place = 2) AS n_ip,
+                 count(*) FILTER (place = 3) AS n_card, count(*) FILTER (place = 4) AS n_phone,
+                 string_agg(span, ',' ORDER BY place, start) FILTER (place <= 4) AS base,
+                 string_agg(span, ',' ORDER BY place, start) AS spans FROM k GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+           coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM documents LEFT JOIN l USING (doc_id)
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, counts by base kind, digest of the base spans and all spans of every document."""
+    return pii.span_digests(pii.find_personal_data(read(spark, sf_dir, "documents")))
+
+
+@query(
+    "op13_filter_audit",
+    r"""
+    WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                      regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    f AS (SELECT doc_id, part, (len(w) < 100)::INT + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT
+              + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t))::INT
+              + 8 * regexp_matches(t, '[#$%&*|]')::INT
+              + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS mask FROM d),
+    l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+    c AS (SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+          FROM f LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+    x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+    orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+               WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+    steps AS (SELECT filter_order, step, 1 << (ascii(filter_order[step]) - 65) AS own,
+                     list_sum([1 << (ascii(filter_order[i]) - 65) FOR i IN range(1, step + 1)])::INT AS done
+              FROM orders, unnest(range(1, 6)) AS r(step)),
+    parts AS (SELECT DISTINCT part FROM c)
+    SELECT part, filter_order, step::INT AS step,
+        sum(CASE WHEN mask & done = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+        sum(CASE WHEN mask & done = own THEN n ELSE 0 END)::BIGINT AS removed,
+        sum(CASE WHEN mask & own > 0 AND mask & done <> own THEN n ELSE 0 END)::BIGINT AS redundant,
+        sum(CASE WHEN mask = own THEN n ELSE 0 END)::BIGINT AS unique_fails,
+        sum(CASE WHEN mask & done = own THEN good ELSE 0 END)::BIGINT AS good_lost,
+        sum(CASE WHEN mask & done = own THEN toxic ELSE 0 END)::BIGINT AS toxic_lost,
+        sum(CASE WHEN mask & own > 0 THEN n * 120 // bit_count(mask) ELSE 0 END)::BIGINT AS shapley
+    FROM steps, c GROUP BY ALL
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures of every step of every order of five filters, by language."""
+    return filteraudit.filter_audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm import (
     bpe, cotrain, decontaminate, filteraudit, hilbert, licenses, minhash, pii, preference, projection, tokencount, toxicity,
+    turnrepair,
 )
 from tidelog.llm.frames import read
 
@@ -194,6 +195,68 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def _step_sql(state: str, cost: str, letter: str) -> str:
+    """A path's cost in eight digits and its audit, one edit longer."""
+    return f"lpad((left({state}, 8)::INT + {cost})::VARCHAR, 8, '0') || substr({state}, 9) || '{letter}'"
+
+
+def _repair_sql() -> str:
+    """Forward: for every state the cheapest, then least path so far, turn by turn; the repaired turns follow from the audit."""
+    insert = {s: _step_sql(s, "3", "I") for s in ("v0", "v1", "v2", "v3")}
+    twice = {s: _step_sql(s, "6", "II") for s in ("v0", "v1")}
+    w2 = f"least(v2, {insert['v0']}, {insert['v1']}, {insert['v3']})"
+    w3 = f"least(v3, {insert['v2']}, {twice['v0']}, {twice['v1']})"
+
+    def edited(states: tuple[str, ...], initial: str) -> str:
+        kept = ", ".join(f"CASE WHEN initial = '{initial}' AND NOT forced THEN {_step_sql(s, '3 * cut', 'K')} END" for s in states)
+        changed = ", ".join(f"CASE WHEN NOT forced THEN {_step_sql(s, '3 + 3 * cut', 'R')} END" for s in states)
+        return f"{kept}, {changed}"
+
+    return rf"""
+    WITH RECURSIVE tab AS (SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS tab
+                 FROM range(256) AS r(i)),
+    k AS (SELECT coalesce(conv_id::VARCHAR, ' ') AS cid, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                 list_reduce([ascii(x) FOR x IN string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '')],
+                     lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1]), 4294967295) AS crc FROM conversations, tab),
+    damaged AS (SELECT cid, turn, CASE WHEN b = 4 THEN 'user' ELSE role END AS role,
+                       CASE WHEN b = 1 THEN '' WHEN b = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                       unnest(CASE WHEN b = 3 THEN [1, 2] ELSE [1] END) AS copy
+                FROM (SELECT *, xor(crc, 4294967295) % 20 AS b FROM k) WHERE b <> 0),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY cid ORDER BY turn NULLS FIRST, role, text) AS n FROM damaged),
+    t AS (SELECT *, left(role, 1) AS initial, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+                 n > min(n) OVER (PARTITION BY cid, role, text) AS again,
+                 NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS open FROM placed),
+    f AS (SELECT *, blank OR again AS forced, (open AND NOT blank AND NOT again)::INT AS cut,
+                 lag(initial) OVER (PARTITION BY cid ORDER BY n) || initial AS pair FROM t),
+    paths AS (SELECT DISTINCT cid, 0::BIGINT AS n, '00000000' AS v0, NULL::VARCHAR AS v1, NULL::VARCHAR AS v2, NULL::VARCHAR AS v3 FROM f
+        UNION ALL
+        SELECT cid, n, {_step_sql("v0", "4", "D")}, least({_step_sql("v1", "4", "D")}, CASE WHEN initial = 's' AND NOT forced THEN {_step_sql("v0", "3 * cut", "K")} END),
+               least({_step_sql("w2", "4", "D")}, {edited(("v0", "v1", "w3"), "u")}), least({_step_sql("w3", "4", "D")}, {edited(("w2",), "a")})
+        FROM (SELECT p.cid, f.n, f.initial, f.forced, f.cut, v0, v1, {w2} AS w2, {w3} AS w3 FROM paths p JOIN f ON f.cid = p.cid AND f.n = p.n + 1)),
+    best AS (SELECT cid, left(path, 8)::BIGINT AS cost, substr(path, 9) AS audit
+             FROM (SELECT cid, least(v0, {w3}) AS path FROM paths JOIN (SELECT cid, max(n) AS n FROM f GROUP BY cid) USING (cid, n))),
+    letters AS (SELECT cid, i, audit[i] AS letter, length(replace(audit[:i], 'I', '')) AS n, length(replace(audit[:i], 'D', '')) AS e
+                FROM best, unnest(range(1, length(audit) + 1)) AS r(i)),
+    kept AS (SELECT l.cid, i, e, letter, role, CASE WHEN letter = 'I' THEN '' ELSE text END AS text,
+                    max((e = 1 AND letter = 'K' AND initial = 's')::INT) OVER (PARTITION BY l.cid) AS s
+             FROM letters l LEFT JOIN f ON f.cid = l.cid AND f.n = l.n WHERE letter <> 'D'),
+    repaired AS (SELECT cid, string_agg(CASE WHEN letter = 'K' THEN role WHEN (e - s) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY i) AS text
+                 FROM kept GROUP BY cid),
+    counts AS (SELECT cid, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+                      count(*) FILTER (again AND NOT blank) AS duplicate, sum(cut)::BIGINT AS truncated,
+                      count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY cid)
+    SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+           coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(repaired.text, '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id, coalesce(conv_id::VARCHAR, ' ') AS cid FROM conversations)
+    LEFT JOIN counts USING (cid) LEFT JOIN best USING (cid) LEFT JOIN repaired USING (cid)"""
+
+
+@query("op11_conversation_repair", _repair_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and digest of the repaired turns of every damaged conversation."""
+    return turnrepair.damage_report(read(spark, sf_dir, "conversations"))
+
+
 def _spans_sql(kind: str, pattern: str, check: str = "true", own: str = "m") -> str:
     """doc_id, kind, start, stop of the matches of a pattern that pass a check; a span is the end of its match, `own` of it."""
     return rf"""

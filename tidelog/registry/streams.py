@@ -21,14 +21,18 @@ from tidelog.operators.streaks import fill_last_good
 from tidelog.plans import recording
 from tidelog.plans.dashboard import in_range, with_field
 from tidelog.registry.base import query
+from tidelog.registry.scalars import BUCKET_SQL
 from tidelog.registry.tables import (
     E_SQL, ENVELOPE, K, _fields, entries, filled_entries, raw_events, table,
 )
 from tidelog.schema import PROGRESS_SCHEMA
-from tidelog.session import shared_folder
+from tidelog.session import cut_lineage, shared_folder
 from tidelog.sinks.entries import read_entries, stream_entries, write_entries
 from tidelog.sources.backfill import backfill
 from tidelog.sources.csv_files import read_event_log_csv
+from tidelog.sources.file_runs import FilePlan, TypeFields, current_entries
+from tidelog.sources.orgs import Org
+from tidelog.sources.polling import poll_files
 from tidelog.sources.streams import quarantine_poison, stream_events
 from tidelog.streaming.lanes import Lane, start_lanes
 from tidelog.streaming.state import stream_failure_streaks, stream_last_good
@@ -370,18 +374,27 @@ def partitioned_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _backfill_files(spark: SparkSession, sf_dir: str, folder: str) -> tuple[DataFrame, Column]:
-    """CSV files of one type and day each, with their catalogue, and how a path tells the file's id."""
+def _backfill_files(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """CSV files of one type and day each, and their catalogue."""
     rows = raw_events(spark, sf_dir).withColumn("Id", F.concat_ws("-", "event_type", F.to_date("ts")))
-    rows.select(
-        "Id", F.date_format("ts", "yyyyMMddHHmmss.SSS").alias("TIMESTAMP_DERIVED"), F.col("event_id").cast("string").alias("EVENT_ID")
-    ).repartition("Id").sortWithinPartitions("Id", F.col("EVENT_ID").cast("bigint")).write.partitionBy("Id").csv(folder, header=True)
-    listed = rows.groupBy("Id", F.col("event_type").alias("EventType")).agg(F.to_date(F.min("ts")).alias("day"))
-    catalogue = listed.select(
-        "Id", "EventType", F.lit("Daily").alias("Interval"), F.date_format("day", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("CreatedDate"),
-        F.lit("1").alias("LogFileLength"), F.lit("1").alias("Sequence"), F.concat(F.lit(f"{folder}/Id="), "Id").alias("Path"),
+    written = rows.select(
+        "Id", F.date_format("ts", "yyyyMMddHHmmss.SSS").alias("TIMESTAMP_DERIVED"), F.col("event_id").cast("string").alias("EVENT_ID"),
+        F.concat(F.lit("user"), "user_id", F.lit("@mail.example")).alias("EMAIL"), F.concat(F.lit("005"), "user_id").alias("USER_ID"),
+    )
+    written.repartition("Id").sortWithinPartitions("Id", F.col("EVENT_ID").cast("bigint")).write.partitionBy("Id").csv(folder, header=True)
+    return _catalogue(spark, folder, 0)
+
+
+def _catalogue(spark: SparkSession, folder: str, days_later: int) -> DataFrame:
+    """A row for every file below a folder, created at the start of its day or some days later."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").load(folder)
+    name = F.regexp_extract("path", "/Id=([^/]*)/", 1)
+    day = F.date_add(F.to_date(F.substring_index(name, "-", -3)), days_later)
+    return files.select(
+        name.alias("Id"), F.substring_index(name, "-", 1).alias("EventType"), F.lit("Daily").alias("Interval"),
+        F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("CreatedDate"), F.col("length").cast("string").alias("LogFileLength"),
+        F.lit("1").alias("Sequence"), F.col("path").alias("Path"),
     )
-    return catalogue, F.regexp_extract("path", "/Id=([^/]*)/", 1)
 
 
 @query(
@@ -393,12 +406,12 @@ def _backfill_files(spark: SparkSession, sf_dir: str, folder: str) -> tuple[Data
 def backfill_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two types of a window, from the files to stored entries."""
     folder = scratch(spark, "backfill")
-    files, id_of = _backfill_files(spark, sf_dir, f"{folder}/files")
+    files = _backfill_files(spark, sf_dir, f"{folder}/files")
     backfill(
         spark, files, f"{folder}/out", since="2024-01-05", until="2024-01-20", now="2024-02-01",
-        interval="Daily", types=["click", "view"], id_of=id_of,
+        interval="Daily", types=["click", "view"],
     )
-    stored = spark.read.parquet(f"{folder}/out/entries")
+    stored = current_entries(spark, f"{folder}/out")
     return stored.groupBy("event_type", F.to_date("ts").alias("day"), F.col("labels").getItem("backfill").alias("backfill")).agg(
         F.count("*").alias("n"), F.min("ts").alias("first_ts")
     )
@@ -412,17 +425,118 @@ def backfill_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 def backfill_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second run over a longer window reads what the first left; ingest times count from each start."""
     folder = scratch(spark, "resume")
-    files, id_of = _backfill_files(spark, sf_dir, f"{folder}/files")
+    files = _backfill_files(spark, sf_dir, f"{folder}/files")
     for until in ("2024-01-10", "2024-01-20"):
         backfill(
             spark, files, f"{folder}/out", since="2024-01-01", until=until, now="2024-02-01",
-            interval="Daily", mode="ingest", id_of=id_of,
+            interval="Daily", mode="ingest",
         )
-    stored = spark.read.parquet(f"{folder}/out/entries")
+    stored = current_entries(spark, f"{folder}/out")
     event_id = F.get_json_object("line", "$.EVENT_ID").cast("bigint")
     return stored.select(event_id.alias("event_id"), F.col("ts").alias("ingest_ts"))
 
 
+_USER = "'005' || user_id"
+_STAMP = "strftime(ts, '%Y%m%d%H%M%S') || '.' || strftime(ts, '%g')"
+_REDACTED = f"""('{{{{"EMAIL":"***@mail.example","EVENT_ID":"' || event_id || '","TIMESTAMP_DERIVED":"' || {_STAMP} || '","USER_ID":"'
+      || substr(sha256('pepper' || {_USER}), 1, 16) || '"}}}}')""".replace("{{", "{").replace("}}", "}")
+
+
+@query(
+    "backfill_redacted",
+    f"""WITH r AS (SELECT *, {_REDACTED} AS line FROM events WHERE ts < TIMESTAMP '2024-01-12' AND event_id % 10 <> 7)
+      SELECT event_id, event_type, line, CASE WHEN event_type <> 'view' THEN substr(sha256('pepper' || {_USER}), 1, 16) END AS user_id,
+        CASE WHEN event_type = 'view' THEN '***@mail.example' END AS email, 'true' AS backfill FROM r
+      WHERE event_type <> 'click' OR {BUCKET_SQL.format("line")} < 5000""",
+)
+def backfill_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run with rules, a rate for one type and field lists for another; nothing clear is stored."""
+    folder = scratch(spark, "redacted")
+    plan = FilePlan(
+        rules=[Rule("hash", ["USER_ID"]), Rule("mask", ["EMAIL"]), Rule("drop_row", match={"EVENT_ID": "*7"})],
+        salt="pepper", rates={"click": 0.5}, metadata_fields=["USER_ID"], types={"view": TypeFields([], ["EMAIL"])},
+    )
+    files = _backfill_files(spark, sf_dir, f"{folder}/files")
+    backfill(spark, files, f"{folder}/out", since="2024-01-01", until="2024-01-12", now="2024-02-01", interval="Daily", plan=plan)
+    return current_entries(spark, f"{folder}/out").select(
+        F.get_json_object("line", "$.EVENT_ID").cast("bigint").alias("event_id"), "event_type", "line",
+        F.col("metadata").getItem("USER_ID").alias("user_id"), F.col("labels").getItem("EMAIL").alias("email"),
+        F.col("labels").getItem("backfill").alias("backfill"),
+    )
+
+
+@query(
+    "backfill_regenerated",
+    """SELECT event_id, CASE WHEN event_type = 'click' THEN 'again' ELSE 'first' END AS version FROM events
+      WHERE ts < TIMESTAMP '2024-01-08' AND (event_type <> 'click' OR event_id % 2 = 0)""",
+)
+def backfill_regenerated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one type made anew two days later, with other rows: the second run takes them in place of the old ones."""
+    folder = scratch(spark, "regenerated")
+    first = _backfill_files(spark, sf_dir, f"{folder}/first")
+    rows = spark.read.option("header", True).csv(f"{folder}/first").filter("Id LIKE 'click%' AND CAST(EVENT_ID AS BIGINT) % 2 = 0")
+    again = rows.withColumn("VERSION", F.lit("again"))
+    again.repartition("Id").write.partitionBy("Id").csv(f"{folder}/again", header=True)
+    window = {"since": "2024-01-01", "until": "2024-01-08", "now": "2024-02-01", "interval": "Daily"}
+    backfill(spark, first, f"{folder}/out", **window)
+    listed = first.unionByName(_catalogue(spark, f"{folder}/again", 2))
+    window["until"] = "2024-01-10"
+    backfill(spark, listed.filter("EventType = 'click' AND Path LIKE '%/again/%' OR CreatedDate < '2024-01-08'"), f"{folder}/out", **window)
+    return current_entries(spark, f"{folder}/out").filter("ts < '2024-01-08'").select(
+        F.get_json_object("line", "$.EVENT_ID").cast("bigint").alias("event_id"),
+        F.coalesce(F.get_json_object("line", "$.VERSION"), F.lit("first")).alias("version"),
+    )
+
+
+@query(
+    "backfill_by_org",
+    """SELECT 'backfill:org=' || org || ':' AS prefix, org, count(DISTINCT event_type || CAST(ts AS DATE)) AS files, count(*) AS n
+      FROM events, (VALUES ('east', TIMESTAMP '2024-01-06'), ('west', TIMESTAMP '2024-01-04')) AS o(org, until)
+      WHERE ts < until AND (org = 'west' OR ts >= TIMESTAMP '2024-01-03') GROUP BY 1, 2""",
+)
+def backfill_by_org(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two orgs over one store; the first goes on from the positions of a run without orgs, the second does not."""
+    folder = scratch(spark, "orgs")
+    files = _backfill_files(spark, sf_dir, f"{folder}/files")
+    window = {"since": "2024-01-01", "now": "2024-02-01", "interval": "Daily"}
+    backfill(spark, files, f"{folder}/out", until="2024-01-03", **window)
+    for name, until, first in (("east", "2024-01-06", True), ("west", "2024-01-04", False)):
+        plan = FilePlan(org=Org(name, "prod"))
+        backfill(spark, files, f"{folder}/out", until=until, plan=plan, take_unprefixed=first, **window)
+    stored = current_entries(spark, f"{folder}/out").filter("org IS NOT NULL")
+    return stored.groupBy(F.regexp_extract("position_key", "^(.*:)[^:]*$", 1).alias("prefix"), "org").agg(
+        F.count_distinct("position_key").alias("files"), F.count("*").alias("n")
+    )
+
+
+@query(
+    "poll_cycle",
+    """WITH f AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM events WHERE event_type IN ('click', 'view')
+        AND ts < TIMESTAMP '2024-01-05' GROUP BY 1, 2)
+      SELECT 1 AS cycle, event_type, count(*) AS files, CAST(sum(n) AS BIGINT) AS n FROM f
+        WHERE event_type = 'view' AND day <> DATE '2024-01-02' OR event_type = 'click' AND day < DATE '2024-01-03' GROUP BY 2
+      UNION ALL SELECT 2, event_type, count(*), CAST(sum(n) AS BIGINT) FROM f
+        WHERE event_type = 'view' AND day <> DATE '2024-01-02' OR event_type = 'click' GROUP BY 2""",
+)
+def poll_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two cycles: a young missing file of one type holds what follows it until it arrives, an old cut-off one of the other is given up."""
+    folder = scratch(spark, "poll")
+    files = _backfill_files(spark, sf_dir, f"{folder}/files").filter("EventType IN ('click', 'view') AND CreatedDate < '2024-01-05'")
+    cut = (F.col("EventType") == "view") & F.startswith("CreatedDate", F.lit("2024-01-02"))
+    files = files.withColumn("LogFileLength", F.when(cut, F.col("LogFileLength").cast("long") * 2).otherwise(F.col("LogFileLength").cast("long")).cast("string"))
+    absent = F.when((F.col("EventType") == "click") & F.startswith("CreatedDate", F.lit("2024-01-03")), F.concat("Path", F.lit(".later"))).otherwise(F.col("Path"))
+    cycles = []
+    for number, listed in ((1, files.withColumn("Path", absent)), (2, files)):
+        poll_files(
+            spark, listed, f"{folder}/out", FilePlan(), now="2024-01-05 00:00:00", interval="Daily", lookback="10 DAYS", max_age_hours=60,
+        )
+        stored = cut_lineage(current_entries(spark, f"{folder}/out").groupBy("event_type").agg(
+            F.count_distinct("position_key").alias("files"), F.count("*").alias("n")
+        ))
+        cycles.append(stored.select(F.lit(number).alias("cycle"), "event_type", "files", "n"))
+    return cycles[0].unionByName(cycles[1])
+
+
 @query(
     "read_event_log_csv",
     "SELECT doc_id, lang, text AS query, CASE WHEN lang <> 'en' THEN CAST(n_chars AS VARCHAR) END AS n_chars FROM documents",

@@ -66,12 +66,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = 16 << 20) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_bytes: int = 16 << 20, written: bool = False) -> DataFrame:
     """Hint a broadcast only after the bytes of all rows were summed; a larger table is joined by shuffle.
 
     Meant for tables of keys and cut positions that meet a whole table of rows on a skewed key. The
-    rows are written first, so that they are computed a single time.
+    rows are written first, so that they are computed a single time, unless they were `written` already.
     """
-    kept = cut_lineage(df)
+    kept = df if written else cut_lineage(df)
     size = kept.agg(F.sum(F.octet_length(F.to_json(F.struct(*kept.columns))))).first()[0] or 0
     return F.broadcast(kept) if size <= max_bytes else kept

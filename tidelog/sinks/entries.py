@@ -12,15 +12,16 @@ from tidelog.functions.labels import disallowed_labels
 from tidelog.functions.text import line_bytes
 from tidelog.operators.columns import with_once
 from tidelog.operators.progress import commit_progress
+from tidelog.schema import ALLOWED_LABELS
 
 
-def reject_reason(max_line_bytes: int = 262_144) -> Column:
+def reject_reason(max_line_bytes: int = 262_144, allowed: Sequence[str] = ALLOWED_LABELS) -> Column:
     """Why an entry cannot be delivered, or null."""
     return (
         F.when(F.col("ts").isNull(), F.lit("no_time"))
         .when(F.col("line").isNull(), F.lit("no_line"))
         .when(line_bytes(F.col("line")) > max_line_bytes, F.lit("oversized"))
-        .when(F.size(disallowed_labels(F.col("labels"))) > 0, F.lit("bad_label"))
+        .when(F.size(disallowed_labels(F.col("labels"), allowed)) > 0, F.lit("bad_label"))
     )
 
 
@@ -75,12 +76,14 @@ def deliver_batch(
     """
     # Written in two parts, so the shaped batch is kept instead of computed twice.
     kept = df.persist()
-    good, bad = split_rejects(kept, reject_reason() if reason is None else reason)
-    if counted:
-        good = good.observe(counted[0], *counted[1])
-    write_entries(good, f"{path}/entries", batch_id)
-    bad.write.mode("overwrite").parquet(f"{path}/rejects/batch_id={batch_id}")
-    kept.unpersist()
+    try:
+        good, bad = split_rejects(kept, reject_reason() if reason is None else reason)
+        if counted:
+            good = good.observe(counted[0], *counted[1])
+        write_entries(good, f"{path}/entries", batch_id)
+        bad.write.mode("overwrite").parquet(f"{path}/rejects/batch_id={batch_id}")
+    finally:
+        kept.unpersist()
     if tokens is not None:
         commit_progress(tokens, f"{path}/progress", batch_id)
 

@@ -1,57 +1,22 @@
-"""One run over the files of a past window: select, read, shape, mark, write, commit, type by type."""
+"""One run over the files of a past window: select, read, redact, shape, mark, write, commit."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.functions.times import iso_micros
-from tidelog.operators.progress import empty_ledger, show_progress
-from tidelog.operators.shape import backfill_marks, shape_entries
-from tidelog.operators.streaks import ingest_clock
-from tidelog.schema import PROGRESS_SCHEMA
 from tidelog.session import cut_lineage
-from tidelog.sinks.entries import deliver_batch
-from tidelog.sources.catalogue import backfill_files
-from tidelog.sources.csv_files import read_event_log_csv
+from tidelog.sources.catalogue import backfill_files, unprocessed_files
+from tidelog.sources.file_runs import (
+    BATCH_FILES, FilePlan, deliver_files, done_files, file_batches, findings, next_batch, read_batch, read_ledger,
+)
 
 MODES = ("label", "ingest")
-KEY = "backfill:"
-
-
-def file_name(path: Column) -> Column:
-    """`<Id>` of `.../<Id>.csv`."""
-    return F.regexp_extract(path, r"([^/]*?)(?:[.][^./]*)?\z", 1)
-
-
-def read_files(
-    spark: SparkSession, files: DataFrame, id_of: Column | None = None
-) -> DataFrame:
-    """`(event_type, file_id, created, row, payload)` of the files of a catalogue with a `Path`.
-
-    `id_of` tells a file's id from its `path`; by default it is the file's name. The list of paths
-    comes to the driver, as any file listing does.
-    """
-    paths = [r.Path for r in files.select("Path").toLocalIterator()]
-    if not paths:
-        return spark.createDataFrame(
-            [], "event_type string, file_id string, created timestamp, row bigint, payload map<string,string>"
-        )
-    rows = read_event_log_csv(spark, paths)
-    found = rows.withColumn("file_id", file_name(F.col("path")) if id_of is None else id_of)
-    known = files.select(F.col("Id").alias("file_id"), F.col("EventType").alias("event_type"), "created")
-    return found.join(known, "file_id").select("event_type", "file_id", "created", "row", "payload")
-
-
-def _ledger(spark: SparkSession, out: str) -> DataFrame:
-    try:
-        return spark.read.schema(f"{PROGRESS_SCHEMA}, batch_id bigint").parquet(f"{out}/progress")
-    except AnalysisException:
-        return empty_ledger(spark).withColumn("batch_id", F.lit(None).cast("bigint"))
+KIND = "backfill"
 
 
 def backfill(
@@ -66,39 +31,36 @@ def backfill(
     types: Sequence[str] | None = None,
     mode: str = "label",
     static: Mapping[str, str] | None = None,
-    id_of: Column | None = None,
+    plan: FilePlan | None = None,
+    take_unprefixed: bool = False,
+    batch_files: int = BATCH_FILES,
 ) -> list[str]:
-    """Store the entries of all files of `[since, until)` that no run has stored; returns the types.
-
-    Every type is a batch of its own under `out`: its entries, its rejects, then one position per
-    file. A run that ends in between is repeated from the type it was at: the number of the unfinished
-    batch is taken again, so what it wrote is overwritten. `mode` "label" keeps the true times and
-    labels the entries; "ingest" counts them up from `now`, in the order of the files and their rows,
-    and keeps the true time in the metadata.
+    """Store the entries of all files of `[since, until)` that no run has stored; returns the types read.
+
+    `plan` has the rules, rates, fields and org of the run. The newest version of a file counts; one that was
+    regenerated after a run read it is read again and takes the place of the older entries (see
+    `current_entries`). Files go to batches in the order of their creation. A run that ends in between is
+    repeated from the batch it was at. Files that cannot be read are noted in `findings` and left for the
+    next run. `mode` "label" keeps the true times and labels the entries; "ingest" counts them up from
+    `now` for each type, in the order of the files and their rows, and keeps the true time in the metadata.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    ledger = _ledger(spark, out)
-    done = show_progress(ledger, f"{KEY}*").select(F.substring("key", len(KEY) + 1, 2**31 - 1).alias("Id"))
-    found = cut_lineage(backfill_files(files, since, until, types, interval, done))
-    first = (ledger.agg(F.max("batch_id")).first()[0] or 0) + 1
-    # A deployment has some dozens of types.
-    names = [r.EventType for r in found.filter("EventType IS NOT NULL").select("EventType").distinct().orderBy("EventType").collect()]
-    for number, name in enumerate(names, first):
-        own = found.filter(F.col("EventType") == name)
-        rows = read_files(spark, own, id_of)
-        shaped = shape_entries(rows, now=now, source="eventlogfile", static=static)
-        if mode == "ingest":
-            marked = backfill_marks(ingest_clock(shaped, ["created", "file_id", "row"], now), "ingest_ts")
-        else:
-            marked = backfill_marks(shaped)
-        value = F.coalesce(iso_micros(F.col("created")), F.lit(""))
-        tokens = own.select(F.concat(F.lit(KEY), "Id").alias("key"), value.alias("value"), F.lit(number).cast("bigint").alias("seq"))
-        allowed = marked.select("ts", "event_type", "labels", "metadata", "line")
-        deliver_batch(allowed, number, out, reason=_reason(), tokens=tokens)
-    return names
-
-
-def _reason() -> Column:
-    """Backfilled entries carry one label beside the allowed ones."""
-    return F.when(F.col("ts").isNull(), F.lit("no_time")).when(F.col("line").isNull(), F.lit("no_line"))
+    plan = plan or FilePlan()
+    plan = replace(plan, static={**plan.static, **(static or {})})
+    ledger = read_ledger(spark, out)
+    number = next_batch(ledger)
+    wanted = backfill_files(files.filter("EventType IS NOT NULL"), since, until, types, interval)
+    # Cut here: the batches of this run change the ledger.
+    found = cut_lineage(unprocessed_files(wanted, done_files(ledger, plan, KIND, take_unprefixed)))
+    seen: set[str] = set()
+    clock: dict[str, int] = {}
+    for listed in file_batches(found, batch_files):
+        batch = read_batch(spark, listed)
+        broken = findings(batch).filter("failed").withColumn("state", F.lit("failed")).drop("failed")
+        broken.write.mode("overwrite").parquet(f"{out}/findings/batch_id={number}")
+        read = [f for f in listed if batch.error(f) is None]
+        deliver_files(batch, read, [], out, number, plan, KIND, now=now, mode=mode, started=clock)
+        seen |= {f.EventType for f in read}
+        number += 1
+    return sorted(seen)

@@ -6,7 +6,6 @@ import duckdb
 import pytest
 
 import corpus_pipeline
-from tidelog.llm import projection
 from tidelog.llm.queries import QUERIES, SQL
 
 SF_DIR = os.environ.get("TIDELOG_SF_DIR", "/root/testdata/sf0.001")
@@ -57,8 +56,3 @@ def test_stages_take_odd_and_empty_documents(spark, odd, empty):
     ids = [r.doc_id for r in kept if r.doc_id is not None]
     assert len(ids) == len(set(ids)) and {1, 2, 3, 7} <= set(ids) and 8 not in ids
     assert sum(r.doc_id is None for r in kept) == 2
-
-
-def test_passes_follow_the_number_of_vectors():
-    passes = [projection.passes_for(n) for n in (0, 1_000, 100_000, 10**9)]
-    assert passes == sorted(passes) and passes[0] >= 2 and passes[-1] < 100

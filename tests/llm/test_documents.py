@@ -1,10 +1,12 @@
 """Near duplicates, decontamination and shards against brute force, odd rows included."""
 
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import ODD, sentence
 from tests.llm.test_texts import plain_shingles
@@ -79,17 +81,25 @@ def test_no_documents(empty):
     assert hilbert.shards(empty).count() == 0
 
 
+def windows(text, width=None):
+    """The distinct windows of a text, of its own width or a given one."""
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
+    width = min(5, len(words)) if width is None else width
+    return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)} if width else set()
+
+
 def test_contaminated_documents(spark, build):
     rng = random.Random(8)
-    items = [(1, sentence(0, 30)), (2, sentence(40_000, 12)), (2, sentence(41_000, 12)), (3, "one two three"), (4, None), (5, ""), (None, sentence(0, 30)), (6, sentence(90_000, 80))]
-    rows = ODD + [(50 + n, edited(sentence(90_000, 80), 0.01 * n, rng) + " " + sentence(0, 30)) for n in range(15)]
+    items = [(1, sentence(0, 30)), (2, sentence(40_000, 12)), (2, sentence(41_000, 12)), (3, "one two three"), (4, None), (5, ""), (None, sentence(0, 30)), (6, sentence(90_000, 80)), (7, "aa bb cc dd"), (8, "Z7")]
+    rows = [(90, sentence(0, 300) + " aa BB\ncc dd " + sentence(400, 9)), (91, "aa bb cc"), *ODD]
+    rows = rows + [(50 + n, edited(sentence(90_000, 80), 0.01 * n, rng) + " " + sentence(0, 30)) for n in range(15)]
     rows += [(80, sentence(40_000, 12)), (81, sentence(41_000, 10)), (82, " ".join(f"z{i}" for i in range(5000)) + " " + sentence(90_000, 80))]
     table = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, doc_id string")
     want = {}
     for item, text in items:
-        own = plain_shingles(text)
+        own = windows(text)
         for doc, body in rows:
-            shared = len(own & plain_shingles(body))
+            shared = len(own & windows(body, min(5, len((text or "").split()))))
             if own and shared * 100 >= len(own) * 75:
                 want[item, doc] = max(want.get((item, doc), 0), shared / len(own))
     got = {(r.item_id, r.doc_id): r.containment for r in decontaminate.contaminated(build(rows), table).collect()}
@@ -110,7 +120,7 @@ def test_items_in_several_blocks(spark, build, monkeypatch):
 
 def test_items_beyond_a_block_are_joined_and_never_sent(spark, build, monkeypatch):
     table = spark.createDataFrame([(n % 25 or None, sentence(n * 7, 5 + n)) for n in range(30)] + [(90, "two words"), (91, None)], "item_id long, text string")
-    rows = [(n, sentence(n * 5, 60)) for n in range(40)] + [(3, sentence(70, 80)), (None, sentence(0, 90)), (50, "two words"), *ODD]
+    rows = [(n, sentence(n * 5, 60)) for n in range(40)] + [(3, sentence(70, 80)), (None, sentence(0, 90)), (50, "two words"), (51, sentence(9000) + " Two words"), *ODD]
     docs = build([*rows, rows[0]])
     sent = sorted(map(str, decontaminate.contaminated(docs, table).collect()))
     monkeypatch.setattr(decontaminate, "BLOCK_SHINGLES", 40)
@@ -146,10 +156,18 @@ def test_shards_are_even_and_gapless(build, monkeypatch, share):
 
 
 def test_written_shards(spark, build, tmp_path):
-    docs = build([(n, sentence(n, 5 + n % 30)) for n in range(300)])
-    ranges = hilbert.write_shards(docs, str(tmp_path / "out"), 10).collect()
+    """Repeated and null ids, and a column of the name the shards once had: each row lies in a shard whose ranges it is in."""
+    docs = build([(n % 50 if n % 9 else None, sentence(n, 5 + n % 30)) for n in range(400)])
+    ranges = {r.shard: r for r in hilbert.write_shards(docs, str(tmp_path / "out"), 10).collect()}
     back = spark.read.parquet(str(tmp_path / "out"))
-    assert back.drop("shard").distinct().count() == 300
-    assert {r.shard: r["count"] for r in back.groupBy("shard").count().collect()} == {r.shard: r.rows for r in ranges}
+    assert sorted(map(str, back.select(*docs.columns).collect())) == sorted(map(str, docs.collect()))
+    cells = hilbert.quantised(back.withColumn("at", F.monotonically_increasing_id()), "at")
+    shard = back.select("hilbert_shard", F.monotonically_increasing_id().alias("row"))
+    for r in cells.join(shard, "row").collect():
+        own = ranges[r.hilbert_shard]
+        for dim in ("by_source", "by_lang", "by_size"):
+            assert own[f"{dim}_low"] <= r[dim] <= own[f"{dim}_high"]
+    assert {r.hilbert_shard: r["count"] for r in shard.groupBy("hilbert_shard").count().collect()} == {n: r.rows for n, r in ranges.items()}
+    assert {r.rows for r in ranges.values()} == {40}
     # A reader that wants one source needs few files.
-    assert any(r.by_source_low == r.by_source_high for r in ranges)
+    assert any(r.by_source_low == r.by_source_high for r in ranges.values())

@@ -12,12 +12,15 @@ a long document; containment is searched from the item's side instead:
   hash some such sketch may hold.
 * A document that has a sketch shingle is a candidate for that item and decided on both full shingle sets.
 
+An item of one to four words is one shingle of so many words, and documents are searched for shingles of that width
+as well, if there is such an item: it is found wherever its words stand in a document.
+
 Items of at most `BLOCK_SHINGLES` shingles together (16 MB) are sent to the tasks and the documents are passed
-once, without a shuffle of them; only found pairs are shuffled. More items are never gathered: their sketch
-shingles meet those of the documents by shuffle, and candidates are decided by the same shuffle of full sets.
+once, without a shuffle of them; only found pairs are shuffled. More items are never gathered: a table of bits tells
+the documents which of their shingles no item has (`MOST_BITS` at most, 32 MB), the others meet the items' sketch
+shingles by shuffle, and candidates are decided by the same shuffle of full sets.
 
-Defined results: items without words are found nowhere; an item of one to four words is a single shingle,
-which only a document of exactly these words has. Null and empty documents hold nothing. Rows that repeat an
+Defined results: items without words are found nowhere. Null and empty documents hold nothing. Rows that repeat an
 id count together: a pair is returned once, with its largest containment. Null ids are ids like others.
 Further columns are not looked at.
 """
@@ -38,6 +41,9 @@ from tidelog.llm.frames import modest_batches, written
 SHARE, WHOLE = 75, 100
 BLOCK_SHINGLES = 2_000_000
 _BITS = 20
+# Of the table of bits that items beyond a block are filtered by; each has so many bits a shingle up to that.
+MOST_BITS = 1 << 28
+BITS_A_SHINGLE = 16
 
 
 def needed(n: int) -> int:
@@ -105,33 +111,40 @@ class Items:
 def _item_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = texts.shingle_sets(batch.column(1))
+        width = np.minimum(np.diff(texts.words(batch.column(1))[1]), texts.WIDTH)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
+                pa.array(width, pa.int64()),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
             ],
-            names=["item_id", "n", "shingles"],
+            names=["item_id", "width", "n", "shingles"],
         )
 
 
 @functools.lru_cache(maxsize=1)
-def _block(shipped: bytes, sizes: tuple[int, ...]) -> Items:
-    values = np.frombuffer(shipped, np.uint64)
-    return Items(np.split(values, np.cumsum(sizes)[:-1]))
+def _block(shipped: bytes, sizes: tuple[int, ...], widths: tuple[int, ...]) -> list[tuple[int, list[int], Items]]:
+    """By width: the width, the items' places and the items."""
+    sets = np.split(np.frombuffer(shipped, np.uint64), np.cumsum(sizes)[:-1])
+    places = {width: [i for i, w in enumerate(widths) if w == width] for width in sorted(set(widths))}
+    return [(width, own, Items([sets[i] for i in own])) for width, own in places.items()]
 
 
 def _searcher(block, ids: list, id_type: pa.DataType):  # noqa: ANN001, ANN202
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = _block(*block.value)
+        by_width = _block(*block.value)
         for batch in batches:
             for part in texts.pieces(batch, "text"):
-                found = list(items.search(*texts.shingles(part.column(1))))
-                if found:
+                words = texts.words(part.column(1))
+                for width, places, items in by_width:
+                    found = list(items.search(*texts.windows(*words, width, whole=False)))
+                    if not found:
+                        continue
                     rows, which, shared = (list(x) for x in zip(*found, strict=True))
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([ids[i] for i in which], id_type),
+                            pa.array([ids[places[i]] for i in which], id_type),
                             part.column(0).take(pa.array(rows)),
                             pa.array([len(items.sets[i]) for i in which], pa.int64()),
                             pa.array(shared, pa.int64()),
@@ -153,25 +166,62 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _doc_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, doc, shingle) of the distinct shingles of (doc_id, doc, text)."""
-    for batch in batches:
-        for part in texts.pieces(batch, "text"):
-            sets = texts.shingle_sets(part.column(2))
-            owner = pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
-            values = pa.array(np.concatenate(sets).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(owner), part.column(1).take(owner), values], names=["doc_id", "doc", "shingle"]
-            )
+def _bit(shingles: np.ndarray, bits: int) -> np.ndarray:
+    return (texts.mix(shingles) & np.uint64(bits - 1)).astype(np.int64)
+
+
+def _set_bits(bits: int):  # noqa: ANN202
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = np.unique(_bit(batch.column(0).to_numpy().view(np.uint64), bits))
+            yield pa.RecordBatch.from_arrays([pa.array(own)], names=["bit"])
+
+    return places
+
+
+def _table_of_bits(wanted: DataFrame, rows: int) -> np.ndarray:
+    """A byte for eight bits, set where a shingle of (shingle) falls; a power of two of bits."""
+    bits = min(MOST_BITS, 1 << max(15, (rows * BITS_A_SHINGLE).bit_length()))
+    places = wanted.mapInArrow(_set_bits(bits), "bit long")
+    maps = places.groupBy(F.shiftright("bit", 15).alias("part")).agg(F.bitmap_construct_agg(F.col("bit").bitwiseAND(F.lit((1 << 15) - 1))).alias("bits"))
+    out = np.zeros(bits // 8, np.uint8)
+    # MOST_BITS / 8 bytes in all at most.
+    for part, own in maps.collect():
+        out[part << 12 : (part + 1) << 12] = np.frombuffer(own, np.uint8)
+    return out
+
+
+def _doc_shingles(widths: list[int], table):  # noqa: ANN001, ANN202
+    """(doc_id, doc, shingle) of the distinct shingles of (doc_id, doc, text) that some item may have."""
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = table.value
+        for batch in batches:
+            for part in texts.pieces(batch, "text"):
+                words = texts.words(part.column(2))
+                for width in widths:
+                    values, first = texts.windows(*words, width, whole=False)
+                    place = _bit(values, len(bits) * 8)
+                    may = np.flatnonzero(bits[place >> 3] >> (place & 7).astype(np.uint8) & 1)
+                    owner = np.searchsorted(first, may, "right") - 1
+                    owner, own = np.unique(np.stack((owner, values[may].view(np.int64))), axis=1)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0).take(pa.array(owner)), part.column(1).take(pa.array(owner)), pa.array(own)], names=["doc_id", "doc", "shingle"]
+                    )
+
+    return held
 
 
 def _joined(docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The found pairs of `docs` (doc_id, text) and `sets` (item_id, n, shingles), by shuffle alone."""
+    """The found pairs of `docs` (doc_id, text) and `sets` (item_id, width, n, shingles), by shuffle alone."""
     sets = written(sets.withColumn("item", F.monotonically_increasing_id()))
     wanted = sets.select("item", F.explode("shingles").alias("shingle"))
+    bits = docs.sparkSession.sparkContext.broadcast(_table_of_bits(wanted.select("shingle"), wanted.count()))
+    # Five widths at most.
+    widths = sorted(r.width for r in sets.select("width").distinct().collect())
     # Rows of equal id and text hold the same.
     named = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("doc"), "text")
-    every = named.mapInArrow(_doc_shingles, "doc_id long, doc long, shingle long")
+    every = named.mapInArrow(_doc_shingles(widths, bits), "doc_id long, doc long, shingle long")
     held = written(every.join(wanted.select("shingle").distinct(), "shingle", "left_semi").distinct())
     sketches = sets.select("item", "shingles").mapInArrow(_sketches, "item long, shingle long")
     pairs = written(held.join(sketches, "shingle").select("doc_id", "doc", "item").distinct())
@@ -188,7 +238,7 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     modest_batches(spark)
     tests = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    sets = tests.mapInArrow(_item_sets, "item_id long, n long, shingles array<long>").filter("n > 0")
+    sets = tests.mapInArrow(_item_sets, "item_id long, width long, n long, shingles array<long>").filter("n > 0")
     sets = written(sets)
     texts_only = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "item_id long, doc_id long, n_item_shingles long, n_shared long"
@@ -198,7 +248,7 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     elif total <= BLOCK_SHINGLES:
         rows = sets.collect()
         values = np.concatenate([np.array(r.shingles, np.int64).view(np.uint64) for r in rows])
-        sent = spark.sparkContext.broadcast((values.tobytes(), tuple(r.n for r in rows)))
+        sent = spark.sparkContext.broadcast((values.tobytes(), tuple(r.n for r in rows), tuple(r.width for r in rows)))
         found = texts_only.mapInArrow(_searcher(sent, [r.item_id for r in rows], pa.int64()), schema)
     else:
         found = _joined(texts_only, sets)

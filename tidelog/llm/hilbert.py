@@ -6,8 +6,8 @@ differ by at most one. As neighbours on the curve are neighbours in every dimens
 range of each, and a reader that knows the ranges (`shard_ranges`) skips the files it does not need.
 
 Numbering is exact without sorting all rows in one place: rows are counted by cell, then by part of a cell.
-A cell is split by a hash of the id into parts of bounded size, so one cell that holds a third of
-all rows is many tasks' work. Cells are at most 2**(3 * BITS), a bound that does not depend on the rows.
+A cell is split by a hash of the row into parts of bounded size, so one cell, or one id, that holds a third
+of all rows is many tasks' work. Cells are at most 2**(3 * BITS), a bound that does not depend on the rows.
 
 Defined results: null metadata count as empty text and size 0; a null text has 0 bytes and checksum 0; null
 ids come first within their part; repeated rows take a place each. An empty table gives no rows. A key column
@@ -24,12 +24,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.frames import written
+from tidelog.session import shuffle_width
 
 BITS = 5
 SHARDS = 40
 # A part of a cell has about this many rows, or this share of all rows if that is less.
 PART_ROWS = 100_000
 PART_SHARE = 0.001
+# Columns of its own beside those of the rows.
+ROW, SHARD, SLOT = "hilbert_row", "hilbert_shard", "hilbert_slot"
 
 
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -68,13 +71,15 @@ def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(index)], names=[*batch.schema.names, "cell"])
 
 
-def quantised(docs: DataFrame) -> DataFrame:
-    """doc_id, size, text_crc32, the cell coordinates by_source, by_lang, by_size and the cell of every row."""
+def quantised(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """row (its number, or what column `row` has), doc_id, size, text_crc32, the cell coordinates by_source, by_lang,
+    by_size and the cell of every row."""
     most = (1 << BITS) - 1
     bucket = lambda name: F.pmod(F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")), F.lit(most + 1))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     size = F.octet_length(text) + 16
     rows = docs.select(
+        (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),
         size.cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
@@ -87,9 +92,9 @@ def quantised(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_placed, f"{fields}, cell long")
 
 
-def shards(docs: DataFrame, count: int = SHARDS) -> DataFrame:
-    """Every row of `docs` with size, checksum, cell, shard and slot (its place in the shard)."""
-    rows = written(quantised(docs))
+def shards(docs: DataFrame, count: int = SHARDS, row: str | None = None) -> DataFrame:
+    """Every row of `docs` with size, checksum, cell, shard and slot (its place in the shard), and `row` as in `quantised`."""
+    rows = written(quantised(docs, row))
     cells = rows.groupBy("cell").agg(F.count("*").alias("rows"))
     # At most 2**(3 * BITS) rows meet in this window.
     along = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -104,11 +109,11 @@ def shards(docs: DataFrame, count: int = SHARDS) -> DataFrame:
         )
     )
     # At most 2**(3 * BITS) rows of a few numbers.
-    placed = rows.join(F.broadcast(cells), "cell").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")))
+    placed = rows.join(F.broadcast(cells), "cell").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")))
     counts = placed.groupBy("cell", "part").agg(F.count("*").alias("rows"))
     before = Window.partitionBy("cell").orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counts = written(counts.select("cell", "part", (F.sum("rows").over(before) - F.col("rows")).alias("before_part")))
-    order = Window.partitionBy("cell", "part").orderBy("doc_id", "text_crc32", "size")
+    order = Window.partitionBy("cell", "part").orderBy("doc_id", "text_crc32", "size", "row")
     number = placed.join(counts, ["cell", "part"]).withColumn(
         "place", F.col("before_cell") + F.col("before_part") + F.row_number().over(order) - 1
     )
@@ -116,7 +121,7 @@ def shards(docs: DataFrame, count: int = SHARDS) -> DataFrame:
     first = F.ceil(F.col("shard") * F.col("total") / count)
     return number.withColumn("shard", shard).select(
         "doc_id", "size", "text_crc32", "shard", (F.col("place") - first).cast("long").alias("slot"),
-        "cell", "by_source", "by_lang", "by_size",
+        "cell", "by_source", "by_lang", "by_size", "row",
     )
 
 
@@ -127,14 +132,14 @@ def shard_ranges(sharded: DataFrame) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, folder: str, count: int = SHARDS) -> DataFrame:
-    """Write `docs` in one folder of files a shard, in curve order within a file; returns the shards' ranges.
+    """Write `docs` in one folder a shard (`hilbert_shard=n`), in files along the curve; returns the ranges of the written shards.
 
-    Repeated ids go where the first of them by slot goes.
+    Every row goes to its own place, whatever its id, and all columns of `docs` are kept. A shard of many rows is
+    written by several tasks, each a stretch of the curve.
     """
-    placed = written(shards(docs, count))
-    where = placed.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct("shard", "slot")).alias("at"))
-    home = where.select(F.col("doc_id").alias("_id"), F.col("at.shard").alias("shard"), F.col("at.slot").alias("_slot"))
-    kept = docs.drop("shard")
-    rows = kept.join(home, kept["doc_id"] == home["_id"], "left").withColumn("shard", F.coalesce("shard", F.lit(0)))
-    rows.repartition("shard").sortWithinPartitions("shard", "_slot").drop("_id", "_slot").write.partitionBy("shard").parquet(folder)
+    named = written(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    placed = written(shards(named, count, ROW))
+    home = placed.select(F.col("row").alias(ROW), F.col("shard").alias(SHARD), F.col("slot").alias(SLOT))
+    along = named.join(home, ROW).repartitionByRange(max(count, shuffle_width(docs.sparkSession)), SHARD, SLOT)
+    along.sortWithinPartitions(SHARD, SLOT).drop(ROW, SLOT).write.partitionBy(SHARD).parquet(folder)
     return shard_ranges(placed)

@@ -41,12 +41,22 @@ def _shingle_sql(table: str, key: str) -> str:
           FROM {table} WHERE text IS NOT NULL)"""
 
 
+def _window_sql(table: str, key: str, widths: str) -> str:
+    """The distinct windows of a table's texts, of the widths that `widths` gives for the words w of a text."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+    SELECT DISTINCT {key}, width, unnest([array_to_string(w[i:i + width - 1], ' ') FOR i IN range(1, len(w) - width + 2)]) AS shingle
+    FROM (SELECT {key}, w, unnest({widths}) AS width FROM (
+        SELECT {key}, regexp_extract_all(translate(text, '{upper}', '{lower}'), '[^\x20\x09-\x0D]+') AS w FROM {table} WHERE text IS NOT NULL))"""
+
+
 @query(
     "op1_benchmark_decontamination",
     f"""
-    WITH d AS ({_shingle_sql("documents", "doc_id")}), b AS ({_shingle_sql("benchmark", "item_id")}),
+    WITH b AS ({_window_sql("benchmark", "item_id", "[least(len(w), 5)]")}), widths AS (SELECT list(DISTINCT width) AS widths FROM b),
+    d AS ({_window_sql("documents", "doc_id", "(SELECT widths FROM widths)")}),
     sizes AS (SELECT item_id, count(*) AS n FROM b GROUP BY item_id),
-    hits AS (SELECT item_id, doc_id, count(*) AS shared FROM b JOIN d USING (shingle) GROUP BY item_id, doc_id)
+    hits AS (SELECT item_id, doc_id, count(*) AS shared FROM b JOIN d USING (width, shingle) GROUP BY item_id, doc_id)
     SELECT item_id, doc_id, n AS n_item_shingles, shared AS n_shared, shared / n AS containment
     FROM hits JOIN sizes USING (item_id) WHERE shared * 100 >= n * 75
     """,

@@ -155,20 +155,25 @@ def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
     A text of one to four words is one shingle of all its words; without words it has none.
     """
-    hashes, first = words(column)
+    return windows(*words(column))
+
+
+def windows(hashes: np.ndarray, first: np.ndarray, width: int = WIDTH, whole: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """The same of texts given by their words' hashes and first places, with windows of up to five words; with
+    `whole`, a text of fewer words is one window."""
     counts = np.diff(first)
-    out_counts = np.where(counts >= WIDTH, counts - WIDTH + 1, np.minimum(counts, 1))
+    out_counts = np.where(counts >= width, counts - width + 1, np.minimum(counts, 1) if whole else 0)
     out_first = np.concatenate(([0], np.cumsum(out_counts)))
     out = np.zeros(out_first[-1], np.uint64)
-    long = counts >= WIDTH
+    long = counts >= width
     if long.any():
         n = out_counts[long]
         at = np.repeat(first[:-1][long] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        value = np.full(len(at), _OF_LENGTH[WIDTH])
-        for place in range(WIDTH):
+        value = np.full(len(at), _OF_LENGTH[width])
+        for place in range(width):
             value += hashes[at + place] * _PLACES[place]
         out[np.repeat(out_first[:-1][long] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())] = mix(value)
-    for row in np.flatnonzero((counts > 0) & ~long):
+    for row in np.flatnonzero((counts > 0) & ~long) if whole else ():
         own = hashes[first[row] : first[row + 1]]
         out[out_first[row]] = mix((own * _PLACES[: len(own)]).sum(keepdims=True) + _OF_LENGTH[len(own)])[0]
     return out, out_first

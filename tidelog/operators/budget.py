@@ -142,17 +142,26 @@ def rate_cap_lag(
     the rows so far, and waits max(0, F - 1 - A). That is a token bucket as long as one row's amount
     fits into it.
     """
+    return rate_cap_step(df, order, amount, per_second, name).drop("_sum", "_peak")
+
+
+def rate_cap_step(
+    df: DataFrame, order: Sequence[str], amount: Column, per_second: float, name: str = "delay",
+    spent: float = 0.0, peak: float | None = None,
+) -> DataFrame:
+    """As `rate_cap_lag` after rows of a summed amount of `spent` and a largest A_k - S_{k-1} of `peak`; both
+    figures up to each row are kept as `_sum` and `_peak`."""
     ts = order[0]
     seconds = F.unix_micros(F.col(ts)) / F.lit(1e6)
     sliced = slice_ordered(df.withColumn("_amount", amount.cast("double")), [], order)
-    spent = F.col("_sum") / F.lit(float(per_second))
     before = (F.col("_sum") - F.col("_amount")) / F.lit(float(per_second))
-    served = running(sliced, [], order, {"_sum": ("sum", F.col("_amount"))}).withColumns(
-        {"_s": spent, "_gap": seconds - before}
-    )
+    served = running(sliced, [], order, {"_sum": ("sum", F.col("_amount"))}).withColumn("_sum", F.col("_sum") + F.lit(float(spent)))
+    served = served.withColumns({"_s": F.col("_sum") / F.lit(float(per_second)), "_gap": seconds - before})
     peaks = running(served, [], order, {"_peak": ("max", F.col("_gap"))})
+    if peak is not None:
+        peaks = peaks.withColumn("_peak", F.greatest("_peak", F.lit(float(peak))))
     delay = F.greatest(F.lit(0.0), F.col("_s") + F.col("_peak") - 1 - seconds)
-    return peaks.withColumn(name, delay).drop("_sum", "_s", "_gap", "_peak", "_amount", "_slice")
+    return peaks.withColumn(name, delay).drop("_s", "_gap", "_amount", "_slice")
 
 
 def rate_cap_report(

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.globs import matches_glob
 from tidelog.functions.times import instant, parse_event_time
 from tidelog.schema import PROGRESS_SCHEMA
-from tidelog.session import broadcast_if_small
+from tidelog.session import broadcast_if_small, cut_lineage
 
 
 def commit_progress(tokens: DataFrame, path: str, batch_id: int) -> None:
@@ -30,6 +31,50 @@ def last_token_per_key(tokens: DataFrame) -> DataFrame:
     )
 
 
+LEDGER = f"{PROGRESS_SCHEMA}, batch_id bigint"
+
+
+def _snapshots(spark: SparkSession, path: str) -> list[int]:
+    """The numbers of the batches that whole snapshots reach up to, ascending."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}-snapshots")
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    found = [s.getPath() for s in system.listStatus(folder)]
+    done = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted(int(p.getName().partition("=")[2]) for p in found if system.exists(done(p, "_SUCCESS")))
+
+
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger under `path`: its newest snapshot and the batches after it, whose folders alone are read."""
+    newest = (_snapshots(spark, path) or [None])[-1]
+    try:
+        tail = spark.read.schema(LEDGER).parquet(path)
+    except AnalysisException:
+        tail = spark.createDataFrame([], LEDGER)
+    if newest is None:
+        return tail
+    snapshot = spark.read.schema(PROGRESS_SCHEMA).parquet(f"{path}-snapshots/upto={newest}")
+    return snapshot.withColumn("batch_id", F.lit(newest).cast("bigint")).unionByName(tail.filter(F.col("batch_id") > newest))
+
+
+def compact_progress(spark: SparkSession, path: str) -> int | None:
+    """Write the current row of every key as a snapshot that takes the place of all batches so far.
+
+    Deleted keys are left out. A snapshot counts once it is complete, so one that ended in between changes
+    nothing, and writing it again gives the same. Batches are not removed: one that is replayed rewrites its own
+    folder, which the snapshot already covers. Returns the last batch it covers.
+    """
+    ledger = cut_lineage(read_progress(spark, path))
+    upto = ledger.agg(F.max("batch_id")).first()[0]
+    if upto is None or upto in _snapshots(spark, path):
+        return upto
+    last = ledger.groupBy("key").agg(F.max_by(F.struct("value", "seq", "deleted"), F.struct("seq", "batch_id")).alias("_last"))
+    kept = last.filter(~F.col("_last.deleted")).select("key", "_last.*")
+    kept.write.mode("overwrite").parquet(f"{path}-snapshots/upto={upto}")
+    return upto
+
+
 def show_progress(ledger: DataFrame, key_glob: str = "*") -> DataFrame:
     """Current value per key: the last row wins, a tombstone removes the key."""
     return (

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tidelog.functions.labels import text_map
 from tidelog.functions.payload import canonical_line
-from tidelog.operators.progress import show_progress
+from tidelog.operators.progress import commit_progress, compact_progress, read_progress, show_progress
 from tidelog.operators.rules import Rule, apply_rules
 from tidelog.operators.shape import shape_topic_events
 from tidelog.operators.streaks import fill_last_good
@@ -27,6 +27,7 @@ from tidelog.registry.tables import (
 )
 from tidelog.schema import PROGRESS_SCHEMA
 from tidelog.session import cut_lineage, shared_folder
+from tidelog.sinks import stored
 from tidelog.sinks.entries import read_entries, stream_entries, write_entries
 from tidelog.sources.backfill import backfill
 from tidelog.sources.csv_files import read_event_log_csv
@@ -34,7 +35,9 @@ from tidelog.sources.file_runs import FilePlan, TypeFields, current_entries
 from tidelog.sources.orgs import Org
 from tidelog.sources.polling import poll_files
 from tidelog.sources.streams import quarantine_poison, stream_events
+from tidelog.registry.windows import BUDGET, CAP, ORDER, _BUDGET_SQL, _LAG_SQL
 from tidelog.streaming.lanes import Lane, start_lanes
+from tidelog.streaming.limits import stream_daily_budget, stream_rate_cap
 from tidelog.streaming.state import stream_failure_streaks, stream_last_good
 from tidelog.streaming.windows import dedup_redelivered, mark_late, stream_late_rows, windowed_counts
 
@@ -300,6 +303,95 @@ def _ingest(stream: DataFrame, folder: str) -> DataStreamWriter:
     return stream_entries(stream, folder, f"{folder}/checkpoint", shape=_shape, progress=_tokens)
 
 
+@query(
+    "stream_outcomes",
+    f"""WITH {E_SQL} SELECT count(*) AS delivered, count(*) FILTER (event_type = 'Login') AS logins,
+      CAST(sum(octet_length(encode(line))) AS BIGINT) AS bytes FROM e WHERE f_COUNTRY <> 'US'""",
+)
+def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters observed on a running stream, one row a batch, summed over the batches."""
+    folder = scratch(spark, "outcomes")
+    counted = [
+        F.count(F.lit(1)).alias("delivered"), F.count_if(F.col("event_type") == "Login").alias("logins"),
+        F.sum(F.octet_length("line")).alias("bytes"),
+    ]
+    _finish(stream_entries(
+        entry_stream(spark, sf_dir), folder, f"{folder}/checkpoint", shape=_shape, progress=_tokens, counted=counted
+    ))
+    outcomes = spark.read.parquet(f"{folder}/outcomes")
+    return outcomes.agg(*(F.sum(c).cast("bigint").alias(c) for c in ("delivered", "logins", "bytes")))
+
+
+@query(
+    "stream_daily_budget",
+    f"WITH {_BUDGET_SQL} SELECT event_id, used > {BUDGET} AS over_budget FROM used",
+)
+def daily_budget_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days' budgets over micro-batches: what was used passes from batch to batch."""
+    folder = scratch(spark, "budget")
+    _finish(stream_daily_budget(_sized_stream(spark, sf_dir), folder, f"{folder}/checkpoint", int(BUDGET), ORDER))
+    return spark.read.parquet(f"{folder}/rows").select("event_id", "over_budget")
+
+
+@query(
+    "stream_rate_cap",
+    f"WITH {_LAG_SQL} SELECT event_id, CAST(round(greatest(0, s + peak - 1 - a), 3) AS DOUBLE) AS delay FROM peaks",
+)
+def rate_cap_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seconds behind a cap in lines per second, over micro-batches."""
+    folder = scratch(spark, "cap")
+    _finish(stream_rate_cap(_sized_stream(spark, sf_dir), folder, f"{folder}/checkpoint", F.lit(1), CAP, ORDER))
+    return spark.read.parquet(f"{folder}/rows").select("event_id", F.round("delay", 3).alias("delay"))
+
+
+def _sized_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_stream(spark, sf_dir).select("event_id", "ts", (F.floor("value").cast("bigint") + 1).alias("line_bytes"))
+
+
+@query(
+    "store_new_entries",
+    f"""WITH {E_SQL} SELECT CASE WHEN CAST(ts AS DATE) < DATE '2024-01-08' THEN 0 WHEN event_id % 3 = 0 THEN 1 ELSE 2 END AS batch_id,
+        event_type, count(*) AS n FROM e WHERE CAST(ts AS DATE) < DATE '2024-01-08' OR event_id % 3 = 0 OR CAST(ts AS DATE) < DATE '2024-01-15'
+      GROUP BY 1, 2""",
+)
+def store_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches with rows of the ones before in them, the second delivered twice: each entry is stored once."""
+    folder = scratch(spark, "new")
+    labels = text_map({"source": F.col("source"), "event_type": F.col("event_type")})
+    rows = filled_entries(spark, sf_dir).select(
+        "ts", "event_type", labels.alias("labels"), F.concat_ws("|", F.col("event_id"), canonical_line(F.col("payload"))).alias("line"), "event_id"
+    )
+    early = F.col("ts") < "2024-01-08"
+    batches = {0: early, 1: early | (F.col("event_id") % 3 == 0), 2: F.col("ts") < "2024-01-15"}
+    for batch_id in (0, 1, 1, 2):
+        stored.store_new(rows.filter(batches[batch_id]).drop("event_id"), folder, batch_id, 1 << 18)
+    return read_entries(spark, f"{folder}/entries").groupBy("batch_id", "event_type").agg(F.count("*").alias("n"))
+
+
+@query(
+    "compacted_progress",
+    f"""WITH {E_SQL} SELECT 'user:' || user_id AS key, CAST(max(event_id) AS VARCHAR) AS value FROM e
+      WHERE event_id % 4 <> 3 GROUP BY user_id HAVING user_id % 5 <> 0""",
+)
+def compacted_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ledger of three batches and deletions, compacted between them, with a batch after the snapshot."""
+    folder = f"{scratch(spark, 'ledger')}/progress"
+    rows = entries(spark, sf_dir).select(
+        "event_id", "user_id", F.concat(F.lit("user:"), "user_id").alias("key"), F.col("event_id").cast("string").alias("value"), F.col("event_id").alias("seq")
+    )
+    def tokens(n: int) -> DataFrame:
+        return rows.filter(F.col("event_id") % 4 == n).select("key", "value", "seq")
+
+    commit_progress(tokens(0), folder, 0)
+    commit_progress(tokens(1), folder, 1)
+    compact_progress(spark, folder)
+    commit_progress(tokens(2), folder, 2)
+    gone = rows.filter("user_id % 5 = 0").select("key", F.lit(None).cast("string").alias("value"), F.lit(1 << 40).alias("seq"), F.lit(True).alias("deleted"))
+    gone.distinct().write.parquet(f"{folder}/batch_id=3")
+    compact_progress(spark, folder)
+    return show_progress(read_progress(spark, folder), "user:*")
+
+
 @query(
     "stored_entries_in_range",
     f"""WITH {E_SQL} SELECT source, f_CLIENT_IP AS client_ip, count(*) AS n FROM e

@@ -72,14 +72,13 @@ def deliver_batch(
 ) -> None:
     """Write entries, then rejects, then progress: positions advance only over durable rows.
 
-    `counted` is an observation and the aggregates it takes of the rows on their way to the sink.
+    `counted` is an observation and the aggregates it takes of all rows on their way to the sink.
     """
     # Written in two parts, so the shaped batch is kept instead of computed twice.
     kept = df.persist()
     try:
-        good, bad = split_rejects(kept, reject_reason() if reason is None else reason)
-        if counted:
-            good = good.observe(counted[0], *counted[1])
+        rows = kept.observe(counted[0], *counted[1]) if counted else kept
+        good, bad = split_rejects(rows, reject_reason() if reason is None else reason)
         write_entries(good, f"{path}/entries", batch_id)
         bad.write.mode("overwrite").parquet(f"{path}/rejects/batch_id={batch_id}")
     finally:
@@ -97,9 +96,13 @@ def stream_entries(
     progress: Callable[[DataFrame], DataFrame] | None = None,
     trigger: dict[str, object] | None = None,
     pool: str | None = None,
+    counted: Sequence[Column] = (),
 ) -> DataStreamWriter:
     """A writer that shapes and delivers every micro-batch; call `.start()` on it.
 
+    `counted` are named aggregates of the shaped rows. They are observed on the way to the sink, without a pass
+    of their own, and written as one row a batch to `path/outcomes`; a replayed batch replaces its row.
+
     `progress` computes ledger tokens from the rows as they arrived, so a batch whose rows are all
     filtered out still advances. The trigger is the flush interval (default: all there is, then
     stop); the size limits of a flush are those of the source.
@@ -108,8 +111,20 @@ def stream_entries(
     def deliver(batch: DataFrame, batch_id: int) -> None:
         if pool:
             batch.sparkSession.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
-        tokens = progress(batch) if progress else None
-        deliver_batch(shape(batch), batch_id, path, tokens=tokens)
+        # The source is read once for the rows and their positions.
+        arrived = batch.persist() if progress else batch
+        try:
+            tokens = progress(arrived) if progress else None
+            if not counted:
+                deliver_batch(shape(arrived), batch_id, path, tokens=tokens)
+                return
+            seen = Observation()
+            deliver_batch(shape(arrived), batch_id, path, tokens=tokens, counted=(seen, counted))
+        finally:
+            if progress:
+                arrived.unpersist()
+        row = [F.lit(value).alias(name) for name, value in seen.get.items()]
+        batch.sparkSession.range(1).select(*row).write.mode("overwrite").parquet(f"{path}/outcomes/batch_id={batch_id}")
 
     writer = stream.writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True}))

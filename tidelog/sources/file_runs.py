@@ -14,20 +14,19 @@ from datetime import datetime
 from itertools import islice
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.identity import keep_sampled
 from tidelog.functions.payload import canonical_line
 from tidelog.functions.times import instant, iso_micros, parse_event_time
-from tidelog.operators.progress import empty_ledger, org_prefix, show_progress
+from tidelog.operators.progress import org_prefix, read_progress, show_progress
 from tidelog.operators.rules import Rule, apply_rules, check_rules
 from tidelog.operators.sampling import file_sample_key
 from tidelog.operators.shape import (
     backfill_marks, cap_entries, entry_labels, event_time, promote_by_type, with_type_fields,
 )
-from tidelog.schema import ALLOWED_LABELS, PROGRESS_SCHEMA, TIME_FIELDS
+from tidelog.schema import ALLOWED_LABELS, TIME_FIELDS
 from tidelog.sinks.entries import deliver_batch, read_entries, reject_reason
 from tidelog.sources.csv_files import CsvScan, scan_csv
 from tidelog.sources.orgs import Org, tag_org
@@ -102,10 +101,7 @@ def shape_file_rows(rows: DataFrame, plan: FilePlan, now: Column | datetime | st
 
 
 def read_ledger(spark: SparkSession, out: str) -> DataFrame:
-    try:
-        return spark.read.schema(f"{PROGRESS_SCHEMA}, batch_id bigint").parquet(f"{out}/progress")
-    except AnalysisException:
-        return empty_ledger(spark).withColumn("batch_id", F.lit(None).cast("bigint"))
+    return read_progress(spark, f"{out}/progress")
 
 
 def next_batch(ledger: DataFrame) -> int:

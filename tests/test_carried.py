@@ -166,3 +166,66 @@ def test_compaction_changes_no_position(spark, tmp_path):
     assert len(shown()) == 7 and prg.compact_progress(spark, path) == 7 and len(shown()) == 7
     plan = prg.read_progress(spark, path)._jdf.queryExecution().executedPlan().toString()
     assert "7 AS batch_id" in plan and "> 7)" in plan[plan.rindex("PartitionFilters") :]
+
+
+def test_sketches_of_steps_merge_to_any_range(spark):
+    from tidelog.operators import sketches
+
+    made = spark.range(20_000).select(
+        (F.expr("timestamp'2024-01-01'") + F.make_dt_interval(mins=(F.col("id") % 4320).cast("int"))).alias("ts"),
+        (F.col("id") % 3).alias("kind"), (F.col("id") % 1000).alias("user"), F.col("id").cast("double").alias("value"),
+    )
+    stored = sketches.step_sketches(made, "1 hour", ["kind"], distinct=F.col("user"), value=F.col("value"))
+    assert stored.count() == 72 * 3
+    one = sketches.merged_sketches(stored, since="2024-01-01", until="2024-01-02").select("n", sketches.distinct_of().alias("d"), sketches.quantile_of(0.5).alias("q")).first()
+    part = made.filter("ts < '2024-01-02'")
+    assert one.n == part.count() and abs(one.d - 1000) <= 1000 * sketches.DISTINCT_ERROR
+    below = part.filter(F.col("value") <= one.q).count() / one.n
+    assert abs(below - 0.5) <= sketches.RANK_ERROR
+    by_kind = sketches.merged_sketches(stored, ["kind"]).select("kind", "n").collect()
+    assert sorted(map(tuple, by_kind)) == [(0, 6667), (1, 6667), (2, 6666)]
+    assert sketches.merged_sketches(stored, ["kind"], since="2025-01-01").count() == 0
+
+
+def test_too_many_keys_for_a_top_list_fail(spark, tmp_path):
+    from tidelog.streaming.windows import stream_top_per_window
+
+    rows_ = spark.range(40).select(F.expr("timestamp'2024-01-01'").alias("ts"), F.concat(F.lit("k"), F.col("id") % 20).alias("key"))
+    late = spark.range(1).select(F.expr("timestamp'2024-01-03'").alias("ts"), F.lit("k").alias("key"))
+    rows_.union(late).coalesce(1).write.parquet(f"{tmp_path}/in")
+    last = spark.range(1).select(F.expr("timestamp'2024-01-05'").alias("ts"), F.lit("k").alias("key"))
+    last.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+
+    def run(name, most):
+        stream = stream_events(spark, f"{tmp_path}/in", "ts timestamp, key string", max_files=1)
+        top = stream_top_per_window(stream, "key", 3, "1 hour", most_keys=most)
+        writer = top.writeStream.format("parquet").option("path", f"{tmp_path}/{name}").option("checkpointLocation", f"{tmp_path}/{name}-c")
+        writer.trigger(availableNow=True).start().awaitTermination()
+        return rows(spark.read.parquet(f"{tmp_path}/{name}").select("key", "n", "rank"))
+
+    assert set(run("few", 20)) >= {("k0", 2, 1), ("k1", 2, 2), ("k10", 2, 3)}
+    with pytest.raises(Exception, match="too many keys"):
+        run("many", 19)
+
+
+def test_holds_fire_once_and_at_the_same_tick_for_any_cut(spark, tmp_path):
+    """Spans that begin, go on and fire in different batches; gaps, false ticks and a silent series between them."""
+    import random
+
+    from tidelog.operators.alerts import pending_alerts
+    from tidelog.streaming.state import stream_holds
+
+    rng = random.Random(4)
+    ticks = [(name, n, rng.random() < 0.8) for n in range(60) for name in "abc" if rng.random() < 0.95 and not (name == "c" and 20 < n < 30)]
+    schema = "series string, tick timestamp, high boolean"
+    made = spark.createDataFrame(ticks, "series string, n int, high boolean").select(
+        "series", (F.expr("timestamp'2024-01-01'") + F.make_dt_interval(mins=F.col("n") * 5)).alias("tick"), "high", "n"
+    )
+    out = str(tmp_path / "out")
+    for low, high in ((0, 3), (3, 4), (4, 25), (25, 26), (26, 60)):
+        made.filter(F.col("n").between(low, high - 1)).drop("n").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = stream_events(spark, f"{tmp_path}/in", schema)
+        stream_holds(stream, out, f"{out}/c", ["series"], F.col("high"), 15, 5).start().awaitTermination()
+    want = pending_alerts(made, F.col("high"), 15, 5, ["series"]).select("series", "pending_since", "firing_at")
+    got = spark.read.parquet(f"{out}/alerts").select("series", "pending_since", "firing_at")
+    assert rows(got) == rows(want) and got.count() > 5

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.identity import keep_sampled
 from tidelog.functions.payload import canonical_line, map_field
 from tidelog.functions.times import instant, seconds_between
-from tidelog.operators import series
+from tidelog.operators import series, sketches
 from tidelog.operators.rules import Rule, apply_rules
 from tidelog.operators.running import numbered
 from tidelog.plans import quality
@@ -17,6 +19,7 @@ from tidelog.registry.scalars import BUCKET_SQL, PARSED_SQL
 from tidelog.registry.shape import _LABELS_SQL, _SHAPED_SQL, shaped
 from tidelog.registry.tables import E_SQL, entries, filled_entries, raw_events, table
 from tidelog.schema import LAG_BOUNDS
+from tidelog.session import shared_folder
 
 NOW = "2024-01-31 00:00:00"
 HOUR = "1 hour"
@@ -240,3 +243,43 @@ def order_inside_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def worst_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     lag = seconds_between(instant(NOW), F.col("ts"))
     return raw_events(spark, sf_dir).groupBy("event_type").agg(F.max(lag).alias("worst"))
+
+
+_SPANS_SQL = """spans AS (SELECT 'day' AS span, date_trunc('day', ts) AS start, event_type, user_id, value FROM raw
+      UNION ALL SELECT 'week', date_trunc('week', ts), 'all', user_id, value FROM raw)"""
+
+
+@query(
+    "merged_step_sketches",
+    f"""WITH raw AS (SELECT * FROM events), {_SPANS_SQL} SELECT span, start, event_type, count(*) AS n, true AS users_close, true AS median_close, true AS p95_close
+      FROM spans GROUP BY 1, 2, 3""",
+)
+def merged_step_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days by type and weeks over all types from one stored table of hours: counts, and whether distinct users
+    and quantiles lie within the sketches' bounds of the exact figures."""
+    rows = raw_events(spark, sf_dir).select("ts", "event_type", "user_id", "value")
+    folder = f"{shared_folder(spark)}/sketches-{uuid.uuid4().hex}"
+    sketches.step_sketches(rows, "1 hour", ["event_type"], distinct=F.col("user_id"), value=F.col("value")).write.parquet(folder)
+    hours = spark.read.parquet(folder)
+    day, week = F.date_trunc("day", "ts"), F.date_trunc("week", "ts")
+    found = []
+    for span, start, kind in (("day", day, F.col("event_type")), ("week", week, F.lit("all"))):
+        own = hours.withColumn("ts", F.col("step_start")).withColumn("start", start).withColumn("event_type", kind)
+        merged = sketches.merged_sketches(own, ["start", "event_type"])
+        merged = merged.select(
+            "start", "event_type", "n", sketches.distinct_of().alias("users"),
+            *(sketches.quantile_of(q).alias(name) for q, name in ((0.5, "median"), (0.95, "p95"))),
+        )
+        exact = rows.withColumn("start", start).withColumn("event_type", kind)
+        # The share of values below and up to the estimate encloses the quantile but for the sketch's error.
+        placed = exact.join(merged, ["start", "event_type"])
+
+        def close(name: str, q: float) -> Column:
+            below, upto = F.avg((F.col("value") < F.col(name)).cast("int")), F.avg((F.col("value") <= F.col(name)).cast("int"))
+            return ((below <= q + sketches.RANK_ERROR + 1 / F.count("*")) & (upto >= q - sketches.RANK_ERROR - 1 / F.count("*"))).alias(f"{name}_close")
+
+        users = F.count_distinct("user_id")
+        near = F.abs(F.first("users") - users) <= F.greatest(F.lit(1.0), users * sketches.DISTINCT_ERROR)
+        checked = placed.groupBy("start", "event_type").agg(F.first("n").alias("n"), near.alias("users_close"), close("median", 0.5), close("p95", 0.95))
+        found.append(checked.withColumn("span", F.lit(span)))
+    return found[0].unionByName(found[1])

@@ -38,8 +38,10 @@ from tidelog.sources.streams import quarantine_poison, stream_events
 from tidelog.registry.windows import BUDGET, CAP, ORDER, _BUDGET_SQL, _LAG_SQL
 from tidelog.streaming.lanes import Lane, start_lanes
 from tidelog.streaming.limits import stream_daily_budget, stream_rate_cap
-from tidelog.streaming.state import stream_failure_streaks, stream_last_good
-from tidelog.streaming.windows import dedup_redelivered, mark_late, stream_late_rows, windowed_counts
+from tidelog.streaming.state import stream_failure_streaks, stream_holds, stream_last_good
+from tidelog.streaming.windows import (
+    dedup_redelivered, mark_late, stream_late_rows, stream_top_per_window, windowed_counts,
+)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -125,6 +127,19 @@ def sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windowed_counts(rows, [], "10 minutes", "1 minute")
 
 
+@query(
+    "stream_top_types",
+    f"""WITH {E_SQL}, w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n FROM e GROUP BY 1, 2),
+      r AS (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY n DESC, event_type) AS rank FROM w)
+      SELECT window_start, event_type, n, rank::INT AS rank FROM r
+      WHERE rank <= 2 AND window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 6 HOUR""",
+)
+def stream_top_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two most frequent types of every closed hour, from two chained aggregations."""
+    rows = entry_stream(spark, sf_dir).select("ts", "event_type")
+    return _appended(stream_top_per_window(rows, "event_type", 2, "1 hour"), "top")
+
+
 @query("stream_dedup", f"WITH {E_SQL} SELECT event_id, ts, event_type FROM e")
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rows twice, a third of them three times; each leaves once."""
@@ -229,6 +244,23 @@ def last_good(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", "topic", "filled_ts")
 
 
+@query(
+    "stream_alert_holds",
+    f"""WITH {E_SQL}, w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS tick, event_type, count(*) AS n FROM e GROUP BY 1, 2),
+      closed AS (SELECT * FROM w WHERE tick + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 6 HOUR AND n >= 2),
+      spans AS (SELECT *, epoch(tick) - 3600 * row_number() OVER (PARTITION BY event_type ORDER BY tick) AS span FROM closed)
+      SELECT event_type, min(tick) AS pending_since, min(tick) + INTERVAL 2 HOUR AS firing_at FROM spans GROUP BY event_type, span
+      HAVING max(tick) >= min(tick) + INTERVAL 2 HOUR""",
+)
+def alert_holds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types with two events or more in an hour for two hours on end, from the closed hours of a stream."""
+    folder = scratch(spark, "holds")
+    hours = windowed_counts(entry_stream(spark, sf_dir), ["event_type"], "1 hour").withColumnRenamed("window_start", "tick")
+    _finish(stream_holds(hours, folder, f"{folder}/checkpoint", ["event_type"], F.col("n") >= 2, 120, 60))
+    schema = "event_type string, pending_since timestamp, firing_at timestamp"
+    return spark.read.schema(schema).parquet(f"{folder}/alerts").select("event_type", "pending_since", "firing_at")
+
+
 @query(
     "stream_failure_streaks",
     """SELECT user_id AS topic, CASE WHEN min(value) > 1 THEN 1 ELSE 0 END::BIGINT AS streak FROM events GROUP BY 1""",

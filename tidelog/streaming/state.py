@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidelog.operators.streaks import fill_last_good
+from tidelog.session import cut_lineage
 
 
 def read_state(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
@@ -129,3 +131,63 @@ def _writer(
 ) -> DataStreamWriter:
     writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True}))
+
+
+HOLD_STATE = "pending_since timestamp, last_true timestamp, fired boolean"
+
+
+def hold_batch(
+    ticks: DataFrame, state: DataFrame, by: list[str], condition: Column, hold_minutes: int, tick_minutes: int, tick: str = "tick"
+) -> tuple[DataFrame, DataFrame]:
+    """Alerts that fire within a micro-batch of evaluated ticks, and the spans that are still open after it.
+
+    `state` has one open span a series. A span goes on if the first true tick of the batch is the next one; it ends
+    with a tick of its series that is false or leaves one out. Ticks of a series arrive in order.
+    """
+    spacing = tick_minutes * 60
+    seconds = F.unix_seconds(F.col(tick).cast("timestamp"))
+    order = W.partitionBy(*by).orderBy(tick)
+    island = ticks.filter(condition).withColumn("_span", seconds - F.row_number().over(order) * spacing)
+    spans = island.groupBy(*by, "_span").agg(F.min(tick).cast("timestamp").alias("_from"), F.max(tick).cast("timestamp").alias("_to"))
+    newest = ticks.groupBy(*by).agg(F.max(tick).cast("timestamp").alias("_newest"))
+    open_spans = state.select(*by, "pending_since", F.col("last_true").alias("_last"), "fired")
+    next_tick = F.timestamp_seconds(F.unix_seconds("_last") + spacing)
+    # A series has one open span, so the join adds no rows.
+    joined = spans.join(open_spans, by, "left").withColumn("_goes_on", F.coalesce(next_tick == F.col("_from"), F.lit(False)))
+    since = F.when(F.col("_goes_on"), F.col("pending_since")).otherwise(F.col("_from"))
+    merged = joined.select(
+        *by, since.alias("pending_since"), F.col("_to").alias("last_true"), (F.col("_goes_on") & F.col("fired")).alias("_before")
+    ).withColumn("firing_at", F.col("pending_since") + F.expr(f"INTERVAL {hold_minutes} MINUTE"))
+    merged = merged.withColumn("fired", F.col("last_true") >= F.col("firing_at"))
+    alerts = merged.filter(F.col("fired") & ~F.col("_before")).select(*by, "pending_since", "firing_at")
+    kept = merged.join(newest, by).filter(F.col("last_true") == F.col("_newest")).select(*by, "pending_since", "last_true", "fired")
+    silent = state.join(newest.select(*by), by, "left_anti").select(*by, "pending_since", "last_true", "fired")
+    return alerts, kept.unionByName(silent)
+
+
+def stream_holds(
+    ticks: DataFrame,
+    path: str,
+    checkpoint: str,
+    by: list[str],
+    condition: Column,
+    hold_minutes: int,
+    tick_minutes: int,
+    *,
+    tick: str = "tick",
+    trigger: dict[str, object] | None = None,
+) -> DataStreamWriter:
+    """Write each alert once, to `path/alerts`, with the tick it fires at; open spans are kept in `path/state`.
+
+    `ticks` are evaluated series whose ticks come once and in order, such as closed windows in append mode. The
+    alerts are those of `pending_alerts` over all ticks, however they are cut into batches.
+    """
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ticks.select(*by).schema)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        state = read_state(batch.sparkSession, f"{path}/state", batch_id, f"{kinds}, {HOLD_STATE}")
+        alerts, after = hold_batch(cut_lineage(batch), state, by, condition, hold_minutes, tick_minutes, tick)
+        alerts.write.mode("overwrite").parquet(f"{path}/alerts/batch_id={batch_id}")
+        write_state(after, f"{path}/state", batch_id)
+
+    return _writer(ticks, step, checkpoint, trigger)

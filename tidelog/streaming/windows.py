@@ -106,3 +106,23 @@ def mark_late(
     """Add `lag_seconds` and `late`, before any aggregation could drop the row."""
     lag = seconds_between(instant(arrived), F.col(ts))
     return df.withColumn("lag_seconds", lag).withColumn("late", lag > bound_seconds)
+
+
+def stream_top_per_window(
+    df: DataFrame, key: str, k: int, size: str, lateness: str = "6 hours", ts: str = "ts", most_keys: int = 10_000
+) -> DataFrame:
+    """The `k` most frequent keys of every closed window, with their counts and ranks; ties go by key.
+
+    Two stateful steps in append mode: counts per window and key, and the first `k` of the counts of a window once
+    it is closed. The second gathers one row per key of a window, so keys are taken to be few, such as
+    event types; a window with more than `most_keys` of them fails instead of being cut.
+    """
+    counted = df.withWatermark(ts, lateness).groupBy(F.window(ts, size).alias("_w"), key).agg(F.count(F.lit(1)).alias("n"))
+    order = F.struct((-F.col("n")).alias("least"), F.col(key).alias("key"))
+    kept = F.sort_array(F.collect_list(order)).alias("_top")
+    tops = counted.groupBy(F.window(F.window_time("_w"), size).alias("_w")).agg(kept, F.count(F.lit(1)).alias("_keys"))
+    few = F.when(F.col("_keys") <= most_keys, F.slice("_top", 1, k)).otherwise(F.raise_error(F.lit("a window has too many keys for a top list")))
+    found = tops.select(F.col("_w.start").alias("window_start"), F.posexplode(few).alias("place", "_row"))
+    return found.select(
+        "window_start", F.col("_row.key").alias(key), (-F.col("_row.least")).alias("n"), (F.col("place") + 1).alias("rank")
+    )

@@ -207,7 +207,7 @@ def test_licences_by_rule(build, odd, empty):
         (6, licenses.SENTENCES["as_is"][0]), (7, "Licensed under CC BY-NC 4.0.\n" * 3),
     ]
     got = {r.doc_id: r for r in licenses.scan(build(rows)).collect()}
-    assert [got[i].licences for i in range(1, 8)] == ["MIT", "MIT", "", "MIT,Apache-2.0", "", "", "CC-BY-NC-4.0"]
+    assert [got[i].licences for i in range(1, 8)] == ["MIT", "MIT", "Apache-2.0", "MIT,Apache-2.0", "", "", "CC-BY-NC-4.0"]
     assert got[6].unmatched == "as_is" and got[7].n_known == 3 and got[1].unmatched == ""
     assert licenses.scan(odd).count() == len(ODD) and licenses.scan(empty).count() == 0
     with pytest.raises(ValueError, match="no cue"):
@@ -237,6 +237,22 @@ def test_wrapped_licence_texts_are_found(build, mark, ends):
     assert {r.unmatched for r in got.values()} == {""}
 
 
+def test_headers_as_they_stand_in_files(build):
+    """Standard headers, wrapped and behind comment marks; a notice between lines without end marks."""
+    headers = {
+        "MPL-2.0": "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n * file, You can obtain one at https://mozilla.org/MPL/2.0/. */",
+        "GPL-2.0-or-later": "# This program is free software; you can redistribute it and/or\n# modify it under the terms of the GNU General Public License\n# as published by the Free Software Foundation; either version 2\n# of the License, or (at your option) any later version.",
+        "AGPL-3.0-or-later": "// you can redistribute it and/or modify it under the terms of the GNU\n// Affero General Public License as published by the Free Software Foundation,\n// either version 3 of the License, or (at your option) any later version.",
+        "Unlicense": "This is free and unencumbered software released into the\npublic domain.",
+        "BSL-1.0": "Distributed under the Boost Software\nLicense, Version 1.0. (See accompanying file)",
+        "EPL-2.0": "This program and the accompanying materials are made\navailable under the terms of the Eclipse Public License 2.0\nwhich is available at https://www.eclipse.org/legal/epl-2.0/\n\nContributors",
+        "Apache-2.0": "Title without a mark\nLicensed under the Apache License,\nVersion 2.0.\nAnother line",
+        "": "Licensed under the Apache License,\n\nVersion 2.0. Licensed under\nsomething, version 3.",
+    }
+    got = {r.doc_id: r.licences for r in licenses.scan(build(list(enumerate(headers.values())))).collect()}
+    assert [got[n] for n in range(len(headers))] == list(headers)
+
+
 def test_long_texts_are_not_cut_short(build):
     rows = [(1, sentence(0, 50_000) + "\nReleased under the MIT License.")]
     assert licenses.scan(build(rows)).first().licences == "MIT"

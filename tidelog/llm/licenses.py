@@ -1,14 +1,16 @@
 """Licence recognition by sentence rules, with DataFrame functions alone.
 
 Texts are cut into sentences, sentences are normalised (small letters and digits, single blanks) and looked up
-in `SENTENCES`, which gives known licence sentences an identifier. The identifiers of a text, in its order,
+in a map made of `SENTENCES`, which gives known licence sentences an identifier; a lookup costs the same however many
+are known. The identifiers of a text, in its order,
 are then matched against `RULES` from the first to the last: a rule that finds its sequence of identifiers
 adds its licence and takes the sequence out, so a complete licence text is not reported again as the notice
 that is a part of it. What no rule takes is reported as unmatched.
 
-The sentences of licence texts, which are those of rules of several, may go on over single line breaks, with or
-without comment marks before the lines, and begin and end at any line. Notices, which a rule takes alone, are
-known within a line.
+A sentence may go on over single line breaks, with or without comment marks before the lines, and may begin and
+end at any line, for notices often stand between lines that end without a mark. So every run of lines of a
+sentence is looked up that begins as a known sentence does and is no longer than the longest one. Of runs that
+overlap, one does not count if another begins before it, or begins with it and is longer.
 
 All of it happens within a row, without a shuffle. Texts without any of `CUES`, one of which is in every
 known sentence, are not cut up.
@@ -25,7 +27,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CUES = ("licen", "permission", "as is", "liable", "redistribut", "copyright", "warrant", "public domain")
+CUES = ("licen", "permission", "as is", "liable", "distribut", "copyright", "warrant", "public domain", "mpl")
 
 # Sentences of published licences and common notices, with the identifier of each.
 SENTENCES = {
@@ -55,6 +57,27 @@ SENTENCES = {
     "lgpl3_notice": ["This work is licensed under the GNU Lesser General Public License, version 3."],
     "agpl3_notice": ["This work is licensed under the GNU Affero General Public License, version 3."],
     "mpl2_notice": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License, Version 2.0."],
+    "mpl2_copy": ["If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."],
+    "gpl2_terms": ["you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation;"],
+    "gpl2_only": ["you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation."],
+    "version2_later": ["either version 2 of the License, or (at your option) any later version."],
+    "version21_later": ["either version 2.1 of the License, or (at your option) any later version."],
+    "version3_later": ["either version 3 of the License, or (at your option) any later version."],
+    "lgpl_terms": ["you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation;"],
+    "lgpl3_free": ["you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "lgpl_hope": ["This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;"],
+    "lgpl_details": ["See the GNU Lesser General Public License for more details."],
+    "agpl3_free": ["you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "agpl_details": ["See the GNU Affero General Public License for more details."],
+    "unlicense_free": ["This is free and unencumbered software released into the public domain."],
+    "unlicense_use": ["Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."],
+    "zlib_as_is": ["This software is provided 'as-is', without any express or implied warranty."],
+    "zlib_liability": ["In no event will the authors be held liable for any damages arising from the use of this software."],
+    "zlib_grant": ["Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"],
+    "boost_notice": ["Distributed under the Boost Software License, Version 1.0."],
+    "boost_grant": ['Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:'],
+    "epl2_notice": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"],
+    "bsd_as_is": ['THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.'],
     "cc_by_notice": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "cc_by_sa_notice": ["Licensed under CC BY-SA 4.0."],
     "cc_by_nc_notice": ["Licensed under CC BY-NC 4.0."],
@@ -69,7 +92,26 @@ RULES = [
     ("BSD-2-Clause", ["bsd_grant", "bsd_source", "bsd_binary"]),
     ("Apache-2.0", ["apache2_header", "apache2_use", "apache2_copy", "apache2_as_is", "apache2_language"]),
     ("GPL-3.0-or-later", ["gpl_free", "gpl_hope", "gpl_fitness", "gpl_details"]),
+    ("LGPL-3.0-or-later", ["lgpl3_free", "lgpl_hope", "gpl_fitness", "lgpl_details"]),
+    ("LGPL-2.1-or-later", ["lgpl_terms", "version21_later", "lgpl_hope", "gpl_fitness", "lgpl_details"]),
+    ("AGPL-3.0-or-later", ["agpl3_free", "gpl_hope", "gpl_fitness", "agpl_details"]),
+    ("GPL-2.0-or-later", ["gpl2_terms", "version2_later", "gpl_hope", "gpl_fitness", "gpl_details"]),
+    ("Unlicense", ["unlicense_free", "unlicense_use"]),
+    ("Zlib", ["zlib_as_is", "zlib_liability", "zlib_grant"]),
+    ("MPL-2.0", ["mpl2_notice", "mpl2_copy"]),
     ("Apache-2.0", ["apache2_header", "apache2_use"]),
+    ("GPL-2.0-or-later", ["gpl2_terms", "version2_later"]),
+    ("GPL-3.0-or-later", ["gpl2_terms", "version3_later"]),
+    ("LGPL-2.1-or-later", ["lgpl_terms", "version21_later"]),
+    ("LGPL-3.0-or-later", ["lgpl_terms", "version3_later"]),
+    ("LGPL-3.0-or-later", ["lgpl3_free"]),
+    ("AGPL-3.0-or-later", ["agpl3_free"]),
+    ("GPL-2.0", ["gpl2_only"]),
+    ("Zlib", ["zlib_grant"]),
+    ("BSL-1.0", ["boost_grant"]),
+    ("BSL-1.0", ["boost_notice"]),
+    ("EPL-2.0", ["epl2_notice"]),
+    ("Unlicense", ["unlicense_free"]),
     ("MIT", ["mit_grant"]),
     ("ISC", ["isc_grant"]),
     ("GPL-3.0-or-later", ["gpl_free"]),
@@ -111,18 +153,45 @@ def lookup(sentences: dict[str, list[str]] = SENTENCES) -> dict[str, str]:
     return found
 
 
-def _identifiers(text: Column, known: dict[str, str], wrapped: set[str]) -> Column:
-    """Known sentences in the order of the text; those with an identifier in `wrapped` may go over line breaks."""
+def beginnings(known: dict[str, str]) -> list[str]:
+    """The first words of known sentences that a run of lines may begin with: one word, or two."""
+    words = [s.split(" ") for s in known]
+    return sorted({" ".join(w[:n]) for w in words for n in (1, 2)})
+
+
+def _identifiers(text: Column, known: dict[str, str]) -> Column:
+    """Known sentences in the order of the text."""
     table = F.create_map(*(F.lit(x) for pair in known.items() for x in pair))
+    most = max(len(s) for s in known)
+    lines_at_most = max(s.count(" ") + 1 for s in known)
     # Capitals are free after lower(): E is a sentence's end, L a line break. Comment marks are blanks like all
     # that is not kept, so that a line of them is a blank line.
     marked = F.regexp_replace(F.regexp_replace(F.lower(text), SENTENCE_END, "E"), r"\r\n|\r|\n", "L")
     plain = F.regexp_replace(F.regexp_replace(marked, "[^a-z0-9EL]+", " "), " ?([EL]) ?", "$1")
-    plain = F.concat(F.lit("E"), F.trim(F.regexp_replace(plain, "[EL]{2,}", "E")), F.lit("E"))
-    longest_first = sorted(known, key=lambda s: (-len(s), s))
-    any_of = "|".join(s.replace(" ", "[ L]") if known[s] in wrapped else s for s in longest_first)
-    found = F.regexp_extract_all(plain, F.lit(f"(?<=[EL])(?:{any_of})(?=[EL])"), F.lit(0))
-    return F.transform(found, lambda s: F.try_element_at(table, F.translate(s, "L", " ")))
+    sentences = F.split(F.regexp_replace(plain, "[EL]{2,}", "E"), "E")
+    firsts = F.array(*(F.lit(w) for w in beginnings(known)))
+
+    def runs(sentence: Column) -> Column:
+        lines = F.filter(F.split(F.trim(sentence), "L"), lambda x: x != "")
+        places = F.filter(F.sequence(F.lit(1), F.size(lines)), lambda i: F.array_contains(firsts, F.substring_index(F.element_at(lines, i), " ", 2)))
+
+        def from_line(i: Column) -> Column:
+            upto = F.sequence(i, F.least(F.size(lines), i + F.lit(lines_at_most - 1)))
+            run = F.transform(upto, lambda j: F.struct(i.alias("i"), j.alias("j"), F.array_join(F.slice(lines, i, j - i + 1), " ").alias("text")))
+            short = F.filter(run, lambda r: F.length(r["text"]) <= most)
+            return F.transform(short, lambda r: F.struct(r["i"].alias("i"), r["j"].alias("j"), F.try_element_at(table, r["text"]).alias("name")))
+
+        found = F.filter(F.flatten(F.transform(places, from_line)), lambda r: r["name"].isNotNull())
+        return F.when(F.size(lines) > 0, found)
+
+    def counts(hits: Column) -> Column:
+        def beaten(h: Column) -> Column:
+            return F.exists(hits, lambda g: (g["i"] <= h["j"]) & (g["j"] >= h["i"]) & ((g["i"] < h["i"]) | ((g["i"] == h["i"]) & (g["j"] > h["j"]))))
+
+        return F.transform(F.filter(hits, lambda h: ~beaten(h)), lambda h: h["name"])
+
+    hits = F.filter(F.transform(sentences, runs), lambda found: F.size(found) > 0)
+    return F.flatten(F.transform(hits, counts))
 
 
 def scan(docs: DataFrame, sentences: dict[str, list[str]] = SENTENCES, rules: list[tuple[str, list[str]]] = RULES) -> DataFrame:
@@ -130,10 +199,9 @@ def scan(docs: DataFrame, sentences: dict[str, list[str]] = SENTENCES, rules: li
     are lists joined by commas, in the order of the text, of the rules, and of the text."""
     text = F.lower("text")
     cue = F.coalesce(F.greatest(*(F.contains(text, F.lit(c)) for c in CUES)), F.lit(False))
-    wrapped = {i for _, ids in rules if len(ids) > 1 for i in ids}
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.when(cue, _identifiers(F.col("text"), lookup(sentences), wrapped)).otherwise(F.array().cast("array<string>")).alias("ids"),
+        F.when(cue, _identifiers(F.col("text"), lookup(sentences))).otherwise(F.array().cast("array<string>")).alias("ids"),
     )
     steps = F.array(*(F.struct(F.lit(name).alias("name"), F.lit("".join(f"<{i}>" for i in ids)).alias("ids")) for name, ids in rules))
     start = F.struct(F.concat_ws("", F.transform("ids", lambda i: F.concat(F.lit("<"), i, F.lit(">")))).alias("rest"), F.lit("").alias("found"))

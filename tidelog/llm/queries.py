@@ -173,18 +173,22 @@ def _license_sql() -> str:
         take = "".join(f"<{i}>" for i in ids)
         steps += f""", s{n + 1} AS (SELECT doc_id, ids, replace(rest, '{take}', '|') AS rest,
             CASE WHEN contains(rest, '{take}') THEN found || ',{name}' ELSE found END AS found FROM s{n})"""
-    # Sentences are numbered, not cut out: the first of equal licences in the order of the rules is kept.
+    most, lines = max(map(len, licenses.lookup())), max(k.count(" ") + 1 for k in licenses.lookup())
+    # The first of equal licences in the order of the rules is kept.
     return rf"""
     WITH known(sentence, name) AS (VALUES {known}),
-    lines AS (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS n FROM (
-        SELECT doc_id, string_split_regex(regexp_replace(text, '([.!?;:])[ 	
-]+', '' || chr(10), 'g'), '[
-]+') AS l
-        FROM documents)),
-    hits AS (SELECT doc_id, n, name FROM lines JOIN known
-             ON trim(regexp_replace(lower(line), '[^a-z0-9]+', ' ', 'g')) = sentence),
-    found AS (SELECT doc_id, coalesce(list(name ORDER BY n) FILTER (name IS NOT NULL), []) AS ids
-              FROM (SELECT doc_id FROM documents) LEFT JOIN hits USING (doc_id) GROUP BY doc_id),
+    marked AS (SELECT doc_id, regexp_replace(regexp_replace(lower(text), '{licenses.SENTENCE_END}', 'E', 'g'), '\r\n|\r|\n', 'L', 'g') AS t FROM documents),
+    plain AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(t, '[^a-z0-9EL]+', ' ', 'g'), ' ?([EL]) ?', '\1', 'g'), '[EL]{{2,}}', 'E', 'g') AS t FROM marked),
+    sentences AS (SELECT doc_id, unnest(s) AS sentence, generate_subscripts(s, 1) AS n FROM (SELECT doc_id, string_split(t, 'E') AS s FROM plain)),
+    lines AS (SELECT doc_id, n, list_filter(string_split(trim(sentence), 'L'), lambda x: x <> '') AS lines FROM sentences),
+    begun AS (SELECT doc_id, n, lines, unnest(range(1, len(lines) + 1)) AS i FROM lines),
+    runs AS (SELECT doc_id, n, i, j, array_to_string(lines[i:j], ' ') AS run FROM (
+        SELECT *, unnest(range(i, least(len(lines), i + {lines - 1}) + 1)) AS j FROM begun) WHERE length(lines[i]) <= {most}),
+    hits AS (SELECT doc_id, n, i, j, name FROM runs JOIN known ON run = sentence),
+    counted AS (SELECT * FROM hits h WHERE NOT EXISTS (SELECT 1 FROM hits g WHERE g.doc_id = h.doc_id AND g.n = h.n
+        AND g.i <= h.j AND g.j >= h.i AND (g.i < h.i OR (g.i = h.i AND g.j > h.j)))),
+    found AS (SELECT doc_id, coalesce(list(name ORDER BY n, i) FILTER (name IS NOT NULL), []) AS ids
+              FROM (SELECT doc_id FROM documents) LEFT JOIN counted USING (doc_id) GROUP BY doc_id),
     {steps}
     SELECT doc_id, len(ids) AS n_known, coalesce(array_to_string(ids, ','), '') AS identifiers,
         array_to_string(list_filter(string_split(coalesce(found, ''), ','), lambda x, i: x <> ''

@@ -1,10 +1,13 @@
 """Classifiers by held-out accuracy, vectors by brute force, chats and licences by small cases."""
 
+import math
 import random
+import re
 import textwrap
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.conftest import ODD, sentence
@@ -76,6 +79,84 @@ def test_quality_without_labels(spark, odd, empty):
     assert cotrain.quality_scores(empty, none).count() == 0
 
 
+def plain_text_view(text):
+    """The same features, byte by byte."""
+    data = (text or "").encode()
+    if not data:
+        return [0.0] * cotrain.TEXT_WIDTH
+    upper, digit, space = (lambda b: 65 <= b <= 90), (lambda b: 48 <= b <= 57), (lambda b: b == 32 or 9 <= b <= 13)
+    lower = lambda b: 97 <= b <= 122 or b >= 128
+    kinds = [upper, lower, digit, space, lambda b: chr(b) in ".,;:?", lambda b: chr(b) in "'\"()-!"]
+    codes = [next((k for k, test in enumerate(kinds) if test(b)), 6) for b in data]
+    pairs = [0] * cotrain.PAIRS
+    for n, b in enumerate(data):
+        pairs[(data[n - 1] * 131 + b) * 2654435761 >> 7 & (cotrain.PAIRS - 1) if n else 0] += 1
+    words = [w.lower() for w in re.split(rb"[\x20\x09-\x0D]+", data) if w]
+    many = max(len(words), 1)
+    return [
+        *(codes.count(k) / len(data) for k in range(7)),
+        sum(a == b and not lower(b) for a, b in zip(data, data[1:], strict=False)) / len(data),
+        sum(a == b for a, b in zip(words, words[1:], strict=False)) / many,
+        math.log1p(len(set(words)) / max(math.sqrt(len(words)), 1)), math.log(len(data) / many), math.log1p(len(words)),
+        *(math.sqrt(n / len(data)) for n in pairs),
+    ]
+
+
+def test_views_against_plain_loops():
+    cases = [t for _, t in ODD if t is None or len(t) < 5000] + ["Hello!! hello HELLO  42 (x)", "..\n\n??", "aa bb aa aa"]
+    column = pa.array(cases)
+    got = cotrain.text_view(column)
+    # The place of a text's first byte pair depends on the byte before it in the batch, so texts go one by one.
+    for text in cases:
+        one = cotrain.text_view(pa.array([text], pa.string()))[0]
+        assert np.allclose(one, plain_text_view(text))
+    assert got.shape == (len(cases), cotrain.TEXT_WIDTH)
+    meta = cotrain.meta_view(np.array([3, 0]), np.array([5, 0]), np.array([99.0, -4.0]), np.array([2.0, 0.0]), np.array([80.0, 0.0]))
+    assert meta[0].nonzero()[0].tolist()[:3] == [3, cotrain.META_BUCKETS + 5, 2 * cotrain.META_BUCKETS + (3 * 7 + 5 * 13) % cotrain.META_CROSSED]
+    said = math.log1p(99)
+    assert np.allclose(meta[0, -5:], [said, said**2 / 10, math.log1p(2), said - math.log1p(2), abs(said - math.log1p(80))])
+    assert meta[1, -5:].tolist() == [0] * 5
+
+
+def test_rows_are_handed_over_once_and_only_when_sure():
+    logit = np.array([3.0, 2.5, 2.0, 1.0, 0.5, -0.5, -1.0, -2.0] * 20)
+    y = np.array([1, 1, 1, 0, 1, 0, 0, 0] * 20)
+    good, bad = cotrain.sure_limits(logit, y)
+    assert (good, bad) == (2.0, -0.5)
+    assert cotrain.sure_limits(logit[:8], y[:8]) == (np.inf, -np.inf)
+    model = cotrain.Logistic(np.zeros(1), np.ones(1), np.array([0.0, 1.0]))
+    turned = model._replace(weights=np.array([0.0, -1.0]))
+    x = np.array([[3.0], [1.0], [0.0], [-3.0]])
+    rules = [cotrain.Rule(model, 2.0, -2.0), cotrain.Rule(turned, 0.5, -0.5)]
+    # The second round's rule says the contrary, but the first one's verdicts stand.
+    assert cotrain.first_verdicts(rules, x).tolist() == [1, 0, -1, 0]
+
+
+def test_rounds_do_not_make_the_views_worse(spark, build):
+    """Both views see the same labels; the exchange keeps the text view's loss and helps the metadata."""
+    rng = random.Random(16)
+    rows, labels = [], []
+    for i in range(2400):
+        bad = rng.random() < 0.4
+        text = prose(rng, rng.randrange(20, 60))
+        rows.append((i, "\n".join(w.upper() + "!!" for w in text.split()) if bad else text))
+        if i % 4 == 0:
+            labels.append((i, int(not bad), 0))
+    truth = dict((i, q) for i, q, _ in labels)
+
+    def losses(rounds):
+        before, cotrain.ROUNDS = cotrain.ROUNDS, rounds
+        try:
+            got = cotrain.quality_scores(build(rows), spark.createDataFrame(labels, LABELS)).collect()
+        finally:
+            cotrain.ROUNDS = before
+        held = [r for r in got if r.held_out and r.doc_id in truth]
+        return [-np.mean([math.log(max(r[c] if truth[r.doc_id] else 1 - r[c], 1e-9)) for r in held]) for c in ("text_score", "meta_score")]
+
+    (text0, meta0), (text3, meta3) = losses(0), losses(3)
+    assert text3 <= text0 + 0.002 and meta3 <= meta0 + 0.002
+
+
 def vectors():
     rng = np.random.default_rng(3)
     rows = []

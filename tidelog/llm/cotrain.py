@@ -1,15 +1,20 @@
 """Quality by co-training a text view and a metadata view.
 
 The text view sees what a document says: shares of byte classes and of hashed byte pairs, variety of words.
-The metadata view sees what is known about it: language, source, recorded length, line layout. Both start
-from the labelled rows. In every round each view scores all unlabelled documents and hands those it is most
-sure of, with its own verdict as label, to the other view, which is fitted anew with them. At the end each
-view is calibrated on labelled rows that neither was fitted on, the two calibrated views are weighed
-against each other on the same rows, and all documents are scored.
-
-Only the fits are bounded: at most `MAX_TRAIN` labelled rows and `PER_ROUND` pseudo-labelled rows a view,
-class and round, taken by a hash of the id. Scores for pseudo-labels and the final scores pass over all
-documents. Rows with crc32(doc_id) mod 3 = 1 are held out, those with 2 calibrate, those with 0 are fitted.
+The metadata view sees what is known about it: language, source and both together, recorded length against real
+length, line layout. Both start from the labelled rows. In every round each view hands unlabelled documents
+it has not handed over yet to the other view, with its own verdict as label: those it is most sure of, by
+their place among all documents (`ROUND_SHARE` of them a class in the first round, twice and three times as many in
+the next ones), and only as far as its verdicts on calibrating rows are right `SURE` of the time. The other view
+is fitted anew with all that it was handed; pseudo-labelled rows of a class weigh half as much as all labelled
+rows at most, so that neither class nor the pseudo-labels can outweigh the rest. At the end each view is calibrated
+on labelled rows that neither was fitted on, the two calibrated views are weighed against each other on the same
+rows, and all documents are scored.
+
+At most `MAX_TRAIN` labelled rows are fitted, taken by a hash of the id. Nothing else is bounded: pseudo-labelled rows
+stay where they are, and a fit takes `STEPS` Newton steps over sums of gradients and curvatures that each pass over
+all documents adds up. Which rows were handed over follows from the models of the rounds, so no list of them is kept.
+Rows with crc32(doc_id) mod 3 = 1 are held out, those with 2 calibrate, those with 0 are fitted.
 
 Defined results: null and empty texts have all text features zero, null metadata counts as an empty value;
 rows are scored one by one, so repeated rows get equal scores; a null doc_id is not held out. Of several
@@ -33,13 +38,20 @@ from tidelog.llm.frames import modest_batches, written
 from tidelog.llm.toxicity import fold
 
 MAX_TRAIN = 20_000
-PER_ROUND = 1_000
 ROUNDS = 3
-SURE = 0.97
+STEPS = 3
+ROUND_SHARE = 0.05
+SURE = 0.95
+# Calibrating rows that a verdict is judged by at least.
+JUDGED = 20
+# Weight of the pseudo-labelled rows of a class against all labelled rows, at most.
+PSEUDO_WEIGHT = 0.5
+PENALTY = 1.0
 PAIRS = 32
 TEXT_WIDTH = PAIRS + 12
 META_BUCKETS = 16
-META_WIDTH = 2 * META_BUCKETS + 4
+META_CROSSED = 32
+META_WIDTH = 2 * META_BUCKETS + META_CROSSED + 5
 THRESHOLD = 0.5
 
 _BYTE = np.arange(256)
@@ -77,13 +89,14 @@ def text_view(column: pa.Array) -> np.ndarray:
     return np.where(np.diff(bounds)[:, None] > 0, out, 0.0)
 
 
-def meta_view(lang: np.ndarray, source: np.ndarray, n_chars: np.ndarray, lines: np.ndarray) -> np.ndarray:
-    """(rows, META_WIDTH) features of metadata; `lang` and `source` are bucket numbers."""
-    out = np.zeros((len(lang), META_WIDTH))
-    out[np.arange(len(lang)), lang] = 1
-    out[np.arange(len(lang)), META_BUCKETS + source] = 1
-    size = np.log1p(np.maximum(n_chars, 0))
-    out[:, 2 * META_BUCKETS :] = np.column_stack([size, size**2 / 10, np.log1p(lines), size - np.log1p(lines)])
+def meta_view(lang: np.ndarray, source: np.ndarray, n_chars: np.ndarray, lines: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """(rows, META_WIDTH) features of metadata; `lang` and `source` are bucket numbers, `size` is the real length."""
+    out, row = np.zeros((len(lang), META_WIDTH)), np.arange(len(lang))
+    out[row, lang] = 1
+    out[row, META_BUCKETS + source] = 1
+    out[row, 2 * META_BUCKETS + (lang * 7 + source * 13) % META_CROSSED] = 1
+    said, real, broken = np.log1p(np.maximum(n_chars, 0)), np.log1p(size), np.log1p(lines)
+    out[:, -5:] = np.column_stack([said, said**2 / 10, broken, said - broken, np.abs(said - real)])
     return out
 
 
@@ -91,7 +104,7 @@ def _views(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in texts.pieces(batch, "text"):
             text = text_view(part.column(1)).astype(np.float32)
-            meta = meta_view(*(part.column(i).to_numpy(zero_copy_only=False) for i in range(2, 6))).astype(np.float32)
+            meta = meta_view(*(part.column(i).to_numpy(zero_copy_only=False) for i in range(2, 7))).astype(np.float32)
             lists = [
                 pa.ListArray.from_arrays(np.arange(0, v.size + 1, v.shape[1], dtype=np.int32), pa.array(v.ravel()))
                 for v in (text, meta)
@@ -111,6 +124,7 @@ def views(docs: DataFrame) -> DataFrame:
         bucket("source").cast("long").alias("source"),
         F.coalesce(have("n_chars", "double"), F.length("text").cast("double"), F.lit(0.0)).alias("n_chars"),
         F.coalesce(F.regexp_count("text", F.lit("\n")), F.lit(0)).cast("double").alias("lines"),
+        F.coalesce(F.length("text"), F.lit(0)).cast("double").alias("size"),
     )
     return rows.mapInArrow(_views, "doc_id long, text_view array<float>, meta_view array<float>")
 
@@ -216,27 +230,122 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return score.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
+class Rule(NamedTuple):
+    """A round's verdict of a view: good from one log-odds on, bad up to another."""
+
+    model: Logistic
+    good: float
+    bad: float
+
+    def label(self, x: np.ndarray) -> np.ndarray:
+        logit = self.model.logit(x)
+        return np.where(logit >= self.good, 1, np.where(logit <= self.bad, 0, -1))
+
+
+def first_verdicts(rules: list[Rule], x: np.ndarray) -> np.ndarray:
+    """The label each row was handed over with, in the first round that did so; -1 if none did."""
+    out = np.full(len(x), -1)
+    for rule in rules:
+        out = np.where(out < 0, rule.label(x), out)
+    return out
+
+
+def sure_limits(logit: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """The least log-odds from which on, and the largest up to which, verdicts are right SURE of the time."""
+    limits = []
+    for sign in (1, -1):
+        order = np.argsort(-sign * logit, kind="stable")
+        right = np.cumsum((y[order] == (sign > 0)).astype(float)) / np.arange(1, len(order) + 1)
+        # Rows of equal log-odds are judged together.
+        last = np.append(logit[order][1:] != logit[order][:-1], True)
+        enough = np.flatnonzero(last & (right >= SURE) & (np.arange(len(order)) + 1 >= JUDGED))
+        limits.append(float(logit[order[enough[-1]]]) if len(enough) else sign * np.inf)
+    return limits[0], limits[1]
+
+
+def loss(model: Logistic, x: np.ndarray, y: np.ndarray) -> float:
+    """Mean logistic loss."""
+    z = model.logit(x)
+    return float((np.logaddexp(0, z) - y * z).mean())
+
+
+def _design(model: Logistic, x: np.ndarray) -> np.ndarray:
+    return np.column_stack([np.ones(len(x)), (x - model.centre) / model.scale])
+
+
+def _slopes(model: Logistic, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Number of rows, gradient and curvature, in one vector."""
+    design = _design(model, x)
+    p = 1 / (1 + np.exp(-np.clip(design @ model.weights, -30, 30)))
+    curve = (design * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ design
+    return np.concatenate([[len(x)], design.T @ (p - y), curve.ravel()])
+
+
+def _step(model: Logistic, x: np.ndarray, y: np.ndarray, pseudo: list[np.ndarray]) -> Logistic:
+    """One Newton step over labelled rows and the sums of the pseudo-labelled rows of both classes."""
+    width = len(model.weights)
+    total = _slopes(model, x, y)
+    for sums in pseudo:
+        if sums[0]:
+            total = total + min(1.0, PSEUDO_WEIGHT * len(x) / sums[0]) * sums
+    ridge = np.full(width, PENALTY)
+    ridge[0] = 1e-6
+    curve = total[1 + width :].reshape(width, width) + np.diag(ridge)
+    step = np.linalg.solve(curve, total[1 : 1 + width] + ridge * model.weights)
+    # A step from a fitted model is short; a longer one is cut to be safe far from the optimum.
+    step *= min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
+    return model._replace(weights=model.weights - step)
+
+
+def _pseudo_sums(unlabelled: DataFrame, models: dict[str, Logistic], rules: dict[str, list[Rule]]) -> dict[str, list[np.ndarray]]:
+    """For each view, the sums of `_slopes` over the rows that the other view handed over, by class."""
+    views_of = (("text", 1, TEXT_WIDTH), ("meta", 2, META_WIDTH))
+    sizes = {name: 1 + (width + 1) + (width + 1) ** 2 for name, _, width in views_of}
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {name: np.zeros((2, size)) for name, size in sizes.items()}
+        for batch in batches:
+            x = {name: _matrix(batch.column(i), width) for name, i, width in views_of}
+            for learner, teacher in (("text", "meta"), ("meta", "text")):
+                label = first_verdicts(rules[teacher], x[teacher])
+                for kind in (0, 1):
+                    own = x[learner][label == kind]
+                    if len(own):
+                        sums[learner][kind] += _slopes(models[learner], own, np.full(len(own), kind))
+        for name, found in sums.items():
+            for kind in (0, 1):
+                if found[kind][0]:
+                    n = len(found[kind])
+                    columns = [pa.array([name] * n), pa.array(np.full(n, kind)), pa.array(np.arange(n)), pa.array(found[kind])]
+                    yield pa.RecordBatch.from_arrays(columns, names=["view", "kind", "place", "x"])
+
+    parts = unlabelled.select("doc_id", "text_view", "meta_view").mapInArrow(add, "view string, kind long, place long, x double")
+    out = {name: [np.zeros(size), np.zeros(size)] for name, size in sizes.items()}
+    # As many rows as the two curvatures have cells, twice.
+    for r in parts.groupBy("view", "kind", "place").agg(F.sum("x").alias("x")).collect():
+        out[r.view][r.kind][r.place] = r.x
+    return out
+
+
 def _cotrain(unlabelled: DataFrame, y: np.ndarray, fitted: np.ndarray, text_x: np.ndarray, meta_x: np.ndarray) -> tuple[Logistic, Logistic]:
     """Fit both views, each with what the other was sure of in the rounds before."""
-    rows_of = {"text": (text_x[fitted], y[fitted]), "meta": (meta_x[fitted], y[fitted])}
-    text, meta = fit_logistic(*rows_of["text"]), fit_logistic(*rows_of["meta"])
-    sure = float(np.log(SURE / (1 - SURE)))
-    for _ in range(ROUNDS):
-        scored = _logits(unlabelled.select("doc_id", "text_view", "meta_view"), text, meta)
-        verdict = lambda view: F.when(F.col(view) >= sure, 1).when(F.col(view) <= -sure, 0)
-        scored = written(
-            scored.select("doc_id", "text_view", "meta_view", verdict("text_logit").alias("by_text"), verdict("meta_logit").alias("by_meta"))
-            .filter("by_text IS NOT NULL OR by_meta IS NOT NULL")
-        )
-        for teacher, learner in (("by_text", "meta"), ("by_meta", "text")):
-            for kind in (0, 1):
-                found = scored.filter(F.col(teacher) == kind).withColumns({"label": F.lit(kind), "fold": F.lit(0)})
-                label, _, more_text, more_meta = _sample(found, PER_ROUND)
-                more = more_text if learner == "text" else more_meta
-                x, old = rows_of[learner]
-                rows_of[learner] = (np.vstack([x, more]), np.concatenate([old, label]))
-        text, meta = fit_logistic(*rows_of["text"]), fit_logistic(*rows_of["meta"])
-    return text, meta
+    x = {"text": text_x, "meta": meta_x}
+    judging = ~fitted
+    models = {name: fit_logistic(own[fitted], y[fitted]) for name, own in x.items()}
+    rules: dict[str, list[Rule]] = {"text": [], "meta": []}
+    for number in range(1, ROUNDS + 1):
+        scored = _logits(unlabelled.select("doc_id", "text_view", "meta_view"), models["text"], models["meta"])
+        share = min(0.5, ROUND_SHARE * number)
+        edges = scored.agg(*(F.percentile_approx(f"{name}_logit", [share, 1 - share], 10_000).alias(name) for name in x)).first()
+        for name, own in x.items():
+            if edges[name] is None:
+                continue
+            good, bad = sure_limits(models[name].logit(own[judging]), y[judging])
+            rules[name].append(Rule(models[name], max(good, edges[name][1]), min(bad, edges[name][0])))
+        for _ in range(STEPS):
+            sums = _pseudo_sums(unlabelled, models, rules)
+            models = {name: _step(models[name], own[fitted], y[fitted], sums[name]) for name, own in x.items()}
+    return models["text"], models["meta"]
 
 
 def _calibrated(scored: DataFrame, single: list[Logistic], both: Logistic) -> DataFrame:

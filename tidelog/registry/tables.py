@@ -28,7 +28,8 @@ ENVELOPE = {
     "org": "concat('org', CAST(user_id % 3 AS VARCHAR(20)))",
 }
 
-# Payload fields; null means the event type has no such field.
+# Names of payload fields and the status words the alerts look for. Null means the event type has no
+# such field.
 PAYLOAD = {
     "API_FAMILY": "CASE WHEN event_type = 'purchase' THEN CASE k % 4 WHEN 0 THEN 'REST' "
     "WHEN 1 THEN 'SOAP' WHEN 2 THEN 'BULK' ELSE '' END END",

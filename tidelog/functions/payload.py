@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +32,12 @@ def canonical_line(payload: Column) -> Column:
     return F.to_json(sorted_map(payload), {"ignoreNullFields": "false"})
 
 
+def field_line(fields: Mapping[str, Column]) -> Column:
+    """Text columns as the line that `canonical_line` gives a map of those that are not null."""
+    ascending = [fields[name].alias(name) for name in sorted(fields)]
+    return F.to_json(F.struct(*ascending), {"ignoreNullFields": "true"})
+
+
 def canonical_json(text: Column) -> Column:
     """JSON text as compact JSON with ascending keys at every level; null when it does not parse."""
     return F.to_json(F.try_parse_json(text))

@@ -93,9 +93,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event table with a zoned time and the number inside its JSON."""
-    return table(spark, sf_dir, "events").withColumns(
+def raw_events(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """The event table with a zoned time and the number inside its JSON.
+
+    `spread` deals the rows out evenly first, for costly steps over files of few, large row groups.
+    """
+    read = table(spark, sf_dir, "events")
+    return (read.repartition("event_id") if spread else read).withColumns(
         {"ts": F.col("ts").cast("timestamp"), "k": F.expr(K["spark"])}
     )
 

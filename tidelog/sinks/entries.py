@@ -14,6 +14,9 @@ from tidelog.operators.columns import with_once
 from tidelog.operators.progress import commit_progress
 from tidelog.schema import ALLOWED_LABELS
 
+# What `store_new` adds to the entries it writes.
+ENTRY_NAME = "entry_name"
+
 
 def reject_reason(max_line_bytes: int = 262_144, allowed: Sequence[str] = ALLOWED_LABELS) -> Column:
     """Why an entry cannot be delivered, or null."""
@@ -56,7 +59,7 @@ def read_entries(spark: SparkSession, path: str) -> DataFrame:
 
     `source` and `org` come back as columns from the labels, which is what the query pack groups by.
     """
-    stored = spark.read.parquet(path)
+    stored = spark.read.parquet(path).drop(ENTRY_NAME)
     own = {c: F.col("labels").getItem(c) for c in ("source", "org") if c not in stored.columns}
     return stored.withColumns(own)
 
